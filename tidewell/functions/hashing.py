@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import IntegerType
 
 # Hash of the constant feature, and the modulus of the prime hash family.
 CONSTANT_HASH = 11650396
@@ -56,7 +57,7 @@ def _murmur32(data: bytes, seed: int) -> int:
     return h - (1 << 32) if h & 0x80000000 else h
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def murmur3(text: pd.Series, seed: pd.Series) -> pd.Series:
     """32-bit murmur3 of a string; equal inputs of a batch are hashed once."""
     seen: dict[tuple[str, int], int] = {}
