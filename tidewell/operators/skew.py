@@ -161,9 +161,14 @@ def cooccurrence_candidates(
     hot_size: int = 2000,
     hot_groups: int = 8,
     salt_size: int = 256,
+    upper: bool = False,
+    split_at: int | None = None,
 ) -> DataFrame:
     """Directed candidates ``(item_a, item_b, shared, n_a, n_b)`` that hold every item's exact top ``k``.
 
+    With ``upper`` only partners ``item_b > item_a`` count (ids must be whole numbers). ``split_at`` lets the
+    score use another formula for ``n_b < split_at``: the promise then holds for either side on its own.
+
     Holds for every score that never falls with ``shared`` and never rises with ``n_b``
     (ties by item id). ``members`` has columns ``grp, item``. ``tie='id'`` is for scores that ignore ``n_b``.
 
@@ -180,38 +185,58 @@ def cooccurrence_candidates(
     stats = members.groupBy("item").agg(F.count("*").alias("n"), F.bit_or(bit).alias("mask"))
     light = members.where(~F.col("grp").isin(hot)) if hot else members
     pairs = _shared_light(light, salt_size)
-    both = pairs.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("item_a").alias("item_a"), F.col("item_b").alias("item_b")),
-                F.struct(F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b")),
-            )
-        ).alias("x"),
-        "shared",
-    ).select("x.*", "shared")
+    if not upper:
+        ends = F.array(F.struct("item_a", "item_b"), F.struct(F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b")))
+        pairs = pairs.select(F.explode(ends).alias("x"), "shared").select("x.*", "shared")
     a = stats.select(F.col("item").alias("item_a"), F.col("n").alias("n_a"), F.col("mask").alias("mask_a"))
     b = stats.select(F.col("item").alias("item_b"), F.col("n").alias("n_b"), F.col("mask").alias("mask_b"))
-    out = both.join(a, "item_a").join(b, "item_b").select(
+    out = pairs.join(a, "item_a").join(b, "item_b").select(
         "item_a", "item_b", (F.col("shared") + F.bit_count(F.col("mask_a").bitwiseAND(F.col("mask_b")))).alias("shared"), "n_a", "n_b"
     )
     if not hot:
         return out
-    order = [F.col("n_b"), F.col("item_b")] if tie == "size" else [F.col("item_b")]
-    best = b.where("mask_b <> 0")
-    best = best.withColumn("_r", F.row_number().over(W.partitionBy("mask_b").orderBy(*order))).where(F.col("_r") <= k + 1)
-    bits = F.array(*[F.lit(i) for i in range(len(hot))])
+    met = _meeting_masks(stats, len(hot))
+    attach = _hot_upper if upper else _hot_all
+    sides = b.where("mask_b <> 0").withColumn("big", F.lit(True) if split_at is None else F.col("n_b") >= split_at)
+    hot_rows = attach(a, sides, met, k, [F.col("n_b"), F.col("item_b")] if tie == "size" else [F.col("item_b")])
+    return out.unionByName(hot_rows).groupBy("item_a", "item_b").agg(
+        F.max("shared").alias("shared"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")
+    )
+
+
+def _meeting_masks(stats: DataFrame, bits: int) -> DataFrame:
+    """Mask pairs with a common bit and their overlap; at most 2^bits masks exist."""
+    numbers = F.array(*[F.lit(i) for i in range(bits)])
     masks = stats.where("mask <> 0").select("mask").dropDuplicates()
-    by_bit = masks.select("mask", F.explode(F.filter(bits, lambda i: F.col("mask").bitwiseAND(F.expr("1L") * F.pow(F.lit(2), i).cast("long")) != 0)).alias("bit"))
-    met = (
-        by_bit.select(F.col("mask").alias("mask_a"), "bit")
-        .join(by_bit.select(F.col("mask").alias("mask_b"), "bit"), "bit")
+    by_bit = masks.select("mask", F.explode(F.filter(numbers, lambda i: F.getbit("mask", i) == 1)).alias("bit"))
+    return (
+        by_bit.withColumnRenamed("mask", "mask_a")
+        .join(by_bit.withColumnRenamed("mask", "mask_b"), "bit")
         .select("mask_a", "mask_b")
         .dropDuplicates()
         .withColumn("shared", F.bit_count(F.col("mask_a").bitwiseAND(F.col("mask_b"))).cast("long"))
     )
-    ranked = met.join(best.drop("_r"), "mask_b")
-    ranked = ranked.withColumn("_r", F.row_number().over(W.partitionBy("mask_a", "shared").orderBy(*order))).where(F.col("_r") <= k + 1)
-    hot_rows = a.join(ranked.drop("_r", "mask_b"), "mask_a").where("item_a <> item_b").select("item_a", "item_b", "shared", "n_a", "n_b")
-    return out.unionByName(hot_rows).groupBy("item_a", "item_b").agg(
-        F.max("shared").alias("shared"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")
-    )
+
+
+def _first(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
+    return df.withColumn("_r", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col("_r") <= k).drop("_r")
+
+
+def _hot_all(a: DataFrame, b: DataFrame, met: DataFrame, k: int, order: list[Column]) -> DataFrame:
+    """The ``k + 1`` best partners per (mask, overlap), attached to every item with that mask."""
+    best = _first(b, ["mask_b", "big"], order, k + 1)
+    ranked = _first(met.join(best, "mask_b"), ["mask_a", "shared", "big"], order, k + 1)
+    return a.join(ranked.drop("mask_b"), "mask_a").where("item_a <> item_b").select("item_a", "item_b", "shared", "n_a", "n_b")
+
+
+def _hot_upper(a: DataFrame, b: DataFrame, met: DataFrame, k: int, order: list[Column]) -> DataFrame:
+    """Best partners with a larger id. The ids above ``item_a`` fall into one aligned block per zero bit of
+    ``item_a``; the ``k`` best of every aligned block are ranked once and joined by block."""
+    top = b.agg(F.max("item_b")).first()[0] or 0
+    levels = F.sequence(F.lit(0), F.lit(int(top).bit_length()))
+    blocks = b.withColumn("lvl", F.explode(levels)).withColumn("blk", F.expr("shiftright(item_b, lvl)")).where("blk % 2 = 1")
+    best = _first(blocks, ["mask_b", "big", "lvl", "blk"], order, k)
+    ranked = _first(met.join(best, "mask_b"), ["mask_a", "shared", "big", "lvl", "blk"], order, k).drop("mask_b")
+    asks = a.where("mask_a <> 0").withColumn("lvl", F.explode(levels)).withColumn("blk", F.expr("shiftright(item_a, lvl)"))
+    asks = asks.where("blk % 2 = 0").withColumn("blk", F.col("blk") + 1)
+    return asks.join(ranked, ["mask_a", "lvl", "blk"]).select("item_a", "item_b", "shared", "n_a", "n_b")
