@@ -73,6 +73,10 @@ def murmur3(text: pd.Series, seed: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="Int32")
 
 
+# Kept out of inferred join conditions, which cannot hold a Python function of both sides.
+murmur3 = murmur3.asNondeterministic()
+
+
 def feature_hash(namespace: Column | str, feature: Column | str, label: Column, bits: int, classes: int) -> Column:
     """Weight index of a feature for one class of a one-against-all model.
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewell.functions.scalars import norm, unit
 from tidewell.operators.topk import topk_by
+from tidewell.session import cut_lineage
 
 SLACK = 1e-9
 
@@ -73,6 +74,7 @@ def nearest(
             "need",
             (n * longest).alias("scale"),
         )
+    v = cut_lineage(v)  # read four times below
     rows = v.orderBy(F.xxhash64("item_id"), "item_id").limit(cells).select("vec").collect()
     if not rows:
         kinds = queries.schema["query_id"].dataType.simpleString(), vectors.schema["item_id"].dataType.simpleString()
