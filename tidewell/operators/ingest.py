@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from tidewell.operators.skew import dense_ids
+
 # Attribute types of the catalogue and their column types.
 ATTR_TYPES = {
     "int": "int",
@@ -190,14 +192,10 @@ def register(actions: DataFrame, users: DataFrame, items: DataFrame) -> tuple[Da
     return all_users, all_items, stored
 
 
-def number_new(fresh: DataFrame, known: DataFrame, key: str, out: str, slots: int = 4096) -> DataFrame:
-    """Consecutive new ids without one global sort: rank inside hash slots plus each slot's offset."""
+def number_new(fresh: DataFrame, known: DataFrame, key: str, out: str) -> DataFrame:
+    """New rows numbered after the largest known id."""
     start = F.coalesce(known.agg(F.max(out)).scalar(), F.lit(0))
-    placed = fresh.withColumn("_s", F.pmod(F.xxhash64(key), F.lit(slots)))
-    sizes = placed.groupBy("_s").agg(F.count("*").alias("_n"))
-    sizes = sizes.select("_s", (F.sum("_n").over(W.orderBy("_s")) - F.col("_n")).alias("_off"))  # at most `slots` rows
-    ranked = placed.withColumn("_r", F.row_number().over(W.partitionBy("_s").orderBy(key)))
-    return ranked.join(sizes, "_s").withColumn(out, start + F.col("_off") + F.col("_r")).drop("_s", "_r", "_off")
+    return dense_ids(fresh, key, out).withColumn(out, start + F.col(out))
 
 
 def map_user_dims(requests: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewell.functions.hashing import constant_hash, feature_hash
 from tidewell.operators.nearest import gram, nearest, times
+from tidewell.operators.text import hash_sign
+from tidewell.session import cut_lineage
 
 ALS_COLS = dict(userCol="user_id", itemCol="item_id", ratingCol="rating", coldStartStrategy="drop")
 
@@ -100,8 +102,8 @@ def fit_text_vectors(items: DataFrame, tokens: str, dim: int = 32, seed: int = 4
     tf = items.select("item_id", F.explode(tokens).alias("term")).groupBy("item_id", "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     weighted = tf.join(df, "term").select("item_id", "term", (F.col("tf") * F.log((n + 1) / (F.col("df") + 1))).alias("w"))
-    sign = [F.when(F.xxhash64(F.col("item_id"), F.lit(seed + i)) % 2 == 0, 1.0).otherwise(-1.0) for i in range(dim)]
-    terms = weighted.groupBy("term").agg(F.array(*[F.sum(F.col("w") * s) for s in sign]).alias("features"))
+    signed = weighted.select("item_id", "term", "w", *[F.xxhash64("item_id", F.lit(seed + j)).alias(f"h{j}") for j in range(-(-dim // 64))])
+    terms = cut_lineage(signed.groupBy("term").agg(F.array(*[F.sum(hash_sign("w", i)) for i in range(dim)]).alias("features")))
     back = weighted.join(terms, "term")
     docs = back.groupBy("item_id").agg(F.array(*[F.sum(F.col("w") * F.col("features")[i]) for i in range(dim)]).alias("features"))
     return terms, docs

@@ -24,6 +24,15 @@ def with_key_count(df: DataFrame, keys: list[str], out: str) -> DataFrame:
     return df.join(df.groupBy(*keys).agg(F.count("*").alias(out)), keys)
 
 
+def dense_ids(df: DataFrame, key: str, out: str, slots: int = 4096) -> DataFrame:
+    """Number distinct keys 1..n without one global sort: rank inside hash slots plus each slot's offset."""
+    placed = df.withColumn("_s", F.pmod(F.xxhash64(key), F.lit(slots)))
+    sizes = placed.groupBy("_s").agg(F.count("*").alias("_n"))
+    sizes = sizes.select("_s", (F.sum("_n").over(W.orderBy("_s")) - F.col("_n")).alias("_off"))  # at most `slots` rows
+    ranked = placed.withColumn("_r", F.row_number().over(W.partitionBy("_s").orderBy(key)))
+    return ranked.join(sizes, "_s").withColumn(out, F.col("_off") + F.col("_r")).drop("_s", "_r", "_off")
+
+
 def previous_row(df: DataFrame, keys: list[str], order: list[str], carry: list[str], bucket: Column, out: str = "prev") -> DataFrame:
     """Struct of ``carry`` of the preceding row per key (null for the first row)."""
     d = df.withColumn("_b", bucket)

@@ -56,3 +56,19 @@ def select_topk_linear(df: DataFrame, keys: list[str], k: int, order: list[Colum
     w = W.partitionBy(*keys).orderBy(*order)
     first = df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
     return first.withColumn(out, 1.0 - (F.col("_rank") - 1) / F.count("*").over(W.partitionBy(*keys))).drop("_rank")
+
+
+def global_rank(df: DataFrame, score: str = "score", tie: str = "item_id", buckets: int = 128, out: str = "rank") -> DataFrame:
+    """Exact rank from 1 (score descending, id ascending) without one global sort.
+
+    Approximate quantiles cut the scores into buckets; rows are numbered inside their bucket and shifted by
+    the bucket sizes above it. Only the cut points reach the driver.
+    """
+    probs = [i / buckets for i in range(1, buckets)]
+    cuts = df.agg(F.percentile_approx(score, probs, 10000)).first()[0] or []
+    points = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
+    placed = df.withColumn("_b", F.size(F.filter(points, lambda c: c > F.col(score))))
+    sizes = placed.groupBy("_b").agg(F.count("*").alias("_n"))
+    sizes = sizes.select("_b", (F.sum("_n").over(W.orderBy("_b")) - F.col("_n")).alias("_off"))  # at most `buckets` rows
+    inner = placed.withColumn("_r", F.row_number().over(W.partitionBy("_b").orderBy(F.desc(score), tie)))
+    return inner.join(sizes, "_b").withColumn(out, F.col("_off") + F.col("_r")).drop("_b", "_r", "_off")
