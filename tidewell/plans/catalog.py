@@ -6,10 +6,12 @@ from tidewell.plans import (  # noqa: F401
     q_filters,
     q_ingest,
     q_models,
+    q_pages,
     q_pairs,
     q_scalars,
     q_scoring,
     q_sessions,
+    q_streaming,
     q_text,
 )
 from tidewell.plans.registry import ORACLES, QUERIES
