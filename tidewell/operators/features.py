@@ -121,10 +121,13 @@ class SvmFeatures(Transform):
         return self
 
     def transform(self, df):
-        cells = df.select(self.key, F.explode(self._cells(df)).alias("c")).select(self.key, "c.name", "c.value").join(self.ids, "name")
-        packed = cells.groupBy(self.key).agg(F.array_sort(F.collect_list(F.struct("id", "value"))).alias(self.out))
+        ids = self.ids.select("name", F.col("id").alias("_id"))
+        cells = df.select(F.col(self.key).alias("_key"), F.explode(self._cells(df)).alias("c")).select("_key", "c.name", "c.value")
+        pair = F.struct(F.col("_id").alias("id"), "value")
+        packed = cells.join(ids, "name").groupBy("_key").agg(F.array_sort(F.collect_list(pair)).alias(self.out))
         none = F.array().cast("array<struct<id:bigint,value:double>>")
-        return df.join(packed, self.key, "left").withColumn(self.out, F.coalesce(self.out, none))
+        out = df.join(packed, df[self.key] == packed["_key"], "left").drop("_key")
+        return out.withColumn(self.out, F.coalesce(self.out, none))
 
 
 def _listed(name: str) -> Callable[[Column], Column]:
@@ -385,10 +388,13 @@ class TfidfFeatures(Transform):
         rows = df.select(self.key, words.alias("_w")).select(self.key, F.explode(grams).alias("term"))
         return rows.groupBy(self.key, "term").agg(F.count("*").alias("tf"))
 
-    def _weights(self, df: DataFrame) -> DataFrame:
+    def _packed(self, df: DataFrame) -> DataFrame:
+        """One array of (term, weight) per row, scaled to length 1 inside the row."""
         w = self._terms(df).join(self.idf, "term").select(self.key, "term", (F.col("tf") * F.col("idf")).alias("w"))
-        size = w.groupBy(self.key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-        return w.join(size, self.key).select(self.key, "term", (F.col("w") / F.col("_norm")).alias("w"))
+        rows = w.groupBy(self.key).agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("e"))
+        size = F.sqrt(F.aggregate("e", F.lit(0.0), lambda s, x: s + x.w * x.w))
+        rows = rows.withColumn("_norm", size)
+        return rows.select(self.key, F.transform("e", lambda x: F.struct(x.term.alias("term"), (x.w / F.col("_norm")).alias("w"))).alias("e"))
 
     def fit(self, df):
         n = df.count()
@@ -397,15 +403,17 @@ class TfidfFeatures(Transform):
         df_ = self._terms(df).groupBy("term").agg(F.count("*").alias("df")).where(F.col("df").between(lo, hi))
         self.idf = df_.select("term", (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
         if self.top is not None:
-            self.selected = chi_squared(self._weights(df), df.select(self.key, F.col(self.target).alias("target")), self.key)
+            weights = self._packed(df).select(self.key, F.explode("e").alias("x")).select(self.key, "x.term", "x.w")
+            self.selected = chi_squared(weights, df.select(self.key, F.col(self.target).alias("target")), self.key)
             self.selected = self.selected.orderBy(F.desc("chi2"), "term").limit(self.top).select("term")
         return self
 
     def transform(self, df):
-        w = self._weights(df)
+        packed = self._packed(df)
         if self.selected is not None:
-            w = w.join(self.selected, "term", "left_semi")
-        packed = w.groupBy(self.key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("term", "w")))).alias(self.out))
+            flat = packed.select(self.key, F.explode("e").alias("x")).select(self.key, "x.term", "x.w").join(self.selected, "term", "left_semi")
+            packed = flat.groupBy(self.key).agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("e"))
+        packed = packed.select(self.key, F.map_from_entries("e").alias(self.out))
         return df.join(packed, self.key, "left").withColumn(self.out, F.coalesce(self.out, F.create_map().cast("map<string,double>")))
 
 

@@ -33,17 +33,25 @@ def _without(recs: DataFrame, seen: DataFrame | None) -> DataFrame:
     return recs if seen is None else recs.join(seen.select(*KEYS), KEYS, "left_anti")
 
 
-def spread(users: DataFrame, ranked: DataFrame, k: int, seen: DataFrame | None = None) -> DataFrame:
-    """The first ``k`` unseen rows of one shared ranked list (``item_id, score, rank``) for every user."""
+def spread(users: DataFrame, ranked: DataFrame, k: int, seen: DataFrame | None = None, by: list[str] = ()) -> DataFrame:
+    """The first ``k`` unseen rows of a shared ranked list (``item_id, score, rank``) for every user.
+
+    ``by`` columns (in both frames) choose among several lists. A user reads ``k`` ranks plus one per exclusion, so a
+    user with a long history costs nobody else anything. Ranks nobody can reach are cut off, which leaves a
+    list small enough for adaptive execution to broadcast it.
+    """
+    keys = [*by, "rank"]
     if seen is None:
-        asked = users.select("user_id", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("rank"))
-        return asked.join(ranked, "rank").select(*KEYS, "score")
+        asked = users.select("user_id", *by, F.explode(F.sequence(F.lit(1), F.lit(k))).alias("rank"))
+        return asked.join(ranked.where(F.col("rank") <= k), keys).select(*KEYS, "score")
     mine = seen.select(*KEYS).dropDuplicates()
     counts = mine.groupBy("user_id").agg(F.count("*").alias("_n"))
+    most = F.lit(k) + F.coalesce(counts.agg(F.max("_n")).scalar(), F.lit(0))
     need = F.lit(k) + F.coalesce("_n", F.lit(0))
-    asked = users.select("user_id").join(counts, "user_id", "left").select("user_id", F.explode(F.sequence(F.lit(1).cast("long"), need)).alias("rank"))
-    rows = _without(asked.join(ranked, "rank"), mine)
-    first = rows.withColumn("_r", F.row_number().over(W.partitionBy("user_id").orderBy("rank"))).where(F.col("_r") <= k)
+    asked = users.select("user_id", *by).join(counts, "user_id", "left")
+    asked = asked.select("user_id", *by, F.explode(F.sequence(F.lit(1).cast("long"), need)).alias("rank"))
+    rows = _without(asked.join(ranked.where(F.col("rank") <= most), keys), mine)
+    first = rows.withColumn("_r", F.row_number().over(W.partitionBy("user_id", *by).orderBy("rank"))).where(F.col("_r") <= k)
     return first.select(*KEYS, "score")
 
 
@@ -286,11 +294,10 @@ def rec_popular(users: DataFrame, popularity: DataFrame, k: int, seen: DataFrame
 def rec_popular_dim(user_dims: DataFrame, popularity: DataFrame, item_dims: DataFrame, k: int, seen: DataFrame | None = None) -> DataFrame:
     """Popular items inside the user's dimension (``user_id, dim``), rescaled."""
     per_dim = popularity.join(item_dims.select("item_id", "dim"), "item_id")
-    most = 0
-    if seen is not None:
-        most = seen.select(*KEYS).dropDuplicates().groupBy("user_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    lists = topk_by(per_dim, "dim", k + most)
-    return rescale_topk(_without(user_dims.join(lists, "dim").select(*KEYS, "score"), seen), ["user_id"], k)
+    ranked = per_dim.withColumn("rank", F.row_number().over(W.partitionBy("dim").orderBy(F.desc("score"), "item_id")))
+    rows = spread(user_dims.select("user_id", "dim"), ranked, k, seen, ["dim"])
+    best = rows.groupBy(*KEYS).agg(F.max("score").alias("score"))  # an item may be in several of the user's dimensions
+    return rescale_topk(best, ["user_id"], k)
 
 
 def reorder_by_popularity(lists: DataFrame, popularity: DataFrame) -> DataFrame:

@@ -159,8 +159,8 @@ def linear_score(spark, d):
     return models.linear_score(rows, weights, classes, 18).withColumn("score", F.round("score", 8))
 
 
-@query("tfidf_scaler_pipeline")
-def tfidf_scaler_pipeline(spark, d):
+@query("tfidf_scaler")
+def tfidf_scaler(spark, d):
     docs = fx.table(spark, d, "documents").select("doc_id", "text", F.col("n_chars").cast("double").alias("n_chars"))
     words, scaled = models.text_pipeline(docs, "text", ["n_chars"])
     out = scaled.transform(words.transform(docs))
