@@ -24,6 +24,17 @@ def prime_hash(x: Column | str, a: int, b: int) -> Column:
     return F.pmod(top + F.pmod(aa * low, p) + F.lit(b % PRIME).cast("long"), p)
 
 
+def hash_bits(text: Column | str, part: int = 0) -> Column:
+    """60 hash bits of a text as a whole number; the same in every engine that knows md5."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{part}:"), c.cast("string")).cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+def hash_share(cols: list[str], seed: int) -> Column:
+    """Number in [0, 1) from a row's columns: a rerun after a lost executor gives every row the same one."""
+    return F.pmod(hash_bits(F.concat_ws(":", *[F.col(c).cast("string") for c in cols]), seed), F.lit(1_000_000)) / 1_000_000.0
+
+
 def hash_family(n: int, seed: int = 42) -> list[tuple[int, int]]:
     """``n`` distinct seeded coefficient pairs."""
     rng = np.random.default_rng(seed)

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tidewell.functions.hashing import hash_bits
 from tidewell.operators.topk import topk_by
 
 COMBINERS: dict[str, Callable[..., DataFrame]] = {}
@@ -77,8 +78,7 @@ def _variation(value: Column, ratios: dict[str, float], decimals: int | None = N
 
 def ab_assign(users: DataFrame, ratios: dict[str, float], seed: int = 0) -> DataFrame:
     """User to variation by hash bucket 1..100 over cumulative ratios; stable per user."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col("user_id").cast("string")).cast("binary"))
-    bucket = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(100)) + 1
+    bucket = F.pmod(hash_bits("user_id", seed), F.lit(100)) + 1
     return users.withColumn("variation", _variation(bucket / F.lit(100), ratios, 5))
 
 
@@ -95,7 +95,8 @@ def tag_strategy(requests: DataFrame, strategies: DataFrame, default: str) -> Da
 def list_hash(recs: DataFrame, k: int) -> DataFrame:
     """Fingerprint of every user's top ``k`` list."""
     top = topk_by(recs, "user_id", k)
-    return top.groupBy("user_id").agg(F.xxhash64(F.array_sort(F.collect_list(F.struct("item_id", "score")))).alias("shown_hash"))
+    entry = F.format_string("%d=%d", "item_id", F.round(F.col("score") * 1e6).cast("long"))
+    return top.groupBy("user_id").agg(F.md5(F.array_join(F.array_sort(F.collect_list(entry)), ",").cast("binary")).alias("shown_hash"))
 
 
 def diversify(recs: DataFrame, k: int, level: int, shown: DataFrame, seed: int = 42) -> DataFrame:
@@ -105,6 +106,6 @@ def diversify(recs: DataFrame, k: int, level: int, shown: DataFrame, seed: int =
     """
     again = list_hash(recs, k).join(shown.select("user_id", "shown_hash"), ["user_id", "shown_hash"], "left_semi").select("user_id", F.lit(1).alias("_again"))
     pool = topk_by(recs, "user_id", k * level, rank="_r").join(again, "user_id", "left")
-    draw = F.when(F.col("_again") == 1, F.xxhash64("user_id", "item_id", F.lit(seed))).otherwise(F.col("_r").cast("long"))
+    draw = F.when(F.col("_again") == 1, hash_bits(F.concat_ws(":", F.col("user_id").cast("string"), F.col("item_id").cast("string")), seed)).otherwise(F.col("_r").cast("long"))
     picked = pool.withColumn("_p", F.row_number().over(W.partitionBy("user_id").orderBy(draw, "item_id"))).where(F.col("_p") <= k)
     return picked.select("user_id", "item_id", "score")

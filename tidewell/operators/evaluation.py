@@ -4,18 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidewell.functions.hashing import hash_share
 from tidewell.operators.topk import topk_by
 
 
-def _share(cols: list[str], seed: int) -> F.Column:
-    """Uniform number in [0, 1) hashed from columns: the same rows fall the same way in every run."""
-    return F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(1_000_000)) / 1_000_000.0
-
-
 def split(df: DataFrame, keys: list[str], p: float = 0.8, seed: int = 123, test_users: float = 0.1) -> tuple[DataFrame, DataFrame]:
     """(train, test): rows by hash, then test rows limited to a share of the test users."""
-    train = df.where(_share(keys, seed) < p)
-    test = df.where((_share(keys, seed) >= p) & (_share(["user_id"], seed + 1) < test_users))
+    train = df.where(hash_share(keys, seed) < p)
+    test = df.where((hash_share(keys, seed) >= p) & (hash_share(["user_id"], seed + 1) < test_users))
     return train, test
 
 

@@ -12,7 +12,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tidewell.functions.hashing import constant_hash, feature_hash
+from tidewell.functions.hashing import constant_hash, feature_hash, hash_bits
 from tidewell.operators.nearest import gram, nearest, times
 from tidewell.operators.text import hash_sign
 from tidewell.session import cut_lineage
@@ -93,8 +93,8 @@ def fit_w2v(sessions: DataFrame, tokens: str, size: int = 30, min_count: int = 5
     return model.getVectors().select(F.col("word").alias("item_id"), vector_to_array("vector").alias("features"))
 
 
-def fit_text_vectors(items: DataFrame, tokens: str, dim: int = 32, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """(term vectors, document vectors): seeded ±1 directions per document summed into terms by tf-idf, and back.
+def fit_text_vectors(items: DataFrame, tokens: str, dim: int = 32) -> tuple[DataFrame, DataFrame]:
+    """(term vectors, document vectors): a ±1 direction per document summed into terms by tf-idf, and back.
 
     ``items``: ``item_id`` and an array column of tokens.
     """
@@ -102,7 +102,7 @@ def fit_text_vectors(items: DataFrame, tokens: str, dim: int = 32, seed: int = 4
     tf = items.select("item_id", F.explode(tokens).alias("term")).groupBy("item_id", "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     weighted = tf.join(df, "term").select("item_id", "term", (F.col("tf") * F.log((n + 1) / (F.col("df") + 1))).alias("w"))
-    signed = weighted.select("item_id", "term", "w", *[F.xxhash64("item_id", F.lit(seed + j)).alias(f"h{j}") for j in range(-(-dim // 64))])
+    signed = weighted.select("item_id", "term", "w", *[hash_bits("item_id", j).alias(f"h{j}") for j in range(-(-dim // 60))])
     terms = cut_lineage(signed.groupBy("term").agg(F.array(*[F.sum(hash_sign("w", i)) for i in range(dim)]).alias("features")))
     back = weighted.join(terms, "term")
     docs = back.groupBy("item_id").agg(F.array(*[F.sum(F.col("w") * F.col("features")[i]) for i in range(dim)]).alias("features"))

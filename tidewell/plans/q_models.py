@@ -59,14 +59,29 @@ def item_word2vec(spark, d):
     return models.fit_w2v(s, "words", 30, 50).select("item_id", F.size("features").alias("n"))
 
 
-@query("tag_term_vectors")
+SQL_TERMS = """tk AS (SELECT p_partkey AS item_id, unnest(string_split(lower(p_name || ' ' || p_type), ' ')) AS term FROM part),
+    tf AS (SELECT item_id, term, count(*) AS tf FROM tk GROUP BY 1, 2), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+    tw AS (SELECT item_id, term, tf * ln(((SELECT count(*) FROM part) + 1) / (df + 1)) AS w, ('0x' || substr(md5('0:' || item_id), 1, 15))::BIGINT AS h FROM tf JOIN df USING (term)),
+    tv AS (SELECT term, [""" + ", ".join(f"sum(CASE WHEN (h >> {i}) & 1 = 1 THEN w ELSE -w END)" for i in range(16)) + """] AS f FROM tw GROUP BY term)"""
+
+
+@query("tag_term_vectors", f"WITH {SQL_TERMS} SELECT term, list_transform(f, lambda x: round(x, 4)) AS features FROM tv")
 def tag_term_vectors(spark, d):
     docs = fx.table(spark, d, "part").select(F.col("p_partkey").alias("item_id"), F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " ").alias("words"))
     terms, _ = models.fit_text_vectors(docs, "words", 16)
     return terms.select("term", F.transform("features", lambda x: F.round(x, 4)).alias("features"))
 
 
-@query("suggest_clusters")
+@query(
+    "suggest_clusters",
+    f"""WITH {SQL_AFFINE}, {SQL_TERMS}, dv AS (SELECT item_id, i, sum(w * x) AS x FROM (SELECT item_id, w, unnest(f) AS x, generate_subscripts(f, 1) AS i FROM tw JOIN tv USING (term)) GROUP BY 1, 2),
+        cv AS (SELECT dim, list(x ORDER BY i) AS f FROM (SELECT dim, i, sum(x) AS x FROM dv JOIN fx_item_dims USING (item_id) WHERE dim_group = 'brand' GROUP BY 1, 2) GROUP BY 1),
+        tg AS (SELECT user_id, tag FROM k WHERE user_id IN (SELECT user_id FROM k GROUP BY 1 HAVING count(*) <= 5)),
+        nb AS (SELECT term AS tag, dim, s, row_number() OVER (PARTITION BY term ORDER BY round(s, 10) DESC, dim) AS r FROM
+              (SELECT term, dim, list_cosine_similarity(tv.f, cv.f) AS s FROM tv, cv WHERE term IN (SELECT tag FROM tg))),
+        su AS (SELECT user_id, dim, sum(s) AS s FROM tg JOIN nb USING (tag) WHERE r <= 5 AND s > 0.1 GROUP BY 1, 2)
+        SELECT user_id, dim AS cluster_id, round(s / max(s) OVER (PARTITION BY user_id), 5) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY s DESC, dim) AS r FROM su) WHERE r <= 5""",
+)
 def suggest_clusters(spark, d):
     """Tags of a user to market segments, both placed in the space of part texts."""
     docs = fx.table(spark, d, "part").select(F.col("p_partkey").alias("item_id"), F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " ").alias("words"))
@@ -95,20 +110,28 @@ def histories(spark, d):
     return ses.history_features(fx.actions(spark, d), fx.item_tags(spark, d), 1, 12)
 
 
-@query("tfidf_history_lines")
+SQL_HISTORY = """tw AS (SELECT item_id, list(tag ORDER BY tag) AS tags FROM fx_item_tags GROUP BY item_id),
+    h AS (SELECT a.*, tags, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS seq FROM fx_actions a JOIN tw USING (item_id)),
+    f AS (SELECT *, flatten(list(tags) OVER (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS past FROM h WHERE seq <= 12),
+    l AS (SELECT event_id, list_concat(list_transform(tags, lambda t: 'i_' || t), list_transform(coalesce(past, []), lambda t: 'u_' || t)) AS e FROM f WHERE seq >= 1),
+    x AS (SELECT event_id, unnest(e) AS tag, generate_subscripts(e, 1) AS pos FROM l),
+    idf AS (SELECT tag, CASE WHEN count(DISTINCT event_id) >= 10 THEN ln(((SELECT count(*) FROM l) + 1.0) / (count(DISTINCT event_id) + 1.0)) ELSE 0 END AS idf FROM x GROUP BY tag)"""
+
+
+@query(
+    "tfidf_history_lines",
+    f"""WITH {SQL_HISTORY}, c AS (SELECT event_id, tag, min(pos) AS pos, count(*) * any_value(idf) AS w FROM x JOIN idf USING (tag) GROUP BY 1, 2),
+        r AS (SELECT *, row_number() OVER (PARTITION BY event_id, tag LIKE 'i\\_%' ESCAPE '\\' ORDER BY w, pos) AS r FROM c)
+        SELECT event_id, '1 |i ' || coalesce(string_agg(CASE WHEN tag LIKE 'i\\_%' ESCAPE '\\' THEN tag || ':' || printf('%.6f', w) END, ' ' ORDER BY pos), '') || ' |u ' ||
+               coalesce(string_agg(CASE WHEN tag LIKE 'u\\_%' ESCAPE '\\' AND r <= 21 THEN tag || ':' || printf('%.6f', w) END, ' ' ORDER BY r), '') AS line FROM r GROUP BY event_id""",
+)
 def tfidf_history_lines(spark, d):
     return models.history_tfidf(histories(spark, d), min_df=10, max_user=21)[0]
 
 
 @query(
     "tfidf_history_idf",
-    """WITH tw AS (SELECT item_id, list(tag ORDER BY tag) AS tags FROM fx_item_tags GROUP BY item_id),
-       h AS (SELECT a.*, tags, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS seq FROM fx_actions a JOIN tw USING (item_id)),
-       f AS (SELECT *, flatten(list(tags) OVER (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS past FROM h WHERE seq <= 12),
-       x AS (SELECT event_id, unnest(list_concat(list_transform(tags, lambda t: 'i_' || t), list_transform(coalesce(past, []), lambda t: 'u_' || t))) AS tag
-             FROM f WHERE seq >= 1)
-       SELECT tag, round(CASE WHEN count(DISTINCT event_id) >= 10 THEN ln(((SELECT count(DISTINCT event_id) FROM x) + 1.0) / (count(DISTINCT event_id) + 1.0)) ELSE 0 END, 8) AS idf
-       FROM x GROUP BY tag""",
+    f"WITH {SQL_HISTORY} SELECT tag, round(idf, 8) AS idf FROM idf",
 )
 def tfidf_history_idf(spark, d):
     return models.history_tfidf(histories(spark, d), min_df=10, max_user=21)[1].withColumn("idf", F.round("idf", 8))

@@ -543,7 +543,7 @@ def ensemble(spark, d):
 @query(
     "ab_assign",
     """SELECT c_custkey AS user_id, CASE WHEN b <= 20 THEN 'a' WHEN b <= 50 THEN 'b' ELSE 'c' END AS variation FROM
-       (SELECT c_custkey, ('0x' || substr(md5('0:' || c_custkey), 1, 8))::BIGINT % 100 + 1 AS b FROM customer)""",
+       (SELECT c_custkey, ('0x' || substr(md5('0:' || c_custkey), 1, 15))::BIGINT % 100 + 1 AS b FROM customer)""",
 )
 def ab_assign(spark, d):
     return ens.ab_assign(fx.table(spark, d, "customer").select(F.col("c_custkey").alias("user_id")), {"a": 2.0, "b": 3.0, "c": 5.0})
@@ -564,7 +564,12 @@ def tag_strategy(spark, d):
     return ens.tag_strategy(imps, rules, "mf").select("event_id", "strategy")
 
 
-@query("diversify")
+@query(
+    "diversify",
+    f"""WITH {SQL_STORED}, rk AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS r FROM x),
+        dr AS (SELECT *, CASE WHEN user_id % 2 = 0 THEN ('0x' || substr(md5('42:' || user_id || ':' || item_id), 1, 15))::BIGINT ELSE r END AS dw FROM rk WHERE r <= 15)
+        SELECT user_id, item_id, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY dw, item_id) AS q FROM dr) WHERE q <= 5""",
+)
 def diversify(spark, d):
     recs = stored_recs(spark, d)
     shown = ens.list_hash(recs, 5).where("user_id % 2 = 0")
@@ -574,7 +579,12 @@ def diversify(spark, d):
 # evaluation
 
 
-@query("split_train_test")
+@query(
+    "split_train_test",
+    f"""WITH rt AS ({SQL_RATINGS}), h AS (SELECT *, (('0x' || substr(md5('123:' || user_id || ':' || item_id), 1, 15))::BIGINT % 1000000) / 1e6 AS a,
+            (('0x' || substr(md5('124:' || user_id), 1, 15))::BIGINT % 1000000) / 1e6 AS b FROM rt)
+        SELECT CASE WHEN a < 0.8 THEN 'train' ELSE 'test' END AS part, user_id, item_id, rating FROM h WHERE a < 0.8 OR b < 0.1""",
+)
 def split_train_test(spark, d):
     train, test = ev.split(agg.ratings(fx.actions(spark, d), WEIGHTS), ["user_id", "item_id"])
     return train.select(F.lit("train").alias("part"), "user_id", "item_id", "rating").union(test.select(F.lit("test"), "user_id", "item_id", "rating"))
