@@ -67,6 +67,7 @@ def most_popular(spark, d):
          SELECT *, row_number() OVER (PARTITION BY dim ORDER BY score DESC, item_id) AS rank FROM (
            SELECT dim, item_id, sum(value + 1) AS score FROM fx_actions JOIN fx_item_dims USING (item_id)
            GROUP BY dim, item_id) WHERE score >= 100) WHERE rank <= 5""",
+    longs=("rank",),
 )
 def most_popular_by_dim(spark, d):
     out = agg.popular_by_dim(fx.actions(spark, d), fx.item_dims(spark, d), 5, 100)
@@ -168,6 +169,7 @@ SQL_TAG_DEFS = """defs AS (SELECT DISTINCT tag, 'g' || (length(tag) % 2) AS tag_
     f"""WITH {SQL_AFFINE}, {SQL_TAG_DEFS}
         SELECT user_id, group_id, cluster_no, string_agg(tag, ',' ORDER BY tag) AS tags
         FROM k JOIN ids USING (tag) GROUP BY user_id, group_id, cluster_no""",
+    longs=("group_id", "cluster_no"),
 )
 def tag_clusters(spark, d):
     return agg.tag_clusters(fx.actions(spark, d), fx.item_tags(spark, d), tag_defs(spark, d), 10, 3, 0.2)
@@ -344,7 +346,7 @@ def topk_global(spark, d):
     return topk.topk(s, 25).withColumn("score", F.round("score", 4))
 
 
-@query("topk_per_key", f"WITH {SQL_SCORES} SELECT cluster_id, item_id, round(score, 4) AS score, r AS rank FROM rk WHERE r <= 7")
+@query("topk_per_key", f"WITH {SQL_SCORES} SELECT cluster_id, item_id, round(score, 4) AS score, r AS rank FROM rk WHERE r <= 7", longs=("rank",))
 def topk_per_key(spark, d):
     return topk.topk_by(scores(spark, d), "cluster_id", 7, rank="rank").withColumn("score", F.round("score", 4))
 

@@ -13,6 +13,7 @@ from tidewell.plans.registry import query
     "feature_ids",
     """WITH c AS (SELECT p_brand, row_number() OVER (ORDER BY count(*) DESC, p_brand) AS id FROM part GROUP BY 1)
        SELECT p_partkey, CASE WHEN id <= 15 THEN id ELSE -1 END AS id FROM part JOIN c USING (p_brand)""",
+    longs=("id",),
 )
 def feature_ids(spark, d):
     p = fx.table(spark, d, "part").select("p_partkey", "p_brand")

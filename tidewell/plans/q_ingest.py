@@ -91,7 +91,7 @@ SQL_CATALOGUE = """vals AS (SELECT 1 AS attr_id, 'brand' AS attr, p_brand AS val
                   row_number() OVER (ORDER BY attr_id, value_name) AS dim_id FROM vals)"""
 
 
-@query("define_attrs", f"WITH {SQL_CATALOGUE} SELECT dim_id, attr_id, value_id, value_name FROM en")
+@query("define_attrs", f"WITH {SQL_CATALOGUE} SELECT dim_id, attr_id, value_id, value_name FROM en", longs=("dim_id", "value_id"))
 def define_attrs(spark, d):
     _, enums, dims = ing.define_attrs(item_schema(spark, d))
     return dims.join(enums, ["item_type", "attr_id", "value_id"]).select("dim_id", "attr_id", "value_id", "value_name")
@@ -170,6 +170,7 @@ def attr_value(spark, d):
     "item_dimensions",
     f"""WITH {SQL_CATALOGUE} SELECT p_partkey AS item_id, dim_id FROM part JOIN en ON (attr = 'brand' AND value_name = p_brand) OR (attr = 'kind' AND value_name = p_type)
         WHERE value_name NOT IN ('PROMO', 'SMALL')""",
+    longs=("dim_id",),
 )
 def item_dimensions(spark, d):
     _, enums, dims = ing.define_attrs(item_schema(spark, d))

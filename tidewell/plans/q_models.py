@@ -65,11 +65,11 @@ SQL_TERMS = """tk AS (SELECT p_partkey AS item_id, unnest(string_split(lower(p_n
     tv AS (SELECT term, [""" + ", ".join(f"sum(CASE WHEN (h >> {i}) & 1 = 1 THEN w ELSE -w END)" for i in range(16)) + """] AS f FROM tw GROUP BY term)"""
 
 
-@query("tag_term_vectors", f"WITH {SQL_TERMS} SELECT term, list_transform(f, lambda x: round(x, 4)) AS features FROM tv")
+@query("tag_term_vectors", f"WITH {SQL_TERMS} SELECT term, generate_subscripts(f, 1) - 1 AS i, round(unnest(f), 4) AS x FROM tv", longs=("i",))
 def tag_term_vectors(spark, d):
     docs = fx.table(spark, d, "part").select(F.col("p_partkey").alias("item_id"), F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " ").alias("words"))
     terms, _ = models.fit_text_vectors(docs, "words", 16)
-    return terms.select("term", F.transform("features", lambda x: F.round(x, 4)).alias("features"))
+    return terms.select("term", F.posexplode("features").alias("i", "x")).withColumn("x", F.round("x", 4))
 
 
 @query(
@@ -152,6 +152,7 @@ def flat_maps(spark, d):
     "labelled_lines",
     """SELECT o_orderkey AS id, l AS label, l || ' | cust:' || o_custkey || ' prio_' || replace(o_orderpriority, ' ', '_') AS line
        FROM orders JOIN (SELECT o_orderstatus, row_number() OVER (ORDER BY o_orderstatus) AS l FROM orders GROUP BY 1) USING (o_orderstatus)""",
+    longs=("label",),
 )
 def labelled_lines(spark, d):
     return models.labelled_lines(flat_maps(spark, d), "m", "o_orderstatus", ["status"])[0].select("id", "label", "line")

@@ -25,7 +25,7 @@ def bought(spark, d):
 
 
 def rounded(df, digits=6):
-    return df.select("user_id", "item_id", F.round("score", digits).alias("score"))
+    return df.select("user_id", "item_id", F.round(F.col("score").cast("double"), digits).alias("score"))
 
 
 SQL_SEEN = "seen AS (SELECT DISTINCT user_id, item_id FROM fx_actions WHERE action_type = 3), us AS (SELECT DISTINCT user_id FROM fx_actions)"
@@ -236,6 +236,7 @@ def rec_vectors(spark, d):
               WHERE grp = 0 GROUP BY 1, 2)
         SELECT f.user_id, f.item_id, row_number() OVER (PARTITION BY f.user_id ORDER BY grp, round(score, 10) DESC NULLS LAST, pos, f.item_id) AS rank FROM f LEFT JOIN s USING (user_id, item_id)
         WHERE f.user_id IN (SELECT user_id FROM s)""",
+    longs=("rank",),
 )
 def vector_sort(spark, d):
     recent = ses.recent_actions(fx.actions(spark, d), 5).dropDuplicates(["user_id", "item_id"])
@@ -311,6 +312,7 @@ SQL_GIVEN = "ls AS (SELECT DISTINCT user_id, item_id FROM fx_actions WHERE value
         s AS (SELECT user_id, item_id, sum(c / m * weight) AS score FROM (SELECT *, max(c) OVER (PARTITION BY user_id, cluster_id) AS m FROM ce) GROUP BY 1, 2)
         SELECT user_id, item_id, round(coalesce(score, 0), 6) AS score, row_number() OVER (PARTITION BY user_id ORDER BY round(coalesce(score, 0), 10) DESC, item_id) AS rank
         FROM ls LEFT JOIN s USING (user_id, item_id) WHERE user_id IN (SELECT user_id FROM fx_user_clusters)""",
+    longs=("rank",),
 )
 def cluster_sort(spark, d):
     out = sc.cluster_sort(given_lists(spark, d), members(spark, d), cluster_lists(spark, d))
@@ -362,6 +364,7 @@ def rec_popular_dim(spark, d):
     "reorder_by_popularity",
     f"""WITH {SQL_POP}, {SQL_GIVEN} SELECT user_id, item_id, coalesce(score, 0) AS score, row_number() OVER (PARTITION BY user_id ORDER BY coalesce(score, 0) DESC, item_id) AS rank
         FROM ls LEFT JOIN pop USING (item_id)""",
+    longs=("rank",),
 )
 def reorder_by_popularity(spark, d):
     return sc.reorder_by_popularity(given_lists(spark, d), popularity(spark, d))

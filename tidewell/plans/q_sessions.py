@@ -134,6 +134,7 @@ def next_item_features(spark, d):
     "recent_actions",
     """SELECT user_id, item_id, rank FROM (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rank
        FROM fx_actions) WHERE rank <= 10""",
+    longs=("rank",),
 )
 def recent_actions(spark, d):
     return ses.recent_actions(fx.actions(spark, d), 10)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewell.plans.fixtures import SQL_VIEWS
 
@@ -42,13 +43,21 @@ def with_views(sql: str) -> str:
     return f"WITH {ctes} {sql}"
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query; ``sql`` is its SQL twin where plain SQL can express it."""
+def _widened(fn: Query, cols: tuple[str, ...]) -> Query:
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(spark, sf_dir).withColumns({c: F.col(c).cast("long") for c in cols})
+
+    return run
+
+
+def query(name: str, sql: str | None = None, longs: tuple[str, ...] = ()) -> Callable[[Query], Query]:
+    """Register a query; ``sql`` is its SQL twin where plain SQL can express it, ``longs`` are columns shown as BIGINT."""
 
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = fn
+        QUERIES[name] = _widened(fn, longs) if longs else fn
         if sql is not None:
             ORACLES[name] = with_views(sql)
         return fn
