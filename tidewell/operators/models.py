@@ -87,9 +87,10 @@ def _sparse(size: int):
     return build
 
 
-def fit_w2v(sessions: DataFrame, tokens: str, size: int = 30, min_count: int = 50, iterations: int = 1, seed: int = 42) -> DataFrame:
-    """Skip-gram vectors ``item_id, features`` of session tokens."""
-    model = Word2Vec(inputCol=tokens, outputCol="v", vectorSize=size, minCount=min_count, maxIter=iterations, seed=seed, numPartitions=1).fit(sessions)
+def fit_w2v(sessions: DataFrame, tokens: str, size: int = 30, min_count: int = 50, iterations: int = 1, partitions: int | None = None, seed: int = 42) -> DataFrame:
+    """Skip-gram vectors ``item_id, features`` of session tokens, trained on all cores (``partitions``) side by side."""
+    parts = partitions or sessions.sparkSession.sparkContext.defaultParallelism
+    model = Word2Vec(inputCol=tokens, outputCol="v", vectorSize=size, minCount=min_count, maxIter=iterations, seed=seed, numPartitions=parts).fit(sessions)
     return model.getVectors().select(F.col("word").alias("item_id"), vector_to_array("vector").alias("features"))
 
 

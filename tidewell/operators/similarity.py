@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.mllib.linalg import Vectors
-from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import DataFrame, functions as F
 
+from tidewell.functions.hashing import hash_share
 from tidewell.operators.filters import filter_items
-from tidewell.operators.skew import cooccurrence_candidates, with_key_count
+from tidewell.operators.skew import cooccurrence_candidates, shared_counts, with_key_count
 from tidewell.operators.topk import topk_by
 
 
@@ -40,15 +39,22 @@ def item_similarity(
     return topk_by(scored.where(F.col("score") >= threshold), "item_a", limit, tie="item_b")
 
 
-def item_similarity_sampled(actions: DataFrame, limit: int, threshold: float, **bounds) -> DataFrame:
-    """Threshold-sampled cosine (Spark's own column similarities); item ids are the matrix columns."""
+def item_similarity_sampled(actions: DataFrame, limit: int, threshold: float, seed: int = 42, **bounds) -> DataFrame:
+    """Sampled cosine for pairs above ``threshold``, in the way of all-pairs dimension-independent sampling.
+
+    A (user, item) cell stays with probability ``min(1, g / |item|)``, ``g = sqrt(10 * ln(items) / threshold)``, and
+    counts ``1 / min(g, |item|)``, so popular items shrink while pairs above the threshold keep their expected score.
+    The draw is a hash of the cell.
+    """
     ui = _user_items(actions, bounds.get("min_users", 0), bounds.get("max_users", 2_000_000), bounds.get("min_items", 0))
-    width = (ui.agg(F.max("item_id")).first()[0] or 0) + 1
-    rows = ui.groupBy("user_id").agg(F.array_sort(F.collect_set("item_id")).alias("items")).select("items")
-    matrix = RowMatrix(rows.rdd.map(lambda r: Vectors.sparse(width, r[0], [1.0] * len(r[0]))))
-    entries = matrix.columnSimilarities(threshold).entries.map(lambda e: (e.i, e.j, e.value))
-    sim = actions.sparkSession.createDataFrame(entries, "item_a long, item_b long, score double")
-    return topk_by(sim, "item_a", limit, tie="item_b")
+    sized = with_key_count(ui, ["item_id"], "n").withColumn("norm", F.sqrt(F.col("n").cast("double")))
+    g = F.sqrt(10.0 * F.log(ui.agg(F.countDistinct("item_id")).scalar()) / threshold)
+    kept = sized.where(hash_share(["user_id", "item_id"], seed) < g / F.col("norm"))
+    pairs = shared_counts(kept.select(F.col("user_id").alias("grp"), F.col("item_id").alias("item")))
+    scale = sized.select("item_id", F.least(g, "norm").alias("s")).dropDuplicates(["item_id"])
+    scored = pairs.join(scale.toDF("item_a", "sa"), "item_a").join(scale.toDF("item_b", "sb"), "item_b")
+    sim = scored.select("item_a", "item_b", (F.col("shared") / (F.col("sa") * F.col("sb"))).alias("score"))
+    return topk_by(sim.withColumn("_s", F.round("score", 10)), "item_a", limit, score="_s", tie="item_b").drop("_s")
 
 
 def cooccurrence(user_items: DataFrame, n: int, hot_size: int = 2000) -> DataFrame:
