@@ -145,17 +145,21 @@ def cosine(a: Column | str, b: Column | str) -> Column:
     return F.when(size > 0, dot(a, b) / size).otherwise(F.lit(0.0))
 
 
+def divided(a: Column | str, by: Column) -> Column:
+    """Array over a number that is worked out once per row; inside a lambda it would be once per element."""
+    return F.zip_with(a, F.array_repeat(by, F.size(a)), lambda x, n: x.cast("double") / n)
+
+
 def unit(a: Column | str) -> Column:
     """Vector scaled to length 1; a zero vector stays as it is."""
     n = norm(a)
-    return F.when(n > 0, F.transform(a, lambda x: x.cast("double") / n)).otherwise(F.transform(a, lambda x: x.cast("double")))
+    return divided(a, F.when(n > 0, n).otherwise(F.lit(1.0)))
 
 
 def sigmoid_normalise(scores: Column | str) -> Column:
     """Array of logistic values divided by their sum."""
     squashed = F.transform(scores, lambda x: 1.0 / (1.0 + F.exp(-x)))
-    total = F.aggregate(squashed, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(squashed, lambda x: x / total)
+    return divided(squashed, F.aggregate(squashed, F.lit(0.0), lambda acc, x: acc + x))
 
 
 def json_features(col: str) -> Column:

@@ -391,10 +391,8 @@ class TfidfFeatures(Transform):
     def _packed(self, df: DataFrame) -> DataFrame:
         """One array of (term, weight) per row, scaled to length 1 inside the row."""
         w = self._terms(df).join(self.idf, "term").select(self.key, "term", (F.col("tf") * F.col("idf")).alias("w"))
-        rows = w.groupBy(self.key).agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("e"))
-        size = F.sqrt(F.aggregate("e", F.lit(0.0), lambda s, x: s + x.w * x.w))
-        rows = rows.withColumn("_norm", size)
-        return rows.select(self.key, F.transform("e", lambda x: F.struct(x.term.alias("term"), (x.w / F.col("_norm")).alias("w"))).alias("e"))
+        rows = w.groupBy(self.key).agg(F.sort_array(F.collect_list(F.struct("term", "w"))).alias("e"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("n"))
+        return rows.select(self.key, F.transform("e", lambda x: F.struct(x.term.alias("term"), (x.w / F.col("n")).alias("w"))).alias("e"))
 
     def fit(self, df):
         n = df.count()
@@ -412,7 +410,7 @@ class TfidfFeatures(Transform):
         packed = self._packed(df)
         if self.selected is not None:
             flat = packed.select(self.key, F.explode("e").alias("x")).select(self.key, "x.term", "x.w").join(self.selected, "term", "left_semi")
-            packed = flat.groupBy(self.key).agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("e"))
+            packed = flat.groupBy(self.key).agg(F.sort_array(F.collect_list(F.struct("term", "w"))).alias("e"))
         packed = packed.select(self.key, F.map_from_entries("e").alias(self.out))
         return df.join(packed, self.key, "left").withColumn(self.out, F.coalesce(self.out, F.create_map().cast("map<string,double>")))
 

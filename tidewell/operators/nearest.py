@@ -70,7 +70,7 @@ def nearest(
         n = norm("features")
         q = q.select(
             "query_id",
-            F.concat(F.transform("features", lambda x: F.when(n > 0, x.cast("double") / n).otherwise(0.0)), F.array(F.lit(0.0))).alias("vec"),
+            F.concat(unit("features"), F.array(F.lit(0.0))).alias("vec"),
             "need",
             (n * longest).alias("scale"),
         )

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from tidewell.functions.scalars import divided
 from tidewell.operators.filters import items_with_dims
 from tidewell.operators.nearest import gram, nearest, times
 from tidewell.operators.sets import symmetric
@@ -88,7 +89,7 @@ def fold_in(recent: DataFrame, items: DataFrame, users: DataFrame | None = None,
     packed = sums.groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda t: t.x).alias("_f"))
     if not invert:
         size = F.aggregate("_f", F.lit(0.0), lambda a, x: a + F.abs(x))
-        packed = packed.withColumn("_l1", size).where("_l1 > 0").select("user_id", F.transform("_f", lambda x: x / F.col("_l1")).alias("_f"))
+        packed = packed.where(size > 0).select("user_id", divided("_f", size).alias("_f"))
     if users is None:
         return packed.select(F.col("user_id").alias("id"), F.col("_f").alias("features"))
     stored = users.select(F.col("id").alias("user_id"), F.transform("features", lambda x: x.cast("double")).alias("_u"))
