@@ -1,10 +1,14 @@
-"""Training-data pipeline: toxicity, exact dedup, SimHash near-dedup, benchmark decontamination, best-fit packing."""
+"""Training-data pipeline: toxicity, exact dedup, SimHash near-dedup, benchmark decontamination, best-fit packing.
+
+Nulls, empty and repeated rows, empty tables and extra columns are treated as the stages' operators say; all stages but
+the last return the columns of their input as they are.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import exact_dedup, simhash, toxicity
+from tidewell.llm import decontaminate, exact_dedup, packing, simhash, toxicity
 from tidewell.llm.common import saved, table
 from tidewell.llm.queries import held_out
 
@@ -25,10 +29,22 @@ def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return simhash.keep_one(docs)
 
 
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak no item of ``benchmark``."""
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document, with its bin; every document kept so far is packed whole."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("toxicity", remove_toxic),
     ("exact_dedup", remove_copies),
     ("simhash", remove_near_copies),
+    ("decontamination", remove_benchmark),
+    ("packing", pack_sequences),
 ]
 
 #: SQL cannot train dictionaries or pack bins; the stages are tested against brute force instead.
