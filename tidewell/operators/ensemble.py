@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tidewell.functions.hashing import hash_bits
+from tidewell.functions.hashing import hash_bits, hash_share
 from tidewell.operators.topk import topk_by
 
 COMBINERS: dict[str, Callable[..., DataFrame]] = {}
@@ -82,9 +82,9 @@ def ab_assign(users: DataFrame, ratios: dict[str, float], seed: int = 0) -> Data
     return users.withColumn("variation", _variation(bucket / F.lit(100), ratios, 5))
 
 
-def random_variation(requests: DataFrame, ratios: dict[str, float], seed: int = 42) -> DataFrame:
-    """Random variation per request."""
-    return requests.withColumn("_u", F.rand(seed)).withColumn("variation", _variation(F.col("_u"), ratios)).drop("_u")
+def random_variation(requests: DataFrame, ratios: dict[str, float], seed: int = 42, key: list[str] | None = None) -> DataFrame:
+    """Random variation per request: a hash of its ``key`` columns (all by default), so a retried task draws the same."""
+    return requests.withColumn("variation", _variation(hash_share(key or requests.columns, seed), ratios))
 
 
 def tag_strategy(requests: DataFrame, strategies: DataFrame, default: str) -> DataFrame:

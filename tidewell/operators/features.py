@@ -59,7 +59,7 @@ class ColumnTransform(Transform):
 class FeatureIds(Transform):
     """Ids by value count (most frequent first), from 1 or 0; rare values beyond the limits have none."""
 
-    def __init__(self, col: str, out: str, min_size: int = 0, max_classes: int = 1000, exclude_missing: bool = False, zero_based: bool = False):
+    def __init__(self, col: str, out: str, min_size: int = 0, max_classes: int | None = None, exclude_missing: bool = False, zero_based: bool = False):
         self.col, self.out, self.min_size, self.max_classes = col, out, min_size, max_classes
         self.exclude_missing, self.zero_based = exclude_missing, zero_based
         self.ids: DataFrame | None = None
@@ -68,7 +68,8 @@ class FeatureIds(Transform):
         if self.col not in df.columns:
             return self
         counts = df.where(F.col(self.col).isNotNull()).groupBy(self.col).agg(F.count("*").alias("n")).where(F.col("n") >= self.min_size)
-        top = counts.orderBy(F.desc("n"), self.col).limit(self.max_classes)
+        top = counts.orderBy(F.desc("n"), self.col)
+        top = top if self.max_classes is None else top.limit(self.max_classes)
         number = F.row_number().over(W.orderBy(F.desc("n"), self.col)) - (1 if self.zero_based else 0)
         self.ids = top.select(self.col, number.alias(self.out))
         return self
@@ -166,13 +167,14 @@ class Scale(Transform):
 class Binarise(Transform):
     """One 0/1 column ``col_i`` per label in label order; two labels share one column."""
 
-    def __init__(self, col: str, max_labels: int = 1000):
+    def __init__(self, col: str, max_labels: int | None = None):
         self.col, self.max_labels = col, max_labels
         self.labels: list = []
 
     def fit(self, df):
-        rows = df.select(self.col).where(F.col(self.col).isNotNull()).distinct().orderBy(self.col).limit(self.max_labels + 1).collect()
-        if len(rows) > self.max_labels:
+        found = df.select(self.col).where(F.col(self.col).isNotNull()).distinct().orderBy(self.col)
+        rows = (found if self.max_labels is None else found.limit(self.max_labels + 1)).collect()
+        if self.max_labels is not None and len(rows) > self.max_labels:
             raise ValueError(f"{self.col} has more than {self.max_labels} labels")
         self.labels = [r[0] for r in rows]
         return self
@@ -433,7 +435,7 @@ def fit_classifier(df: DataFrame, target: str, numbers: list[str], categories: l
     The scorer adds ``prediction`` (readable class) and ``probabilities`` (array in class order).
     """
     filled = lambda x: x.fillna(0, numbers).fillna("", categories)
-    label = StringIndexer(inputCol=target, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
+    label = StringIndexer(inputCol=target, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="error").fit(df)
     stages = [StringIndexer(inputCol=c, outputCol=f"_{c}", handleInvalid="keep", stringOrderType="alphabetAsc") for c in categories]
     stages += [OneHotEncoder(inputCol=f"_{c}", outputCol=f"_{c}_hot", handleInvalid="keep") for c in categories]
     stages += [VectorAssembler(inputCols=[*numbers, *[f"_{c}_hot" for c in categories]], outputCol="_x")]
@@ -472,7 +474,7 @@ def auc(df: DataFrame, group: str, target: str, score: str) -> DataFrame:
 
     Rows are reduced to one per (group, score) before the running count.
     """
-    bins = df.groupBy(group, F.round(score, 6).alias("s")).agg(F.sum(F.col(target).cast("double")).alias("pos"), F.count("*").alias("n"))
+    bins = df.groupBy(group, F.col(score).alias("s")).agg(F.sum(F.col(target).cast("double")).alias("pos"), F.count("*").alias("n"))
     w = W.partitionBy(group).orderBy("s").rowsBetween(W.unboundedPreceding, -1)
     ranked = bins.withColumn("neg", F.col("n") - F.col("pos")).withColumn("below", F.coalesce(F.sum("neg").over(w), F.lit(0.0)))
     out = ranked.groupBy(group).agg(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidewell.functions.hashing import hash_share
 from tidewell.operators.skew import with_key_count
 
 
@@ -58,8 +59,9 @@ def allow_users(df: DataFrame, users: DataFrame | None) -> DataFrame:
     return df.join(users.select("user_id").dropDuplicates(), "user_id", "left_semi")
 
 
-def sample(df: DataFrame, p: float, seed: int = 42) -> DataFrame:
-    return df.sample(fraction=p, seed=seed)
+def sample(df: DataFrame, p: float, seed: int = 42, key: list[str] | None = None) -> DataFrame:
+    """About a share ``p`` of the rows, by a hash of their ``key`` columns (all by default): the same rows whatever the partitioning."""
+    return df.where(hash_share(key or df.columns, seed) < p)
 
 
 def items_with_dims(items: DataFrame, item_dims: DataFrame, dims: list[str]) -> DataFrame:

@@ -19,6 +19,9 @@ from tidewell.session import cut_lineage
 
 ALS_COLS = dict(userCol="user_id", itemCol="item_id", ratingCol="rating", coldStartStrategy="drop")
 
+#: Largest vocabulary that Spark's vectors can have: no term is left out.
+NO_LIMIT = 2**31 - 1
+
 
 def fit_als(ratings: DataFrame, rank: int = 30, iterations: int = 5, reg: float = 0.01, implicit: bool = False, alpha: float = 1.0, seed: int = 42):
     """Explicit (nonnegative) or implicit alternating least squares."""
@@ -57,7 +60,7 @@ def user_documents(actions: DataFrame, item_tags: DataFrame, min_actions: int =
     return ui.join(item_tags, "item_id").groupBy("user_id", F.col("tag").alias("term")).agg(F.sum("n").alias("n"))
 
 
-def fit_topics(actions: DataFrame, item_tags: DataFrame, k: int = 50, iterations: int = 20, vocab_size: int = 100_000, terms: int = 50, seed: int = 42):
+def fit_topics(actions: DataFrame, item_tags: DataFrame, k: int = 50, iterations: int = 20, vocab_size: int | None = None, terms: int = 50, seed: int = 42):
     """LDA with users as documents of item tags.
 
     Returns (``user_id, features`` topic mix, ``topic, term, weight`` top terms per topic). The packed cell of
@@ -65,7 +68,7 @@ def fit_topics(actions: DataFrame, item_tags: DataFrame, k: int = 50, iterations
     """
     counts = user_documents(actions, item_tags)
     words = counts.groupBy("user_id").agg(F.array_sort(F.collect_list("term")).alias("words"))
-    vocabulary = CountVectorizer(inputCol="words", outputCol="x", vocabSize=vocab_size).fit(words).vocabulary
+    vocabulary = CountVectorizer(inputCol="words", outputCol="x", vocabSize=vocab_size or NO_LIMIT).fit(words).vocabulary
     spark = actions.sparkSession
     index = spark.createDataFrame([(w, i) for i, w in enumerate(vocabulary)], "term string, i int")
     packed = counts.join(index, "term").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("i", F.col("n").cast("double").alias("n")))).alias("c"))
@@ -87,10 +90,12 @@ def _sparse(size: int):
     return build
 
 
-def fit_w2v(sessions: DataFrame, tokens: str, size: int = 30, min_count: int = 50, iterations: int = 1, partitions: int | None = None, seed: int = 42) -> DataFrame:
-    """Skip-gram vectors ``item_id, features`` of session tokens, trained on all cores (``partitions``) side by side."""
-    parts = partitions or sessions.sparkSession.sparkContext.defaultParallelism
-    model = Word2Vec(inputCol=tokens, outputCol="v", vectorSize=size, minCount=min_count, maxIter=iterations, seed=seed, numPartitions=parts).fit(sessions)
+def fit_w2v(sessions: DataFrame, tokens: str, size: int = 30, min_count: int = 50, iterations: int = 1, partitions: int = 8, seed: int = 42) -> DataFrame:
+    """Skip-gram vectors ``item_id, features`` of session tokens, trained in ``partitions`` parts side by side.
+
+    The vectors depend on the number of parts, so it is an argument and not the number of cores.
+    """
+    model = Word2Vec(inputCol=tokens, outputCol="v", vectorSize=size, minCount=min_count, maxIter=iterations, seed=seed, numPartitions=partitions).fit(sessions)
     return model.getVectors().select(F.col("word").alias("item_id"), vector_to_array("vector").alias("features"))
 
 

@@ -47,7 +47,7 @@ def spread(users: DataFrame, ranked: DataFrame, k: int, seen: DataFrame | None =
         return asked.join(ranked.where(F.col("rank") <= k), keys).select(*KEYS, "score")
     mine = seen.select(*KEYS).dropDuplicates()
     counts = mine.groupBy("user_id").agg(F.count("*").alias("_n"))
-    most = F.lit(k) + F.coalesce(counts.agg(F.max("_n")).scalar(), F.lit(0))
+    most = k + (counts.agg(F.max("_n")).first()[0] or 0)  # a plain number, so the ranking keeps a group limit below its shuffle
     need = F.lit(k) + F.coalesce("_n", F.lit(0))
     asked = users.select("user_id", *by).join(counts, "user_id", "left")
     asked = asked.select("user_id", *by, F.explode(F.sequence(F.lit(1).cast("long"), need)).alias("rank"))

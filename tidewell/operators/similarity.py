@@ -9,9 +9,11 @@ from tidewell.operators.filters import filter_items
 from tidewell.operators.skew import cooccurrence_candidates, shared_counts, with_key_count
 from tidewell.operators.topk import topk_by
 
+NO_LIMIT = 2**63 - 1
 
-def _user_items(actions: DataFrame, min_users: int, max_users: int, min_items: int) -> DataFrame:
-    ui = filter_items(actions, min_users, max_users).where("item_id > 0")
+
+def _user_items(actions: DataFrame, min_users: int, max_users: int | None, min_items: int) -> DataFrame:
+    ui = filter_items(actions, min_users, NO_LIMIT if max_users is None else max_users).where("item_id > 0")
     if min_items > 0:
         ui = with_key_count(ui, ["user_id"], "_n").where(F.col("_n") >= min_items).drop("_n")
     return ui
@@ -21,7 +23,7 @@ def item_similarity(
     actions: DataFrame,
     limit: int = 100,
     min_users: int = 0,
-    max_users: int = 2_000_000,
+    max_users: int | None = None,
     min_items: int = 0,
     threshold: float = 0.0,
     both: bool = False,
@@ -46,7 +48,7 @@ def item_similarity_sampled(actions: DataFrame, limit: int, threshold: float, se
     counts ``1 / min(g, |item|)``, so popular items shrink while pairs above the threshold keep their expected score.
     The draw is a hash of the cell.
     """
-    ui = _user_items(actions, bounds.get("min_users", 0), bounds.get("max_users", 2_000_000), bounds.get("min_items", 0))
+    ui = _user_items(actions, bounds.get("min_users", 0), bounds.get("max_users"), bounds.get("min_items", 0))
     sized = with_key_count(ui, ["item_id"], "n").withColumn("norm", F.sqrt(F.col("n").cast("double")))
     g = F.sqrt(10.0 * F.log(ui.agg(F.countDistinct("item_id")).scalar()) / threshold)
     kept = sized.where(hash_share(["user_id", "item_id"], seed) < g / F.col("norm"))

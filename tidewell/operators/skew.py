@@ -96,7 +96,7 @@ def sessionise(
     )
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], rule: str = "linear", buckets: int = 1024) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], rule: str = "linear", buckets: int = 128) -> DataFrame:
     """Exact quantiles per key as rows ``(keys…, p, value)``.
 
     ``rule='linear'`` interpolates at ``p*(n-1)``; ``rule='np1'`` at rank ``p*(n+1)`` clamped to the ends.
@@ -106,7 +106,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     if own_key:
         df, keys = df.withColumn("_all", F.lit(1)), ["_all"]
     counted = df.where(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count("*").alias("_c"))
-    span = counted.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_n"))
+    cuts = F.percentile_approx("_v", [i / buckets for i in range(1, buckets)], 10000)  # of the distinct values: buckets of like size, whatever the tail
+    span = counted.groupBy(*keys).agg(cuts.alias("_cuts"), F.sum("_c").alias("_n"))
 
     def target(p: float) -> Column:
         if rule == "linear":
@@ -117,9 +118,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         return F.struct(F.lit(float(p)).alias("p"), r0.alias("r0"), F.least(r0 + 1, F.col("_n") - 1).alias("r1"), (pos - r0).alias("f"))
 
     span = span.withColumn("_t", F.array(*[target(p) for p in probs]))
-    width = F.col("_hi") - F.col("_lo")
-    slot = F.when(width <= 0, 0).otherwise(F.least(F.lit(buckets - 1), F.floor((F.col("_v") - F.col("_lo")) / width * buckets)))
-    placed = counted.join(span, keys).withColumn("_b", slot)
+    placed = counted.join(span, keys).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
     sums = placed.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
     across = W.partitionBy(*keys).orderBy("_b")
     sums = sums.withColumn("_before", F.sum("_bc").over(across) - F.col("_bc"))

@@ -61,14 +61,18 @@ def select_topk_linear(df: DataFrame, keys: list[str], k: int, order: list[Colum
 def global_rank(df: DataFrame, score: str = "score", tie: str = "item_id", buckets: int = 128, out: str = "rank") -> DataFrame:
     """Exact rank from 1 (score descending, id ascending) without one global sort.
 
-    Approximate quantiles cut the scores into buckets; rows are numbered inside their bucket and shifted by
-    the bucket sizes above it. Only the cut points reach the driver.
+    Approximate quantiles cut the scores into buckets, a cut's own score apart from the others; as a score of many rows is a
+    cut, its rows are cut again by id. Rows are numbered inside their bucket and shifted by the bucket sizes ahead. Only the
+    cut points reach the driver.
     """
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(score, probs, 10000)).first()[0] or []
-    points = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
-    placed = df.withColumn("_b", F.size(F.filter(points, lambda c: c > F.col(score))))
+    found = df.agg(F.percentile_approx(score, probs, 10000).alias("s"), F.percentile_approx(tie, probs, 10000).alias("t")).first()
+    points = [F.array(*[F.lit(c) for c in sorted(set(x or []))]) if x else F.array().cast("array<double>") for x in (found.s, found.t)]
+    is_cut = F.array_contains(points[0], F.col(score)) if found.s else F.lit(False)
+    by_id = F.when(is_cut, F.size(F.filter(points[1], lambda c: c < F.col(tie)))).otherwise(0)
+    level = 2 * F.size(F.filter(points[0], lambda c: c > F.col(score))) + is_cut.cast("int")
+    placed = df.withColumn("_b", level * buckets + by_id)
     sizes = placed.groupBy("_b").agg(F.count("*").alias("_n"))
-    sizes = sizes.select("_b", (F.sum("_n").over(W.orderBy("_b")) - F.col("_n")).alias("_off"))  # at most `buckets` rows
+    sizes = sizes.select("_b", (F.sum("_n").over(W.orderBy("_b")) - F.col("_n")).alias("_off"))  # at most 2 * buckets ** 2 rows
     inner = placed.withColumn("_r", F.row_number().over(W.partitionBy("_b").orderBy(F.desc(score), tie)))
     return inner.join(sizes, "_b").withColumn(out, F.col("_off") + F.col("_r")).drop("_b", "_r", "_off")

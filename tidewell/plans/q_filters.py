@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import filters as flt, joins, skew
 from tidewell.plans import fixtures as fx
-from tidewell.plans.registry import query
+from tidewell.plans.registry import query, sql_share
 
 
 def items(spark, d):
@@ -82,9 +82,9 @@ def user_allowlist(spark, d):
     return flt.allow_users(fx.actions(spark, d), users).select("event_id")
 
 
-@query("sample_actions")
+@query("sample_actions", f"SELECT event_id, user_id, item_id FROM fx_actions WHERE {sql_share('event_id', 42)} < 0.25")
 def sample_actions(spark, d):
-    return flt.sample(fx.actions(spark, d), 0.25).select("event_id", "user_id", "item_id")
+    return flt.sample(fx.actions(spark, d), 0.25, key=["event_id"]).select("event_id", "user_id", "item_id")
 
 
 @query("required_dims", "SELECT p_partkey AS item_id, p_name AS name FROM part WHERE p_brand IN ('Brand#3', 'Brand#5')")

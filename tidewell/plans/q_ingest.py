@@ -328,13 +328,13 @@ def src_vectors(spark, d):
     return readers.read_vectors(spark, root, ",").select("id", F.size("features").cast("long").alias("n"), F.round(total, 4).alias("total"))
 
 
-@query("src_frame", "SELECT o_orderkey, round(o_totalprice, 2) AS o_totalprice, CAST(epoch(o_orderdate) AS BIGINT) AS ordered FROM orders WHERE o_orderstatus IN ('F', 'O')")
+@query("src_frame", "SELECT o_orderkey, round(o_totalprice, 2) AS o_totalprice, CAST(epoch(o_orderdate) AS BIGINT) AS ordered FROM orders")
 def src_frame(spark, d):
     root = scratch_path(spark, "frame")
     orders = fx.table(spark, d, "orders").select("o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM-dd").alias("ordered"), "o_orderstatus")
     for status in ("F", "O", "P"):
         writers.write_frame(orders.where(F.col("o_orderstatus") == status).drop("o_orderstatus"), f"{root}/{status}", "json")
-    out = readers.read_frame(spark, [f"{root}/F", f"{root}/O"], "json", "o_orderkey long, o_totalprice double, ordered string", {"ordered": "yyyy-MM-dd"})
+    out = readers.read_frame(spark, [f"{root}/{s}" for s in ("F", "O", "P")], "json", "o_orderkey long, o_totalprice double, ordered string", {"ordered": "yyyy-MM-dd"})
     return out.select("o_orderkey", F.round("o_totalprice", 2).alias("o_totalprice"), F.unix_timestamp("ordered").alias("ordered"))
 
 

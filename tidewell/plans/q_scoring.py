@@ -10,7 +10,7 @@ from tidewell.operators import aggregates as agg, counters, ensemble as ens, eva
 from tidewell.operators.topk import topk_by
 from tidewell.plans import fixtures as fx
 from tidewell.plans.q_core import ALPHA, SQL_AFFINE, SQL_COUNTERS, SQL_RATINGS, SQL_TAG_DEFS, WEIGHTS, now, stored_counts, tag_defs
-from tidewell.plans.registry import query
+from tidewell.plans.registry import query, sql_share
 
 K = 8
 
@@ -43,7 +43,7 @@ def sql_top(source: str, k: int = K, rescale: bool = True, digits: int = 6, orde
 
 
 def item_factors(spark, d):
-    return fx.table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.slice("embedding", 1, 16).alias("features"))
+    return fx.table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
 
 
 def user_factors(spark, d):
@@ -53,7 +53,7 @@ def user_factors(spark, d):
     return flat.groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda t: t.x).alias("features")).withColumnRenamed("user_id", "id")
 
 
-SQL_FACTORS = """it AS (SELECT vec_id AS item_id, CAST(embedding AS DOUBLE[])[1:16] AS f FROM embeddings),
+SQL_FACTORS = """it AS (SELECT vec_id AS item_id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
     uf AS (SELECT user_id, list(x ORDER BY i) AS f FROM (SELECT user_id, i, sum(x) AS x FROM (SELECT user_id, unnest(f) AS x, generate_subscripts(f, 1) AS i
            FROM (SELECT DISTINCT user_id, item_id FROM fx_actions WHERE action_type = 2) JOIN it USING (item_id)) GROUP BY 1, 2) GROUP BY 1),
     x AS (SELECT user_id, item_id, list_dot_product(uf.f, it.f) AS score FROM uf, it)"""
@@ -72,7 +72,7 @@ def rec_mf_candidates(spark, d):
 
 @query(
     "rec_mf_recent",
-    """WITH it AS (SELECT vec_id AS item_id, CAST(embedding AS DOUBLE[])[1:16] AS f FROM embeddings),
+    """WITH it AS (SELECT vec_id AS item_id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
        rc AS (SELECT user_id, item_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM fx_actions) WHERE r <= 10),
        sm AS (SELECT user_id, i, sum(x) AS x FROM (SELECT user_id, unnest(f) AS x, generate_subscripts(f, 1) AS i FROM rc JOIN it USING (item_id)) GROUP BY 1, 2),
        uf AS (SELECT user_id, list(x ORDER BY i) AS f, sum(abs(x)) AS l1 FROM sm GROUP BY 1),
@@ -230,7 +230,7 @@ def rec_vectors(spark, d):
 
 @query(
     "vector_sort",
-    f"""WITH {SQL_COSINE}, ls AS (SELECT user_id, item_id, (item_id * 7 + user_id) % 101 AS pos FROM (SELECT DISTINCT user_id, item_id FROM fx_actions WHERE value > 30)),
+    f"""WITH {SQL_COSINE}, ls AS (SELECT user_id, item_id, (item_id * 7 + user_id) % 101 AS pos FROM (SELECT DISTINCT user_id, item_id FROM fx_actions)),
         f AS (SELECT ls.*, CASE WHEN rc.item_id IS NOT NULL THEN 1 WHEN v.vec_id IS NULL THEN 2 ELSE 0 END AS grp FROM ls LEFT JOIN rc USING (user_id, item_id) LEFT JOIN v ON v.vec_id = ls.item_id),
         s AS (SELECT f.user_id, f.item_id, sum(list_cosine_similarity(a.e, b.e)) AS score FROM f JOIN v a ON a.vec_id = f.item_id JOIN rc ON rc.user_id = f.user_id JOIN v b ON b.vec_id = rc.item_id
               WHERE grp = 0 GROUP BY 1, 2)
@@ -240,7 +240,7 @@ def rec_vectors(spark, d):
 )
 def vector_sort(spark, d):
     recent = ses.recent_actions(fx.actions(spark, d), 5).dropDuplicates(["user_id", "item_id"])
-    lists = fx.actions(spark, d).where("value > 30").select("user_id", "item_id").distinct()
+    lists = fx.actions(spark, d).select("user_id", "item_id").distinct()
     lists = lists.withColumn("pos", (F.col("item_id") * 7 + F.col("user_id")) % 101)
     return vec.ranked_lists(vec.vector_sort(lists, recent, item_vectors(spark, d))).select("user_id", "item_id", "rank")
 
@@ -300,10 +300,10 @@ def rec_from_item(spark, d):
 
 
 def given_lists(spark, d):
-    return fx.actions(spark, d).where("value > 30").select("user_id", "item_id").distinct().withColumn("pos", F.col("item_id"))
+    return fx.actions(spark, d).select("user_id", "item_id").distinct().withColumn("pos", F.col("item_id"))
 
 
-SQL_GIVEN = "ls AS (SELECT DISTINCT user_id, item_id FROM fx_actions WHERE value > 30)"
+SQL_GIVEN = "ls AS (SELECT DISTINCT user_id, item_id FROM fx_actions)"
 
 
 @query(
@@ -552,9 +552,9 @@ def ab_assign(spark, d):
     return ens.ab_assign(fx.table(spark, d, "customer").select(F.col("c_custkey").alias("user_id")), {"a": 2.0, "b": 3.0, "c": 5.0})
 
 
-@query("random_variation")
+@query("random_variation", f"SELECT event_id, CASE WHEN {sql_share('event_id', 42)} <= 0.25 THEN 'a' ELSE 'b' END AS variation FROM events")
 def random_variation(spark, d):
-    return ens.random_variation(fx.table(spark, d, "events").select("event_id"), {"a": 0.25, "b": 0.75})
+    return ens.random_variation(fx.table(spark, d, "events").select("event_id"), {"a": 0.25, "b": 0.75}, key=["event_id"])
 
 
 @query(

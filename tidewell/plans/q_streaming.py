@@ -13,6 +13,10 @@ from tidewell.sources import readers, writers
 from tidewell.streaming import minhash as mh, popularity, stats
 
 
+#: Files of one micro-batch: a batch is read and written by as many tasks.
+FILES = 4
+
+
 def event_stream(spark, d, view, parts: int = 1):
     """A canonical view of the events as a file stream; ``parts`` > 1 delivers it in that many time-ordered micro-batches."""
     root = scratch_path(spark, "stream")
@@ -21,8 +25,8 @@ def event_stream(spark, d, view, parts: int = 1):
         rows.write.parquet(root)
     else:
         for i in range(parts):
-            rows.where(F.dayofmonth("ts") % parts == i).coalesce(1).write.mode("append").parquet(root)
-    opts = {"path": root} if parts == 1 else {"path": root, **stats.files_per_trigger(1)}
+            rows.where(F.dayofmonth("ts") % parts == i).repartition(FILES).write.mode("append").parquet(root)
+    opts = {"path": root} if parts == 1 else {"path": root, **stats.files_per_trigger(FILES)}
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
     return readers.read_stream(spark, "parquet", opts, schema)
 

@@ -43,6 +43,11 @@ def with_views(sql: str) -> str:
     return f"WITH {ctes} {sql}"
 
 
+def sql_share(key: str, seed: int) -> str:
+    """The SQL twin of ``functions.hashing.hash_share`` of one column."""
+    return f"(('0x' || substr(md5('{seed}:' || {key}), 1, 15))::BIGINT % 1000000) / 1000000.0"
+
+
 def _widened(fn: Query, cols: tuple[str, ...]) -> Query:
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:

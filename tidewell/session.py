@@ -31,6 +31,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         path = _OWN_DIR.setdefault(app, tempfile.mkdtemp(prefix="tidewell-") if app not in _OWN_DIR else _OWN_DIR[app])
     if spark.sparkContext.getCheckpointDir() is None:
