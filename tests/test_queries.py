@@ -14,6 +14,7 @@ QUICK = [
     "significant_counts", "session_items", "basket_sessions", "engagement_ab", "history_features", "next_item_features", "item_cosine",
     "item_cooccurrence", "fp_rules", "edge_triangles", "short_paths", "tag_knn", "ngram_next", "rec_item_sim", "rec_cluster_counts",
     "ensemble", "eval_ranking", "page_attributes", "st_minhash_fixed", "resolve_users", "load_attrs", "sink_stage_swap",
+    "sample_actions", "random_variation", "rec_mf", "rec_popular", "rec_popular_dim", "doc_rec", "tag_recommend", "src_frame", "st_minhash_sim", "sink_partitioned",
 ]
 
 

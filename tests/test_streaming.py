@@ -66,3 +66,21 @@ def test_minhash_is_close_to_jaccard(spark):
     for r in out.collect():
         a, b = sets[r.item_a], sets[r.item_b]
         assert abs(r.score - len(a & b) / len(a | b)) < 0.15
+
+
+def test_minhash_snapshot_is_whole_in_any_number_of_batches(spark):
+    """Same events in 1, 2 and 5 micro-batches: the newest snapshot holds every window."""
+    events = [(u, i, w * 100 + u) for w in range(4) for u in range(12) for i in range(5) if (u + i + w) % 3]
+    df = spark.createDataFrame(events, "user_id long, item_id long, t long").withColumn("ts", F.timestamp_seconds("t"))
+    found = []
+    for parts, keep in ((1, None), (2, None), (5, None), (5, 150)):
+        root, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+        for p in range(parts):
+            df.where(F.pmod(F.xxhash64("t"), F.lit(parts)) == p).drop("t").coalesce(1).write.mode("append").parquet(root)
+        stream = readers.read_stream(spark, "parquet", {"path": root, "maxFilesPerTrigger": "1"}, "user_id long, item_id long, ts timestamp")
+        sigs = mh.window_signatures(stream, "100 seconds", None, 16, delay="1 day")
+        writer = sigs.writeStream.outputMode("update").option("checkpointLocation", scratch_path(spark, "progress"))
+        writer.foreachBatch(mh.minhash_sim(out, 16, keep=keep)).trigger(**stats.trigger(once=True)).start().awaitTermination()
+        found.append({tuple(r) for r in stats.read_snapshot(spark, f"{out}/similarity").select(F.unix_timestamp("end"), "item_a", "item_b", F.round("score", 9)).collect()})
+    assert found[0] == found[1] == found[2] and {r[0] for r in found[0]} == {100, 200, 300, 400}
+    assert found[3] == {r for r in found[0] if r[0] > 250}

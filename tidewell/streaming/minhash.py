@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewell.functions.hashing import hash_family, prime_hash
 from tidewell.operators.skew import shared_counts
-from tidewell.streaming.stats import emit_snapshot
+from tidewell.streaming.stats import emit_snapshot, last_snapshot
 
 
 def signature_columns(user: str, hashes: int, seed: int = 42) -> list[Column]:
@@ -61,19 +61,31 @@ def latest_signatures(stored: DataFrame) -> DataFrame:
     return newest.select("end", "item_id", "v.*")
 
 
-def minhash_sim(path: str, hashes: int, min_activity: int = 1):
-    """``foreachBatch`` function for ``window_signatures``: store the updated signatures, then write a whole snapshot
-    of the similarities of the windows this batch touched."""
+def minhash_sim(path: str, hashes: int, min_activity: int = 1, keep: int | None = None):
+    """``foreachBatch`` function for ``window_signatures``: store the updated signatures, then write a whole snapshot.
+
+    Only the windows the batch touched are worked out again, from their own folders; the other windows come from the last
+    snapshot. With ``keep``, windows that end ``keep`` seconds or more before the newest one leave the snapshot.
+    """
     root = path.rstrip("/")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{root}/signatures/batch={batch_id}")
-        stored = spark.read.option("basePath", f"{root}/signatures").parquet(f"{root}/signatures/batch=*").where(F.col("batch") <= batch_id)
+        end = F.unix_micros("end").alias("window")
+        batch.select("*", end).write.mode("overwrite").partitionBy("window").parquet(f"{root}/signatures/batch={batch_id}")
         if batch.isEmpty():
             return  # a batch that only moves the watermark
-        touched = spark.read.parquet(f"{root}/signatures/batch={batch_id}").select("end").distinct()
-        sigs = latest_signatures(stored.join(touched, "end", "left_semi"))
-        emit_snapshot(f"{root}/similarity", lambda _: similarity(sigs, hashes, min_activity, ["end"]))(batch, batch_id)
+        touched = [r.window for r in batch.select(end).distinct().collect()]  # the batch's windows
+        stored = spark.read.option("basePath", f"{root}/signatures").parquet(f"{root}/signatures/batch=*")
+        stored = stored.where((F.col("batch") <= batch_id) & F.col("window").isin(touched)).drop("window")
+        whole = similarity(latest_signatures(stored), hashes, min_activity, ["end"])
+        last = last_snapshot(spark, f"{root}/similarity", batch_id)
+        if last is not None:
+            whole = whole.unionByName(last.where(~F.unix_micros("end").isin(touched)))
+        if keep is not None:
+            ends = batch.select("end") if last is None else batch.select("end").unionByName(last.select("end"))
+            newest = ends.agg(F.max("end")).first()[0]
+            whole = whole.where(F.col("end") > F.lit(newest) - F.make_interval(secs=F.lit(keep)))
+        emit_snapshot(f"{root}/similarity", lambda _: whole)(batch, batch_id)
 
     return run

@@ -6,6 +6,7 @@ map tasks before they reach the state, so a hot client or tag costs one row per
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from tidewell.functions.scalars import best_class, default_tag, default_variation, path_template
@@ -88,6 +89,16 @@ def emit_snapshot(path: str, result):
     return write
 
 
+def last_snapshot(spark, path: str, before: int) -> DataFrame | None:
+    """The newest whole snapshot of a batch before ``before``; none if there is none."""
+    try:
+        done = spark.read.parquet(f"{path.rstrip('/')}/done/*")
+    except AnalysisException:  # nothing written yet
+        return None
+    newest = done.where(F.col("id") < before).agg(F.max("id")).first()[0]
+    return None if newest is None else spark.read.parquet(f"{path.rstrip('/')}/snapshot={newest}")
+
+
 def read_snapshot(spark, path: str) -> DataFrame:
     """The newest whole snapshot."""
     newest = spark.read.parquet(f"{path.rstrip('/')}/done/*").agg(F.max("id")).first()[0]
