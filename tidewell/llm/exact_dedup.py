@@ -68,6 +68,7 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     marked = saved(marked, "digests")
     order = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("id"), F.col("row_no").alias("row"))
     groups = marked.where("maybe").groupBy("text_sha256").agg(F.max(order).alias("best"), F.count(F.lit(1)).alias("group_size"))
+    groups = saved(groups, "copy-groups")  # apart from the join, so that adaptive execution may split a hot group's rows there
     moved = marked.where("maybe").join(groups, "text_sha256").select(
         "doc_id", F.col("best.id").alias("keep_id"), "group_size", (F.col("best.row") == F.col("row_no")).alias("kept"), "text_sha256"
     )
