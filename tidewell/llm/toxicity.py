@@ -60,46 +60,54 @@ def _lengths(compressor: zstandard.ZstdCompressor, windows: list[bytes]) -> np.n
     return np.fromiter((len(out[i]) for i in range(len(windows))), dtype=np.int32, count=len(windows))
 
 
-def margin_task(model: ToxicityModel, text_col: int):
-    """Task function for ``mapInArrow``: (row columns before the text, margin, hits) of each row."""
+def measure(model: ToxicityModel):
+    """Function of a text column: margin and hits (windows beyond the threshold) of each row.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = model.compressors()
-        known: dict[int, int] = {}
-        for batch in batches:
-            margin, hits = np.zeros(batch.num_rows), np.zeros(batch.num_rows, dtype=np.int64)
-            for lo, hi, data, offsets in text_slices(batch.column(text_col)):
-                data = _FOLD[data]
-                starts, ends, first = word_spans(_WORD[data], offsets)
-                if not len(starts):
-                    continue
-                keys, at, inverse = np.unique(byte_hash(data).of(starts, ends), return_index=True, return_inverse=True)
-                found = [known.get(k) for k in keys.tolist()]
-                new = [i for i, v in enumerate(found) if v is None]
-                if new:
-                    raw = data.tobytes()
-                    s, e = starts[at[new]].tolist(), ends[at[new]].tolist()
-                    windows = [CARRIER + b" " + raw[i:j] + b" " + TAIL for i, j in zip(s, e)]
-                    diff = (_lengths(pair[0], windows) - _lengths(pair[1], windows)).tolist()
-                    if len(known) + len(new) > REMEMBERED:
-                        known.clear()
-                    for i, v in zip(new, diff):
-                        found[i] = known[int(keys[i])] = v
-                per_word = np.asarray(found, dtype=np.int32)[inverse]
-                full = np.flatnonzero(np.diff(first) > 0)
-                margin[lo + full] = np.maximum.reduceat(per_word, first[full])
-                hits[lo + full] = np.add.reduceat((per_word > model.threshold).astype(np.int64), first[full])
-            kept = [batch.column(i) for i in range(text_col)]
-            names = batch.schema.names[:text_col]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(margin), pa.array(hits)], names=[*names, "margin", "hits"])
-
-    return run
+    The compressors and the windows met so far stay with the function: make it once a task.
+    """
+    pair = model.compressors()
+    known: dict[int, int] = {}
+
+    def of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        margin, hits = np.zeros(len(column)), np.zeros(len(column), dtype=np.int64)
+        for lo, _, data, offsets in text_slices(column):
+            data = _FOLD[data]
+            starts, ends, first = word_spans(_WORD[data], offsets)
+            if not len(starts):
+                continue
+            keys, at, inverse = np.unique(byte_hash(data).of(starts, ends), return_index=True, return_inverse=True)
+            found = [known.get(k) for k in keys.tolist()]
+            new = [i for i, v in enumerate(found) if v is None]
+            if new:
+                raw = data.tobytes()
+                s, e = starts[at[new]].tolist(), ends[at[new]].tolist()
+                windows = [CARRIER + b" " + raw[i:j] + b" " + TAIL for i, j in zip(s, e)]
+                diff = (_lengths(pair[0], windows) - _lengths(pair[1], windows)).tolist()
+                if len(known) + len(new) > REMEMBERED:
+                    known.clear()
+                for i, v in zip(new, diff):
+                    found[i] = known[int(keys[i])] = v
+            per_word = np.asarray(found, dtype=np.int32)[inverse]
+            full = np.flatnonzero(np.diff(first) > 0)
+            margin[lo + full] = np.maximum.reduceat(per_word, first[full])
+            hits[lo + full] = np.add.reduceat((per_word > model.threshold).astype(np.int64), first[full])
+        return margin, hits
+
+    return of
 
 
 def margins(docs: DataFrame, model: ToxicityModel, id_cols: list[str], text_col: str = "text") -> DataFrame:
     thin = docs.select(*id_cols, text_col)
     schema = StructType([*thin.schema.fields[:-1], StructField("margin", DoubleType()), StructField("hits", LongType())])
-    return thin.mapInArrow(margin_task(model, len(id_cols)), schema)
+    k = len(id_cols)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = measure(model)
+        for batch in batches:
+            margin, hits = of(batch.column(k))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:k], pa.array(margin), pa.array(hits)], names=[*batch.schema.names[:k], "margin", "hits"])
+
+    return thin.mapInArrow(run, schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = 2000, ordinary_docs: int = 6000) -> ToxicityModel:
@@ -167,15 +175,11 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") ->
     """``docs`` without the rows that score 0.5 or more; columns as they are."""
     if model.threshold == float("inf"):
         return docs
-    text_at = docs.columns.index(text_col)
-    margin = margin_task(model, 0)
+    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = measure(model)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                one = pa.RecordBatch.from_arrays([part.column(text_at)], names=["text"])
-                found = next(iter(margin(iter([one])))).column(0).to_numpy()
-                yield part.filter(pa.array(found < model.threshold))
+            yield batch.filter(pa.array(of(batch.column(at))[0] < model.threshold))
 
     return docs.mapInArrow(run, docs.schema)
