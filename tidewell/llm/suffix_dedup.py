@@ -13,8 +13,9 @@ passage keep a suffix at the same place, with at least ``PASSAGE - SPAN + 1`` wo
 The result is exact: a word is in a span if and only if a window of ``PASSAGE`` words around it also occurs in another document
 (up to collisions of 64-bit hashes). Counts are pre-aggregated and joins can be split, so a passage of any number of documents is safe.
 
-Defined cases: null and short texts have no span; rows that share doc_id and text are one document, and each such row gets its spans;
-rows of one text with different ids repeat as a whole; an empty table gives an empty result; extra columns are not read.
+Texts that several documents have are searched once; a passage-long text of two ids (null counts as one) is a span as a whole.
+
+Defined cases: null and short texts have no span; rows that share doc_id and text are one document, and each such row gets its spans; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -59,19 +60,26 @@ def _argmin(grams: np.ndarray) -> np.ndarray:
 
 
 def suffixes(keyed: DataFrame, passage: int) -> DataFrame:
-    """(doc, suffix, at): the kept suffixes of ``keyed`` (doc, text); suffix is the hash of the words sure to be in the passage."""
+    """(doc, suffix, at): the kept suffixes of ``keyed`` (doc, text); suffix is the hash of the words sure to be in the passage.
+
+    One row more for each text has no suffix, and its number of words as ``at``.
+    """
     sure = passage - SPAN + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, _, data, offsets in text_slices(batch.column(1)):
                 hashes, row, begin, place = _minimisers(data, offsets, passage)
+                all_rows = row
                 place, index = np.unique(place, return_index=True)
                 first = np.zeros(len(offsets) - 1, dtype=np.int64)
                 first[row[::-1]] = begin[::-1]  # the first window of a row begins with its first word
                 row = row[index]
                 key = hashes.of(place, place + sure).view(np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(lo + row)), pa.array(key), pa.array((place - first[row]).astype(np.int32))], names=["doc", "suffix", "at"])
+                whole = np.unique(all_rows)
+                words = (np.bincount(all_rows) + passage - 1)[whole].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(lo + whole)), pa.nulls(len(whole), pa.int64()), pa.array(words)], names=["doc", "suffix", "at"])
 
     return keyed.mapInArrow(run, "doc long, suffix long, at int")
 
@@ -98,9 +106,12 @@ def windows(keyed: DataFrame, passage: int) -> DataFrame:
     return keyed.mapInArrow(run, "doc long, window long, begin int")
 
 
-def _shared(rows: DataFrame, key: str, *more) -> DataFrame:
-    """Values of ``key`` that two or more documents have."""
-    return rows.groupBy(key).agg(F.min("doc").alias("least"), F.max("doc").alias("most"), *more).where("least < most").drop("least", "most")
+def _shared(rows: DataFrame, key: str) -> DataFrame:
+    """Values of ``key`` that two or more documents have.
+
+    Written apart from the joins with it, so that adaptive execution may split a value of very many rows there.
+    """
+    return saved(rows.groupBy(key).agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select(key), f"shared-{key}")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE) -> DataFrame:
@@ -108,18 +119,32 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if passage < SPAN + GRAM:
         raise ValueError(f"passages of fewer than {SPAN + GRAM} words may hold no whole run of minimisers")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    named = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col), text).alias("doc"), text.alias("text"))
+    named = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text, F.lit(1)).alias("doc"), text.alias("text"))
     kept = saved(suffixes(named.select("doc", "text").where(F.length("text") >= 2 * passage - 1), passage), "suffixes")
+    # each text once: its copies repeat as a whole and need no windows
+    some, none = F.bool_or(F.col("doc_id").isNotNull()), F.bool_or(F.col("doc_id").isNull())
+    copied = (F.min("doc_id") < F.max("doc_id")) | (some & none)
+    texts = named.select("doc", "doc_id").groupBy("doc").agg(F.min("doc_id").alias("least_id"), F.coalesce(copied, F.lit(False)).alias("copied"))
+    sizes = kept.where("suffix IS NULL").select("doc", F.col("at").alias("size")).distinct()
+    texts = saved(texts.join(sizes, "doc"), "texts")
+    kept = kept.where("suffix IS NOT NULL")
     candidates = kept.join(_shared(kept, "suffix"), "suffix", "left_semi").groupBy("doc").agg(F.collect_set("at").alias("ats"))
-    near = saved(windows(named.select("doc", "text").join(candidates, "doc"), passage), "windows")
-    ids = named.select("doc", "doc_id").groupBy("doc").agg(F.min("doc_id").alias("doc_id"))
+    near = saved(windows(named.select("doc", "text").join(candidates, "doc").dropDuplicates(["doc"]), passage), "windows")
     repeats = saved(near.join(_shared(near, "window"), "window", "left_semi"), "repeats")
-    firsts = repeats.join(ids, "doc").groupBy("window").agg(F.min("doc_id").alias("first_doc_id"))
+    firsts = saved(repeats.join(texts.select("doc", "least_id"), "doc").groupBy("window").agg(F.min("least_id").alias("first_doc_id")), "firsts")
     placed = repeats.join(firsts, "window").groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("begin", "first_doc_id"))).alias("found"))
+    placed = texts.join(placed, "doc", "left").where("copied OR found IS NOT NULL")
     # a span begins where the window before, if any, ends short of this one
     opens = F.expr(f"filter(found, (x, i) -> i = 0 OR x.begin > found[i - 1].begin + {passage})")
     ends = F.expr(f"filter(found, (x, i) -> i = size(found) - 1 OR found[i + 1].begin > x.begin + {passage})")
-    placed = placed.select("doc", "found", F.explode(F.arrays_zip(opens["begin"].alias("a"), ends["begin"].alias("b"))).alias("s"))
+    whole = F.array(F.struct(F.lit(0).alias("a"), (F.col("size") - passage).alias("b")))
+    pairs = F.when(F.col("copied"), whole).otherwise(F.arrays_zip(opens["begin"].alias("a"), ends["begin"].alias("b")))
+    spans = placed.select("doc", "least_id", "copied", "found", F.explode(pairs).alias("s"))
     first = F.expr("array_min(transform(filter(found, x -> x.begin BETWEEN s.a AND s.b), x -> x.first_doc_id))")
-    spans = placed.select("doc", F.col("s.a").cast("long").alias("first_word"), (F.col("s.b") - F.col("s.a") + passage).cast("long").alias("n_words"), first.alias("first_doc_id"))
-    return spans.join(named.select("doc", "doc_id"), "doc").select("doc_id", "first_word", "n_words", "first_doc_id")
+    spans = spans.select(
+        "doc",
+        F.col("s.a").cast("long").alias("first_word"),
+        (F.col("s.b") - F.col("s.a") + passage).cast("long").alias("n_words"),
+        F.when(F.col("copied"), F.least(first, "least_id")).otherwise(first).alias("first_doc_id"),
+    )
+    return saved(spans, "spans").join(named.select("doc", "doc_id"), "doc").select("doc_id", "first_word", "n_words", "first_doc_id")
