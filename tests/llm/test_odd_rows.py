@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, repeated rows, empty tables and clashing columns, in every operator and stage."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidewell.llm import exact_dedup, html_text, language_id, license_scan, packing, simhash, suffix_dedup, toxicity, url_filter
@@ -27,6 +28,8 @@ def test_near_copies_of_odd_rows(odd):
     rows = simhash.near_copies(odd).collect()
     by = {r["doc_id"]: r for r in rows}
     assert by[1]["fp"] == by[2]["fp"] == by[3]["fp"] == 0 and by[2]["component_id"] == 1 and by[6]["component_id"] == 5 and by[8]["component_id"] == 7
+    lone = odd.where("doc_id = 12").withColumn("doc_id", F.lit(None).cast("long"))
+    assert simhash.keep_one(odd.unionByName(lone.withColumn("text", F.lit("quite another text with no equal")))).where("doc_id IS NULL").count() == 1
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns and {r["doc_id"] for r in kept.collect()} >= {1, 5, 7} and not {r["doc_id"] for r in kept.collect()} & {2, 3, 6, 8}
 

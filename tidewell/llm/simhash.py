@@ -128,7 +128,8 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     masks = [m - (1 << 64) if m >= 1 << 63 else m for m in block_masks(radius)]
     keys = [F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(masks)]
     rows = distinct.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.t", "k.key")
-    sizes = rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written apart from the join, so that adaptive execution may split a shard of very many rows there
+    sizes = saved(rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shards")
     parts = F.ceil(F.col("n") / SHARD).cast("int")
     rows = rows.join(sizes, ["t", "key"]).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
@@ -155,28 +156,30 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def groups(printed: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, component_id, keep_id) of each fingerprint of ``printed`` (doc_id, fp): smallest and largest doc_id reachable."""
-    distinct = saved(printed.groupBy("fp").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "prints")
+    """(fp, component_id) of each fingerprint of ``printed`` (doc_id, fp): the smallest doc_id reachable."""
+    distinct = saved(printed.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     roots = components(links(distinct, radius)).select(F.col("node").alias("fp"), "root")
     named = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    per_root = named.groupBy("root").agg(F.min("least").alias("component_id"), F.max("most").alias("keep_id"))
-    return named.select("fp", "root").join(per_root, "root").select("fp", "component_id", "keep_id")
+    per_root = saved(named.groupBy("root").agg(F.min("least").alias("component_id")), "roots")
+    return named.select("fp", "root").join(per_root, "root").select("fp", "component_id")
 
 
 def near_copies(docs: DataFrame, text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """doc_id, fp and component_id (smallest doc_id reachable over links, the document's own included), a row per document."""
     printed = saved(fingerprints(docs, ["doc_id"], text_col), "fp")
-    return printed.join(groups(printed, radius).drop("keep_id"), "fp").select("doc_id", "fp", "component_id")
+    return printed.join(groups(printed, radius), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest doc_id (rows that repeat it stay with it).
+    """``docs`` with one document of each component: the one with the smallest doc_id.
 
-    Only ids and fingerprints are shuffled for the search; a text moves once, when the dropped ids are taken out.
+    Rows that repeat its id in the component stay with it; so do the rows of a component in which no row has an id. Only ids,
+    hashes and fingerprints are shuffled for the search; a text moves once, when the dropped rows are taken out.
     """
-    printed = saved(fingerprints(docs, ["doc_id"], text_col), "fp")
-    named = printed.join(groups(printed, radius).drop("keep_id"), "fp")
-    dropped = named.where("NOT (doc_id <=> component_id)").select(F.col("doc_id").alias("gone__")).distinct()
-    gone = free_name(docs, "gone__")
-    dropped = dropped.withColumnRenamed("gone__", gone)
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped[gone]), "left_anti")
+    names = [free_name(docs, n) for n in ("key__", "gone_id__", "gone_key__")]
+    keyed = docs.withColumn(names[0], F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    printed = saved(fingerprints(keyed, ["doc_id", names[0]], text_col), "fp")
+    named = printed.join(groups(printed, radius), "fp").where("NOT (doc_id <=> component_id)")
+    dropped = saved(named.select(F.col("doc_id").alias(names[1]), F.col(names[0]).alias(names[2])).distinct(), "dropped")
+    same = keyed["doc_id"].eqNullSafe(dropped[names[1]]) & (keyed[names[0]] == dropped[names[2]])
+    return keyed.join(dropped, same, "left_anti").drop(names[0])
