@@ -126,8 +126,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Smallest labels spread along edges and along their own labels in turn, until a round changes nothing; every
     round is a few joins and is written to the checkpoint folder. Nothing but a count reaches the driver.
     """
-    both = edges.select(F.col(a).alias("node"), F.col(b).alias("near")).where("node <> near")
-    both = cut_lineage(both.unionByName(both.select(F.col("near").alias("node"), F.col("node").alias("near"))).distinct())
+    # both directions from one evaluation of the edges: a second one may list the same link the other way round
+    ways = [F.struct(F.col(x).alias("node"), F.col(y).alias("near")) for x, y in ((a, b), (b, a))]
+    both = cut_lineage(edges.select(F.explode(F.array(*ways)).alias("e")).select("e.node", "e.near").where("node <> near").distinct())
     labels = cut_lineage(both.groupBy("node").agg(F.min("near").alias("root")).withColumn("root", F.least("node", "root")))
     while True:
         near = both.join(labels.select(F.col("node").alias("near"), "root"), "near").groupBy("node").agg(F.min("root").alias("by_edge"))
