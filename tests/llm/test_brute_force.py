@@ -337,6 +337,15 @@ def test_license_blocks(spark):
     assert (got[6]["n_words"], got[6]["first_word"], got[6]["score"], got[7]["score"]) == (0, None, 0.0, 0.0)
 
 
+def test_license_wrapped_over_lines(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files"
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided\nthat the following conditions are met:"
+    far = prose(1, 700).replace(" ", "\n", 40)
+    rows = [(1, mit), (2, bsd), (3, f"{far}\n# {bsd}\n{prose(2, 300)}"), (4, mit.split("\n")[0]), (5, "licensed\r\nunder\r\nCC BY-NC\r\n4.0"), (6, bsd.split("\n")[0] + "\n" + prose(3, 100) + "\n" + bsd.split("\n")[1])]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan.scan(frame(spark, rows)).collect()}
+    assert got == {1: ("mit", 1.0), 2: ("bsd", 1.0), 3: ("bsd", 1.0), 4: ("", 0.0), 5: ("cc-by-nc-4.0", 1.0), 6: ("", 0.0)}
+
+
 # ---- op2
 
 def test_exact_ties(spark, odd, monkeypatch):

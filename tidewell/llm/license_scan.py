@@ -1,7 +1,8 @@
 """License scan: an exact set-similarity join of text blocks with license templates; DataFrame functions only.
 
 A block is a line of a document; a line of more than ``BLOCK`` words is cut into windows of ``BLOCK`` words, every
-``BLOCK / 2`` words, so each stretch of ``BLOCK / 2`` words lies whole in a block. A block meets a template when it holds at least
+``BLOCK / 2`` words, so each stretch of ``BLOCK / 2`` words lies whole in a block. A text of several lines is cut into such windows
+as a whole too, across its newlines, so a notice wrapped over lines meets its template. A block meets a template when it holds at least
 ``THRESHOLD`` of the template's distinct words. The join works on token sets in one global order, rare words first, by counts over all
 documents; words in no template come before all others and are left out at once. Filters, before any pair is
 verified: length (a block with fewer template words than the overlap asked for), prefix (the overlap asked for is o: of n words in order, the first
@@ -71,15 +72,23 @@ def matching_blocks(docs: DataFrame, id_cols: list[str], text_col: str = "text",
     index = spark.createDataFrame(index, "template int, word int, i int, size int, least int")
     whole = spark.createDataFrame(whole, "template int, label string, words array<int>, least int")
 
+    # the whole text of several lines goes as one more line, after its last one
+    whole_text = F.when(F.contains(text, F.lit("\n")), F.array(text)).otherwise(F.array().cast("array<string>"))
     # cheap test first: enough different template words in the line at all (any case folding that keeps A-Z finds them)
-    lines = docs.select(*id_cols, F.posexplode(F.split(text, "\n")).alias("line", "body"))
+    lines = docs.select(*id_cols, F.posexplode(F.concat(F.split(text, "\n"), whole_text)).alias("line", "body"))
     known = F.array_distinct(F.filter(F.split(F.lower("body"), BETWEEN), lambda w: w.isin(vocabulary)))
     lines = lines.where(F.size(known) >= least).withColumn("all", words_of(F.col("body"))).drop("body")
     n_blocks = F.greatest(F.lit(1), F.ceil((F.size("all") - BLOCK) / (BLOCK // 2)) + 1).cast("int")
-    blocks = lines.select(*id_cols, "line", "all", F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("block"))
     ranks = F.create_map(*[F.lit(x) for w, r in rank.items() for x in (w, r)])
-    inside = F.array_distinct(F.filter(F.slice("all", F.col("block") * (BLOCK // 2) + 1, F.lit(BLOCK)), lambda w: w.isin(vocabulary)))
-    blocks = blocks.select(*id_cols, "line", "block", F.array_sort(F.transform(inside, lambda w: F.element_at(ranks, w))).alias("has")).where(F.size("has") >= least)
+
+    # only a block's template words leave the row: the words of a long text are not copied once per block
+    def inside(block: Column) -> Column:
+        words = F.slice("all", block * (BLOCK // 2) + 1, F.lit(BLOCK))
+        return F.struct(block.alias("block"), F.array_distinct(F.filter(words, lambda w: w.isin(vocabulary))).alias("known"))
+
+    cut = F.filter(F.transform(F.sequence(F.lit(0), n_blocks - 1), inside), lambda x: F.size(x["known"]) >= least)
+    blocks = lines.select(*id_cols, "line", F.explode(cut).alias("x"))
+    blocks = blocks.select(*id_cols, "line", "x.block", F.array_sort(F.transform("x.known", lambda w: F.element_at(ranks, w))).alias("has"))
 
     prefix = F.slice("has", 1, F.size("has") - least + 1)
     near = blocks.select(*id_cols, "line", "block", "has", F.posexplode(prefix).alias("j", "word")).join(F.broadcast(index), "word")
@@ -136,7 +145,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def oracle() -> str:
-    """The same by brute force: every block against every template."""
+    """The same by brute force over the blocks of single lines: every block against every template."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     rows = ", ".join(f"({k}, '{label}', {sorted(set(words.split()))})" for k, (label, words) in enumerate(TEMPLATES))
