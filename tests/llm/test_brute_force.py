@@ -213,6 +213,18 @@ def test_templates(spark):
     assert decontaminate.drop_leaks(frame(spark, rows), bench.where("false")).count() == 6
 
 
+def test_plain_copies(spark):
+    """Word-for-word copies that template windows lose: a changed mention, slots mostly, no capitals; none where nothing is copied."""
+    head, tail = prose(11, 25), prose(12, 25)
+    sums = "12 15 27 30 57 4 53 sum 18 65 31 2 7 40"
+    name = "yesterday Anna Berg met Carl Dorn near Emil Falk while Gina Holm saw Ivan Jung"
+    bench = spark.createDataFrame([(1, f"{head} Alice {tail} Alice"), (2, sums), (3, name), (4, "7 8 9 10 11 12")], "item_id long, text string")
+    rows = [(1, f"{head} Alice {tail} Carol"), (2, f"x {sums} y"), (3, f"{prose(13, 20)} {name.lower()}."), (4, prose(14, 200)), (5, sums.replace("7", "9").replace("5", "6").replace("3", "2")), (6, "a 7 8 9 10 11 12 b")]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(frame(spark, rows), bench, ["doc_id"]).collect()}
+    assert got == {(1, 1), (2, 2), (3, 3), (6, 4)}
+    assert sorted(r["doc_id"] for r in decontaminate.drop_leaks(frame(spark, rows), bench).collect()) == [4, 5]
+
+
 # ---- op5, op7
 
 def test_language_held_out(spark, sf):

@@ -7,10 +7,14 @@ position); an alignment counts if its slots are consistent: every benchmark valu
 other way round. A document leaks an item if the counted alignments cover ``COVERAGE`` of the item's windows, or a run of
 ``RUN`` words.
 
+Windows of the plain lower-cased words are hashed as well. They have no slots, so nothing limits or contradicts them; they find
+word-for-word copies in which one name was changed, that consist of numbers or names mostly, or that are lower-cased. Each kind
+is counted by itself, and an item that either kind finds is leaked.
+
 A bit map of the benchmark's hashes, of fixed size, keeps windows that cannot join from the shuffle; it drops no match.
 
 Defined cases: null and empty texts have no window and no leak; an item shorter than a window is one window; one of
-fewer than ``MIN_WORDS`` words, or of placeholders mostly, matches nothing; a null item_id is an id like any other; copies of a
+fewer than ``MIN_WORDS`` words matches nothing, one of placeholders mostly by its plain words only; a null item_id is an id like any other; copies of a
 document are each reported, rows that share their id together; empty tables give an empty result; extra columns are
 carried by ``drop_leaks`` and not read otherwise.
 """
@@ -22,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType
 
 from tidewell.llm.common import _FOLD, _WORD, SpanHash, byte_hash, free_name, saved, text_slices, word_spans
 
@@ -42,6 +46,8 @@ _POINT[[44, 46]] = True
 _STOP = np.zeros(256, dtype=bool)
 _STOP[[10, 33, 34, 46, 58, 63]] = True
 NUMBER, NAME, UNIT = np.uint64(1), np.uint64(2), np.uint64(3)
+#: Keeps the hashes of plain windows apart from those of template windows.
+PLAIN = np.uint64(0x5851F42D4C957F2D)
 
 
 def _word_hashes(words: list[str]) -> np.ndarray:
@@ -93,23 +99,24 @@ def _listed(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def windows(frame: DataFrame, id_cols: list[str], text_col: str, sizes: list[int], bits: np.ndarray | None = None) -> DataFrame:
-    """Id columns, h (window hash), size, pos, total (usable windows of the row), slots (word hashes in the slots).
+    """Id columns, h (window hash), size, pos, total (usable windows of the row), plain (kind), slots (word hashes in the slots).
 
     Without ``bits``, each row takes windows of the largest size it can fill; with the bit map, of all sizes, those it lists.
-    A window is usable when at most half of it are slots.
+    A template window is usable when at most half of it are slots; a plain one always is, and has none.
     """
     thin = frame.select(*id_cols, text_col)
     k = len(id_cols)
     longs = [StructField(c, LongType()) for c in ("h", "size", "pos", "total")]
-    schema = StructType([*thin.schema.fields[:k], *longs, StructField("slots", ArrayType(LongType()))])
+    schema = StructType([*thin.schema.fields[:k], *longs, StructField("plain", BooleanType()), StructField("slots", ArrayType(LongType()))])
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in text_slices(batch.column(k)):
                 values, words, slot, first = canonical(data, offsets)
-                hashes, n_words = SpanHash(values), np.diff(first)
-                slots_before = np.concatenate([[0], np.cumsum(slot)])
+                n_words = np.diff(first)
+                no_slot = np.zeros(len(words) + 1, dtype=np.int64)
+                kinds = ((False, SpanHash(values), np.concatenate([[0], np.cumsum(slot)])), (True, SpanHash(words ^ PLAIN), no_slot))
                 slot_words = words[slot].view(np.int64)
                 for size in sizes:
                     fits = n_words == size if bits is None and size < max(sizes) else n_words >= size
@@ -117,20 +124,22 @@ def windows(frame: DataFrame, id_cols: list[str], text_col: str, sizes: list[int
                     row = np.repeat(np.arange(hi - lo), count)
                     pos = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
                     at = first[:-1][row] + pos
-                    good = 2 * (slots_before[at + size] - slots_before[at]) <= size
-                    total = np.bincount(row[good], minlength=hi - lo)
-                    h = hashes.of(at, at + size)
-                    pick = np.flatnonzero(good if bits is None else good & _listed(bits, h))
-                    for part in np.array_split(pick, max(1, -(-len(pick) // 50_000))):
-                        begin = slots_before[at[part]]
-                        n = slots_before[at[part] + size] - begin
-                        ahead = np.concatenate([[0], np.cumsum(n)])
-                        index = np.repeat(begin - ahead[:-1], n) + np.arange(ahead[-1])
-                        listed = pa.ListArray.from_arrays(pa.array(ahead, type=pa.int32()), pa.array(slot_words[index]))
-                        ids = [c.take(pa.array(lo + row[part])) for c in batch.columns[:k]]
-                        yield pa.RecordBatch.from_arrays(
-                            [*ids, pa.array(h[part].view(np.int64)), pa.array(np.full(len(part), size)), pa.array(pos[part]), pa.array(total[row[part]]), listed], names=names
-                        )
+                    for plain, hashes, slots_before in kinds:
+                        good = 2 * (slots_before[at + size] - slots_before[at]) <= size
+                        total = np.bincount(row[good], minlength=hi - lo)
+                        h = hashes.of(at, at + size)
+                        pick = np.flatnonzero(good if bits is None else good & _listed(bits, h))
+                        for part in np.array_split(pick, max(1, -(-len(pick) // 50_000))):
+                            begin = slots_before[at[part]]
+                            n = slots_before[at[part] + size] - begin
+                            ahead = np.concatenate([[0], np.cumsum(n)])
+                            index = np.repeat(begin - ahead[:-1], n) + np.arange(ahead[-1])
+                            listed = pa.ListArray.from_arrays(pa.array(ahead, type=pa.int32()), pa.array(slot_words[index]))
+                            ids = [c.take(pa.array(lo + row[part])) for c in batch.columns[:k]]
+                            kind = pa.array(np.full(len(part), plain))
+                            yield pa.RecordBatch.from_arrays(
+                                [*ids, pa.array(h[part].view(np.int64)), pa.array(np.full(len(part), size)), pa.array(pos[part]), pa.array(total[row[part]]), kind, listed], names=names
+                            )
 
     return thin.mapInArrow(run, schema)
 
@@ -146,13 +155,16 @@ def bit_map(hashes: DataFrame) -> np.ndarray:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_cols: list[str], text_col: str = "text", window: int = WINDOW, coverage: float = COVERAGE, run_words: int = RUN) -> DataFrame:
-    """Id columns, item_id, coverage, run (longest aligned match in words), exact (no slot differs): a row per leaked item."""
+    """Id columns, item_id, coverage, run (longest aligned match in words), exact (no slot of the windows that found it differs): a row per leaked item.
+
+    Where both kinds of windows find an item, coverage and run are the larger ones.
+    """
     item = saved(windows(benchmark.select("item_id", "text"), ["item_id"], "text", list(range(MIN_WORDS, window + 1))), "items")
     sizes = sorted(r["size"] for r in item.select("size").distinct().collect())  # at most ``window`` rows
     found = windows(docs, id_cols, text_col, sizes, bit_map(item))
-    right = item.select("h", "size", "item_id", F.col("pos").alias("item_pos"), F.col("total").alias("item_total"), F.col("slots").alias("item_slots"))
-    meets = found.drop("total").join(right, ["h", "size"]).withColumn("shift", F.col("pos") - F.col("item_pos"))
-    key = [*id_cols, "item_id", "item_total", "size"]
+    right = item.select("h", "size", "plain", "item_id", F.col("pos").alias("item_pos"), F.col("total").alias("item_total"), F.col("slots").alias("item_slots"))
+    meets = found.drop("total").join(right, ["h", "size", "plain"]).withColumn("shift", F.col("pos") - F.col("item_pos"))
+    key = [*id_cols, "item_id", "item_total", "size", "plain"]
     pairs = F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))
     aligned = meets.groupBy(*key, "shift").agg(F.collect_set("item_pos").alias("seen"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
     one_to_one = [F.size(F.array_distinct(F.col("pairs")[c])) == F.size("pairs") for c in ("a", "b")]
@@ -162,7 +174,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_cols: list[str], text_c
     aligned = aligned.withColumn("exact", F.forall("pairs", lambda p: p["a"] == p["b"]))
     leaks = aligned.groupBy(*key).agg(F.size(F.array_distinct(F.flatten(F.collect_set("seen")))).alias("n"), F.max("run").alias("run"), F.bool_and("exact").alias("exact"))
     leaks = leaks.withColumn("coverage", F.col("n") / F.col("item_total"))
-    return leaks.where((F.col("coverage") >= coverage) | (F.col("run") >= run_words)).select(*id_cols, "item_id", "coverage", "run", "exact")
+    leaks = leaks.where((F.col("coverage") >= coverage) | (F.col("run") >= run_words))
+    return leaks.groupBy(*id_cols, "item_id").agg(F.max("coverage").alias("coverage"), F.max("run").alias("run"), F.bool_and("exact").alias("exact"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
