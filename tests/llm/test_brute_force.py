@@ -278,6 +278,24 @@ def test_layout():
     ]
 
 
+def test_loose_parts_of_table_sections():
+    def words(page):
+        return html_text.page_text(page).split()
+
+    assert words("<table><tbody><form><tr><td>x<td>y</tr></form></tbody></table>") == ["x", "y"]
+    assert words("<table><tbody>text<tr><td>x</table>") == ["text", "x"]
+    assert words("<table><tbody><div>text</div></table>") == ["text"]
+    assert words("<table><form><tfoot><tr><td>a</tfoot></form><tr><td>b</table>") == ["a", "b"]
+    assert words("<table><tbody><div>out<table><tr><td>in</table></div><tr><td>b</table>") == ["out", "in", "b"]
+    assert words("<table><tbody hidden><tr><td>x</tbody><tbody><div hidden>y</div><tr><td>b</table>") == ["b"]
+    assert words("<table><colgroup><col>stray</colgroup><tr><td>b</table>") == ["stray", "b"]
+
+
+def test_text_of_controls_and_drawings():
+    page = "a<textarea>b &amp; <i>c\n  d</textarea><select><option>e<option>f</select><svg><title>no</title><style>no</style><text>g</text><defs><text>no</text></defs></svg>h"
+    assert html_text.page_text(page).split() == ["a", "b", "&", "<i>c", "d", "e", "f", "g", "h"]
+
+
 class Plain(HTMLParser):
     def __init__(self):
         super().__init__()

@@ -3,6 +3,8 @@
 Layout: blocks start on a line of their own; paragraphs, headings, lists and tables stand between blank lines; white space is
 collapsed except in ``pre``; list items get bullets or numbers and are indented by depth; the cells of a table's column start
 at the same place. Everything visible is emitted; a browser's unrendered elements and elements hidden by attribute or inline style are not.
+Text areas stand on lines of their own, as written; the options of a select and the texts of a drawing are words apart. What stands
+loose in a table or its sections comes before the rows; wrappers of rows (such as ``form``) are walked through.
 
 Defined cases: null and empty pages give empty text; unclosed, misnested and stray tags follow the implied-tag rules below; elements nested deeper
 than ``DEPTH`` go on as children of that depth, with their text; repeated rows get equal results; an empty table gives an empty result;
@@ -23,7 +25,11 @@ DEPTH, GAP = 120, "  "
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp".split())
-UNSEEN = frozenset("head script style template noscript title meta link iframe object svg audio video canvas datalist textarea select".split())
+UNSEEN = frozenset("head script style template noscript title meta link iframe object audio video canvas datalist".split())
+#: Inside svg only: definitions and descriptions, which are not drawn where they stand.
+UNDRAWN = frozenset("defs desc metadata symbol clippath mask pattern marker".split())
+#: Inline, but their text never joins the words beside it.
+APART = frozenset("td th select optgroup option svg text".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure".split())
 BLOCKS = SPACED | frozenset("html body div section article aside nav header footer main address form fieldset legend details summary figcaption li dt dd caption tr hr center menu dir".split())
 #: Start tag -> open elements it ends, and the elements that stop the search for them.
@@ -104,11 +110,15 @@ def build(page: str) -> Element:
             row = Element("tr", {})
             stack[-1].children.append(row)
             stack.append(row)
+        drawn = (tag in UNDRAWN or tag in RAW) and any(e.tag == "svg" for e in stack)
+        if drawn and tag in UNDRAWN:
+            attributes["hidden"] = ""
         element = Element(tag, attributes)
         stack[-1].children.append(element)
-        if tag in RAW:
+        if tag in RAW and not (drawn and found[4]):
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            element.children.append(page[at : end.start()] if end else page[at:])
+            raw = page[at : end.start()] if end else page[at:]
+            element.children.append(unescape(raw).removeprefix("\n") if tag == "textarea" else raw)
             at = end.end() if end else len(page)
         elif tag not in VOID and not found[4] and len(stack) < DEPTH:
             stack.append(element)
@@ -168,13 +178,35 @@ class Writer:
                 self.end()
 
 
-def _rows(table: Element) -> Iterator[Element]:
-    for child in table.children:
-        if isinstance(child, Element) and child.visible():
-            if child.tag == "tr":
-                yield child
-            elif child.tag in ("tbody", "thead", "tfoot"):
-                yield from _rows(child)
+def _has_row(node: Element) -> bool:
+    """Whether a row of the table lies in ``node``; rows of a table in it are that table's own."""
+    todo = [node]
+    while todo:
+        at = todo.pop()
+        if at.tag == "tr":
+            return True
+        todo.extend(c for c in at.children if isinstance(c, Element) and c.tag not in ("table", "td", "th") and c.visible())
+    return False
+
+
+def _parts(table: Element) -> tuple[list[Element | str], list[Element]]:
+    """What stands loose in a table, its sections and wrappers around its rows (such as ``form``), and the rows, in order."""
+    loose: list[Element | str] = []
+    rows: list[Element] = []
+    todo: list[Element | str] = table.children[::-1]
+    while todo:
+        child = todo.pop()
+        if isinstance(child, str):
+            loose.append(child)
+        elif child.tag == "col" or not child.visible():
+            continue
+        elif child.tag == "tr":
+            rows.append(child)
+        elif child.tag in ("tbody", "thead", "tfoot", "colgroup") or child.tag not in ("table", "td", "th", "caption") and _has_row(child):
+            todo.extend(child.children[::-1])
+        else:
+            loose.append(child)
+    return loose, rows
 
 
 def _cells(row: Element) -> list[str]:
@@ -205,9 +237,11 @@ def render(node: Element | str, out: Writer, pre: bool = False, number: list[int
     if tag == "hr":
         out.block(True)
         return
-    block, spaced = tag in BLOCKS, tag in SPACED and not (tag in ("ul", "ol") and out.indent)
+    block, spaced = tag in BLOCKS or tag == "textarea", tag in SPACED and not (tag in ("ul", "ol") and out.indent)
     if block:
         out.block(spaced)
+    elif tag in APART and tag not in ("td", "th"):
+        out.text(" ", False)
     before = out.indent
     counter: list[int] | None = None
     if tag in ("ul", "ol", "menu", "dir"):
@@ -222,19 +256,19 @@ def render(node: Element | str, out: Writer, pre: bool = False, number: list[int
     elif tag in ("dd", "blockquote"):
         out.indent += 2
     if tag == "table":
-        loose = [c for c in node.children if not (isinstance(c, Element) and c.tag in ("tr", "tbody", "thead", "tfoot", "col", "colgroup"))]
+        loose, rows = _parts(node)
         for child in loose:
             render(child, out, pre)
             if isinstance(child, Element):
                 out.end()
-        rows = [cells for cells in map(_cells, _rows(node)) if cells]
+        rows = [cells for cells in map(_cells, rows) if cells]
         out.end()
         if rows:
             out.rows(rows)
     else:
         for child in node.children:
-            render(child, out, pre or tag == "pre", counter if counter is not None else number if tag != "li" else None)
-    if tag in ("td", "th"):
+            render(child, out, pre or tag in ("pre", "textarea"), counter if counter is not None else number if tag != "li" else None)
+    if tag in APART:
         out.text(" ", False)
     if block:
         out.block(spaced)
