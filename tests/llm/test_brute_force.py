@@ -88,6 +88,15 @@ def test_components_chain(spark):
     assert got == {**{i: 100 for i in range(100, 141)}, 3: 3, 7: 3, 9: 3}
 
 
+def test_one_of_near_copies_without_ids(spark):
+    texts = [prose(20, 2000) + f" end{i}" for i in range(3)]
+    prints = [fingerprint(t) for t in texts]
+    assert all((p ^ q).bit_count() <= 4 for p in prints for q in prints)
+    other = [prose(21, 300) + x for x in ("", " ")]
+    kept = simhash.keep_one(frame(spark, [(None, t) for t in texts] + [(7, t) for t in other] + [(None, prose(22, 300))])).collect()
+    assert sorted(str(r["doc_id"]) for r in kept) == ["7", "None", "None"] and len({r["text"] in texts for r in kept if r["doc_id"] is None}) == 2
+
+
 # ---- op4
 
 def spans_of(texts, size=50):

@@ -23,7 +23,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewell.llm.common import _FOLD, _SPACE, components, free_name, saved, text_slices, word_spans
@@ -155,9 +155,9 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return shards.mapInArrow(run, "a long, b long")
 
 
-def groups(printed: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, component_id) of each fingerprint of ``printed`` (doc_id, fp): the smallest doc_id reachable."""
-    distinct = saved(printed.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
+def groups(printed: DataFrame, radius: int = RADIUS, name: Column | None = None) -> DataFrame:
+    """(fp, component_id) of each fingerprint of ``printed`` (doc_id, fp): the smallest ``name`` reachable, doc_id by default."""
+    distinct = saved(printed.groupBy("fp").agg(F.min("doc_id" if name is None else name).alias("least")), "prints")
     roots = components(links(distinct, radius)).select(F.col("node").alias("fp"), "root")
     named = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     per_root = saved(named.groupBy("root").agg(F.min("least").alias("component_id")), "roots")
@@ -171,15 +171,17 @@ def near_copies(docs: DataFrame, text_col: str = "text", radius: int = RADIUS) -
 
 
 def keep_one(docs: DataFrame, text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest doc_id.
+    """``docs`` with one document of each component: the one with the smallest doc_id and, of several such rows or where no row has an id, the smallest text hash.
 
-    Rows that repeat its id in the component stay with it; so do the rows of a component in which no row has an id. Only ids,
-    hashes and fingerprints are shuffled for the search; a text moves once, when the dropped rows are taken out.
+    Rows that repeat both stay together. Only ids, hashes and fingerprints are shuffled for the search; a text moves once, when the
+    dropped rows are taken out.
     """
     names = [free_name(docs, n) for n in ("key__", "gone_id__", "gone_key__")]
     keyed = docs.withColumn(names[0], F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     printed = saved(fingerprints(keyed, ["doc_id", names[0]], text_col), "fp")
-    named = printed.join(groups(printed, radius), "fp").where("NOT (doc_id <=> component_id)")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col(names[0]).alias("key"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id.id")) & (F.col(names[0]) == F.col("component_id.key"))
+    named = printed.join(groups(printed, radius, first), "fp").where(~kept)
     dropped = saved(named.select(F.col("doc_id").alias(names[1]), F.col(names[0]).alias(names[2])).distinct(), "dropped")
     same = keyed["doc_id"].eqNullSafe(dropped[names[1]]) & (keyed[names[0]] == dropped[names[2]])
     return keyed.join(dropped, same, "left_anti").drop(names[0])
