@@ -84,6 +84,15 @@ def word_spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def coded_words(data: np.ndarray, inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """Words, the runs of true bytes: a number for each, the different words by their numbers, their first bytes, and the words before each document."""
+    starts, ends, first = word_spans(inside, offsets)
+    bounds = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data[inside])])
+    coded = words.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary, starts, first
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Finishing step of splitmix64: spreads every input bit over all output bits."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

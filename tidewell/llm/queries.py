@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewell.llm import decontaminate, exact_dedup, html_text, language_id, license_scan, packing, simhash, suffix_dedup, toxicity, url_filter
+from tidewell.llm import collocations, decontaminate, exact_dedup, html_text, language_id, license_scan, packing, periodic_runs, personal_data, simhash, suffix_dedup, toxicity, url_filter
 from tidewell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,44 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_suffix_dedup")
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text of the run query: in a tenth of the documents, by the checksum of their id, the words from word a on repeat the p words at a."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    picked = docs.select("doc_id", "text", h.alias("h"), F.expr("h div 10").alias("g"))
+    worded = picked.withColumn("words", F.when(F.expr("h % 10 = 0"), words)).withColumn("n", F.size("words").cast("long"))
+    sized = worded.withColumn("a", F.expr("if(n > 0, g % n, 0)")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    tail = "slice(flatten(array_repeat(slice(words, int(a) + 1, int(p)), int((n - a) div p) + 1)), 1, int(n - a))"
+    planted = F.expr(f"array_join(concat(slice(words, 1, int(a)), {tail}), ' ')")
+    return sized.select("doc_id", F.when(F.expr("n > 0"), planted).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapse_runs(planted_runs(table(spark, sf_dir, "documents")), ["doc_id"])
+    greater = "reduce(runs, runs[0], (b, r) -> if(r.length * b.period > b.length * r.period, r, b))"  # the first of equals
+    best = found.withColumn("best", F.when(F.size("runs") > 0, F.expr(greater)))
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op12_collocations", collocations.oracle())
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_personal_data")
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(table(spark, sf_dir, "documents"), ["doc_id"])
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    base = of(*personal_data.BASE)
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in personal_data.BASE]
+    return found.select("doc_id", *counts, F.sha2(personal_data.listed(base).cast("binary"), 256).alias("base_sha256"), personal_data.listed(F.col("spans")).alias("spans"))
