@@ -6,10 +6,11 @@ starts where a window starts with it, so ``ROLLUP (lang, w0, ..., w4)`` gives th
 and of all words of a language, from these counts alone.
 
 Most windows of five words are unique, so a window is padded earlier, where it can't matter: every phrase in the result, and every part
-of it, occurs ``LEAST`` times or more, so each two neighbouring words of it do. A first pass counts hashed pairs of neighbours in
-``slots`` counters, summed in the map tasks first; a window ends after a word whose pair with the next one has a
-counter under ``LEAST``. Counters are never too small, so no count in the result changes; a full table of
-counters only means that fewer windows are cut. What is broadcast is one bit a counter: at most ``MOST_SLOTS`` / 8 = 32 MB, however large the input.
+of it, occurs ``LEAST`` times or more. A first pass counts hashed words and pairs of neighbours in ``slots`` counters, summed in the
+map tasks first, a second one the triples of words whose pairs passed. A window ends before a word that would complete a pair or triple with a
+counter under ``LEAST``; a window without any word left adds to the number of words only. Counters are never too small, so no count
+in the result changes; full counters only mean that fewer windows are cut. What is broadcast is one bit a counter and pass: at most
+``MOST_SLOTS`` / 8 = 32 MB each, however large the input.
 
 All arithmetic of scores is decimal: products may pass 64 bits.
 
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewell.llm.common import _FOLD, byte_hash, coded_words, mixed, saved, text_slices
@@ -40,7 +42,7 @@ _SPLIT = np.zeros(256, dtype=bool)
 _SPLIT[[ord(c) for c in ".,;:!?\n\v\f\r"]] = True
 _WORD = ~_SPLIT
 _WORD[[9, 32]] = False
-_PAIR = np.uint64(0xD6E8FEB86659FD93)
+_STEP = np.uint64(0xD6E8FEB86659FD93)
 
 WINDOW = [f"w{i}" for i in range(LONGEST)]
 
@@ -59,11 +61,31 @@ class _Slice:
         self.follows = np.zeros(len(starts), dtype=bool)
         self.follows[:-1] = (piece[1:] == piece[:-1]) & ~opens[1:-1]
 
-    def pair_slots(self, at: np.ndarray, slots: int) -> np.ndarray:
-        """Counters of the pairs that start at words ``at``."""
+    def slots(self, at: np.ndarray, size: int, slots: int) -> np.ndarray:
+        """Counters of the phrases of ``size`` words that start at words ``at``."""
         word, lang = _hashes(self.words), _hashes(self.langs)
-        pair = word[self.ids[at]] * _PAIR + word[self.ids[at + 1]] + mixed(lang[self.lang[at]])
-        return (mixed(pair) & np.uint64(slots - 1)).astype(np.int64)
+        phrase = mixed(lang[self.lang[at]] + np.uint64(size))
+        for step in range(size):
+            phrase = phrase * _STEP + word[self.ids[at + step]]
+        return (mixed(phrase) & np.uint64(slots - 1)).astype(np.int64)
+
+    def frequent(self, at: np.ndarray, size: int, bits: np.ndarray) -> np.ndarray:
+        """Those of ``at`` whose counter is set in ``bits``."""
+        slot = self.slots(at, size, 8 * len(bits))
+        return at[(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)]
+
+    def starts(self, short: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Frequent words, and those of them that start a frequent pair."""
+        words = self.frequent(np.arange(len(self.ids)), 1, short)
+        known = np.zeros(len(self.ids) + 1, dtype=bool)
+        known[words] = True
+        return words, self.frequent(words[self.follows[words] & known[words + 1]], 2, short)
+
+    def triples(self, pairs: np.ndarray) -> np.ndarray:
+        """First words of the triples of frequent pairs."""
+        paired = np.zeros(len(self.ids) + 1, dtype=bool)
+        paired[pairs] = True
+        return pairs[paired[pairs + 1]]
 
 
 def _hashes(words: pa.Array) -> np.ndarray:
@@ -84,48 +106,52 @@ def slots_for(text_bytes: int) -> int:
     return min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (text_bytes // BYTES_PER_SLOT).bit_length()))
 
 
-def frequent_pairs(texts: DataFrame, least: int, slots: int) -> bytes:
-    """One bit a counter: whether pairs with this counter occur ``least`` times or more. ``texts``: lang, text."""
+def frequent_slots(texts: DataFrame, least: int, slots: int, short: Broadcast | None = None) -> Broadcast:
+    """One bit a counter: whether its phrases occur ``least`` times or more. Words and pairs, or, with their bits ``short``, triples. ``texts``: lang, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = short and np.frombuffer(short.value, dtype=np.uint8)
         for part in _slices(batches):
-            slot, hits = np.unique(part.pair_slots(np.flatnonzero(part.follows), slots), return_counts=True)
+            if bits is None:
+                found = np.concatenate([part.slots(np.arange(len(part.ids)), 1, slots), part.slots(np.flatnonzero(part.follows), 2, slots)])
+            else:
+                found = part.slots(part.triples(part.starts(bits)[1]), 3, slots)
+            slot, hits = np.unique(found, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(hits)], names=["slot", "hits"])
 
     full = texts.mapInArrow(run, "slot int, hits long").groupBy("slot").agg(F.sum("hits").alias("hits")).where(F.col("hits") >= least)
     bits = np.zeros(slots // 8, dtype=np.uint8)
     packed = full.groupBy(F.expr("slot >> 6").alias("word")).agg(F.expr("bit_or(shiftleft(1L, slot & 63))").alias("mask")).toArrow()
     bits.view(np.int64)[packed["word"].to_numpy()] = packed["mask"].to_numpy()
-    return bits.tobytes()
+    return texts.sparkSession.sparkContext.broadcast(bits.tobytes())
 
 
-def slice_windows(part: _Slice, bits: np.ndarray, slots: int) -> list[pa.Array]:
+def slice_windows(part: _Slice, short: np.ndarray, long: np.ndarray) -> list[pa.Array]:
     """Language, padded window and number of occurrences of the different windows of a slice."""
-    follows = part.follows.copy()
-    at = np.flatnonzero(follows)
-    slot = part.pair_slots(at, slots)
-    follows[at[bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 == 0]] = False
     n, words = len(part.ids), max(1, len(part.words))
-    depth = np.zeros(n, dtype=np.int64)
-    for step in range(1, LONGEST):
-        more = depth[: n - step] == step - 1
-        more &= follows[step - 1 : n - 1]
-        depth[: n - step] += more
+    single, pairs = part.starts(short)
+    goes_on = np.zeros(n + LONGEST, dtype=bool)
+    goes_on[part.frequent(part.triples(pairs), 3, long)] = True
+    size = np.zeros(n, dtype=np.int64)
+    size[single] = 1
+    size[pairs] = 2
+    for more in range(LONGEST - 2):
+        size += (size == more + 2) & goes_on[more : n + more]
     begin, counts, sizes = [], [], []
-    for size in range(LONGEST):
-        at = np.flatnonzero(depth == size)
-        key = part.lang[at] * words + part.ids[at]
-        for step in range(1, size + 1):
+    for k in range(LONGEST + 1):
+        at = np.flatnonzero(size == k)
+        key = part.lang[at]
+        for step in range(k):
             key = np.unique(key, return_inverse=True)[1] * words + part.ids[at + step]
         _, place, count = np.unique(key, return_index=True, return_counts=True)
         begin.append(at[place])
         counts.append(count)
-        sizes.append(np.full(len(place), size))
+        sizes.append(np.full(len(place), k))
     begin, counts, sizes = np.concatenate(begin), np.concatenate(counts), np.concatenate(sizes)
     columns = [part.langs.take(pa.array(part.lang[begin]))]
     for step in range(LONGEST):
-        ids = part.ids[np.minimum(begin + step, n - 1)] if n else begin
-        columns.append(part.words.take(pa.array(ids, mask=sizes < step)))
+        ids = part.ids[np.minimum(begin + step, n - 1)]
+        columns.append(part.words.take(pa.array(ids, mask=sizes <= step)))
     return [*(c.cast(pa.large_string()).cast(pa.string()) for c in columns), pa.array(counts.astype(np.int64))]
 
 
@@ -133,12 +159,13 @@ def count_phrases(docs: DataFrame, least: int = LEAST, text_col: str = "text", l
     """(lang, words, f): occurrences of all phrases of one to five words that occur ``least`` times or more; without words, of all words of the language."""
     texts = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     slots = slots_for(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    bits = docs.sparkSession.sparkContext.broadcast(frequent_pairs(texts, least, slots))
+    short = frequent_slots(texts, least, slots)
+    long = frequent_slots(texts, least, slots, short)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        full = np.frombuffer(bits.value, dtype=np.uint8)
+        bits = [np.frombuffer(x.value, dtype=np.uint8) for x in (short, long)]
         for part in _slices(batches):
-            yield pa.RecordBatch.from_arrays(slice_windows(part, full, slots), names=["lang", *WINDOW, "n"])
+            yield pa.RecordBatch.from_arrays(slice_windows(part, *bits), names=["lang", *WINDOW, "n"])
 
     windows = texts.mapInArrow(run, f"lang string, {', '.join(f'{w} string' for w in WINDOW)}, n long")
     windows = saved(windows.groupBy("lang", *WINDOW).agg(F.sum("n").alias("n")), "windows")
