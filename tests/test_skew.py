@@ -97,7 +97,7 @@ def test_sessionise_across_buckets(spark):
     pdf = pd.DataFrame(rows, columns=["u", "i", "t", "f"])
     df = spark.createDataFrame(pdf).withColumn("ts", F.timestamp_seconds("t"))
     for flagged in (False, True):
-        d = skew.sessionise(df, ["u"], "ts", ["ts", "i"], 2000, starts=F.col("f") if flagged else None)
+        d = skew.sessionise(df, ["u"], "ts", ["ts", "i"], 2000, starts=F.col("f") if flagged else None, piece_rows=25)
         got = {(r.u, r.i): (r.session, r.is_break) for r in d.collect()}
         for u, g in pdf.groupby("u"):
             session, prev = 1, None
@@ -106,13 +106,36 @@ def test_sessionise_across_buckets(spark):
                 session += brk and prev is not None
                 assert got[(u, r.i)] == (session, brk)
                 prev = r.t
-    assert {r.session for r in skew.sessionise(df, ["u"], "ts", ["ts", "i"], -1).collect()} == {1}
+    for rows in (None, 25):
+        assert {r.session for r in skew.sessionise(df, ["u"], "ts", ["ts", "i"], -1, piece_rows=rows).collect()} == {1}
+
+
+def test_one_user_with_a_third_of_all_rows_in_one_day(spark):
+    """The user's rows stay spread over pieces of bounded size; sessions, baskets and previous rows are those of plain Python."""
+    rng = np.random.default_rng(6)
+    hot = [(1, int(t)) for t in rng.integers(0, 86_400, 3000)]  # many equal times
+    rest = [(int(u), int(t)) for u, t in zip(rng.integers(2, 400, 6000), rng.integers(0, 30 * 86_400, 6000))]
+    pdf = pd.DataFrame(hot + rest, columns=["user_id", "t"]).assign(event_id=range(9000), item_id=rng.integers(0, 50, 9000), kind=rng.integers(0, 2, 9000))
+    df = spark.createDataFrame(pdf).withColumn("ts", F.timestamp_seconds("t"))
+    pieces = skew.with_pieces(df, ["user_id"], ["ts", "event_id"], "b", 200)
+    sizes = {(r.user_id, r.b): r["count"] for r in pieces.groupBy("user_id", "b").count().collect()}
+    assert sum(sizes.values()) == 9000 and max(sizes.values()) <= 500 and sum(u == 1 for u, _ in sizes) >= 12
+    got = {r.event_id: (r.session, r.is_break) for r in skew.sessionise(df, ["user_id"], "ts", ["ts", "event_id"], 60, starts=F.col("kind") == 1, piece_rows=200).collect()}
+    before = {r.event_id: r.prev and r.prev.event_id for r in skew.previous_row(df, ["user_id"], ["ts", "event_id"], ["event_id"], piece_rows=200).collect()}
+    for _, g in pdf.sort_values(["t", "event_id"]).groupby("user_id"):
+        session, prev = 1, None
+        for r in g.itertuples():
+            cut = prev is None or (r.t - prev.t > 60 and r.kind == 1)
+            session += cut and prev is not None
+            assert got[r.event_id] == (session, cut) and before[r.event_id] == (prev and prev.event_id)
+            prev = r
 
 
 def test_previous_row(spark):
     df = spark.range(200).select((F.col("id") % 2).alias("u"), "id", F.timestamp_seconds(F.col("id") * 5000).alias("ts"))
-    d = skew.previous_row(df, ["u"], ["ts"], ["id"], skew.time_bucket("ts"))
-    assert all((r.prev.id if r.prev else None) == (r.id - 2 if r.id > 1 else None) for r in d.collect())
+    for rows in (None, 7):
+        d = skew.previous_row(df, ["u"], ["ts"], ["id"], piece_rows=rows)
+        assert all((r.prev.id if r.prev else None) == (r.id - 2 if r.id > 1 else None) for r in d.collect())
 
 
 def test_exact_quantiles(spark):
@@ -138,7 +161,7 @@ def test_dense_ids_and_global_rank(spark):
     assert [got[i] for i in want] == list(range(1, 501))
 
 
-def test_nearest_equals_brute_force(spark):
+def test_nearest_equals_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(2)
     x = rng.standard_normal((150, 6)) + 3 * rng.standard_normal((5, 6))[rng.integers(0, 5, 150)]
     x[7] = 0
@@ -148,9 +171,10 @@ def test_nearest_equals_brute_force(spark):
     n = np.linalg.norm(x, axis=1, keepdims=True)
     u = x / np.where(n == 0, 1, n)
     for metric, s in (("cosine", u @ u.T), ("dot", x @ x.T)):
-        for cells, block in ((8, 10), (64, 2048)):
+        for cells in (8, None):
+            monkeypatch.setattr(nn, "BLOCK", 10 if cells else 2048)
             got = {}
-            for r in nn.nearest(q, df, 5, metric, exclude_same=True, cells=cells, block=block).collect():
+            for r in nn.nearest(q, df, 5, metric, exclude_same=True, cells=cells).collect():
                 got.setdefault(r.query_id, []).append((-round(r.score, 8), r.item_id))
             for i in range(150):
                 want = sorted((-round(float(s[i, j]), 8), j) for j in range(150) if j != i)[:5]
@@ -159,6 +183,55 @@ def test_nearest_equals_brute_force(spark):
                 assert [w[1] for w in want] == [h[1] for h in have] or metric == "dot" or i == 7
 
 
+def _brute_nearest(x, k):
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = u @ u.T
+    return {i: sorted((-round(float(s[i, j]), 9), j) for j in range(len(x)) if j != i)[:k] for i in range(len(x))}
+
+
+def _found(rows):
+    got = {}
+    for r in rows.collect():
+        got.setdefault(r.query_id, []).append((-round(r.score, 9), r.item_id))
+    return {q: sorted(x) for q, x in got.items()}
+
+
+def test_nearest_visits_few_cells_of_clustered_vectors(spark, monkeypatch):
+    """Below a fifth of all pairs are compared, and a query stands in one block only."""
+    rng = np.random.default_rng(7)
+    x = (4 * rng.standard_normal((40, 12)))[rng.integers(0, 40, 2000)] + 0.3 * rng.standard_normal((2000, 12))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "item_id long, features array<double>")
+    searches, real = [], nn._search
+    monkeypatch.setattr(nn, "_search", lambda asked, *rest: searches.append((asked, rest[-1])) or real(asked, *rest))
+    assert _found(nn.nearest(df.withColumnRenamed("item_id", "query_id"), df, 4, exclude_same=True)) == _brute_nearest(x, 4)
+    met = 0
+    for asked, sizes in searches:
+        rows = asked.select("query_id", "cells").collect()
+        assert len({r.query_id for r in rows}) == len(rows)
+        met += sum(sizes.get(c, 0) for r in rows for c in r.cells)
+    assert met < 0.2 * len(x) ** 2 and len(searches[0][1]) >= 30
+
+
+def test_nearest_with_a_third_of_equal_vectors(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((300, 8))
+    x[::3] = x[0]
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "item_id long, features array<double>").repartition(3)
+    assert _found(nn.nearest(df.withColumnRenamed("item_id", "query_id"), df, 5, exclude_same=True)) == _brute_nearest(x, 5)
+
+
+def test_needs_of_single_queries_and_zero_queries(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((120, 5))
+    df = spark.createDataFrame([(f"v{i:03d}", [float(v) for v in r]) for i, r in enumerate(x)], "item_id string, features array<double>")
+    asked = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 0.0, 0.0], 3), (2, [0.0] * 5, 4), (3, [0.0, 1.0, 0.0, 1.0, 0.0], 500)], "query_id int, features array<double>, need int")
+    got = {}
+    for r in nn.nearest(asked, df, 1).collect():
+        got.setdefault(r.query_id, set()).add(r.item_id)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert {f"v{i:03d}" for i in np.argsort(-u[:, 0])[:3]} <= got[1] and got[2] == {"v000", "v001", "v002", "v003"} and len(got[3]) == 120
+
+
 def test_triangles_with_hub(spark):
     rng = np.random.default_rng(3)
     e = {(0, i) for i in range(1, 60)} | {tuple(sorted(map(int, rng.choice(60, 2, replace=False)))) for _ in range(200)}

@@ -1,9 +1,19 @@
-"""Exact k nearest neighbours as a pruned, blocked join.
+"""Exact k nearest neighbours: trained cells, one-byte residual codes, two rounds of search, exact scores of the survivors.
 
-Vectors are assigned to cells around a fixed number of pivots. A query visits a cell only if the triangle
-inequality leaves room for one of its k best there. Cells are packed into blocks of bounded size; a block of
-queries meets a block of vectors in one matrix product, and only each query's best rows of the block leave
-the task. Nothing grows with the data on the driver: it sees the pivots and one statistics row per cell.
+* **Cells.** k-means on a bounded sample gives about ``sqrt(N)`` cells (at most ``MOST_CELLS``, fitted on at most
+  ``SAMPLE`` vectors). Every vector is placed in its nearest cell and kept as the residual to the cell's centre, one
+  byte a dimension with a step of its own, and the exact length of what the code leaves out. So the distance of a query to a
+  vector is known within that error, from an eighth of the bytes.
+* **Two rounds.** Queries of one cell form blocks; the codes of the cells they visit are sent to them and stream by, so a
+  query stands in one place however many blocks it meets. In the first round a query visits the nearest cells that
+  hold enough vectors; the k-th smallest upper bound is its reach. In the second round it visits the other cells that
+  the triangle inequality leaves within its reach.
+* **Survivors.** Only vectors whose lower bound is within the final reach are scored, on their full vectors.
+
+Equal vectors are searched once and listed again at the end, so a third of all rows may be one vector. Both metrics
+become a distance by an extra coordinate: ``d^2 = 2 - 2 * score``. Zero queries score 0 everywhere and take the first ids.
+The driver sees the sample, the centres and a row per cell. Vectors without clusters prune few cells; the search then
+compares all queries with all codes, in blocks.
 """
 
 from __future__ import annotations
@@ -12,159 +22,249 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewell.functions.scalars import norm, unit
 from tidewell.operators.topk import topk_by
 from tidewell.session import cut_lineage
 
-SLACK = 1e-9
+#: Slack of distances and of squared distances; scores equal to ten digits are ties.
+SLACK, TIE = 1e-9, 1e-9
+
+#: Most cells, most vectors of the sample, vectors and queries of a block, wanted rows beyond which a query's reach stays open.
+MOST_CELLS, SAMPLE, BLOCK, OPEN = 4096, 65536, 2048, 4096
+
+
+def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum((x**2).sum(1)[:, None] - 2 * x @ centres.T + (centres**2).sum(1)[None, :], 0))
+
+
+def _matrix(column) -> np.ndarray:
+    return np.stack([np.asarray(v, dtype=float) for v in column])
+
+
+def train_cells(sample: np.ndarray, cells: int, rounds: int = 6) -> np.ndarray:
+    """Centres of ``cells`` cells by k-means; a cell that loses all its vectors keeps its centre."""
+    centres = sample[:cells].copy()
+    for _ in range(rounds):
+        own = np.concatenate([_distances(sample[i : i + 4096], centres).argmin(1) for i in range(0, len(sample), 4096)])
+        sums = np.zeros_like(centres)
+        np.add.at(sums, own, sample)
+        sizes = np.bincount(own, minlength=len(centres))
+        centres[sizes > 0] = sums[sizes > 0] / sizes[sizes > 0, None]
+    return centres
+
 
+def encode(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One byte a dimension of ``x - centres``, the step of each row, and the length of what the code leaves out."""
+    rest = x - centres
+    step = np.abs(rest).max(1) / 127
+    codes = np.rint(rest / np.where(step > 0, step, 1)[:, None]).astype(np.int8)
+    return codes, step, np.linalg.norm(rest - codes * step[:, None], axis=1) + SLACK
 
-def _placed(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """(item_id, vec, cell, dist) with the nearest pivot; zero vectors go to cell -1, visited by all."""
 
-    def assign(batches):
+def _place(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
+    """(item_id, cell, dist, code, step, err) of (item_id, vec)."""
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                x = _matrix(pdf["vec"])
+                away = _distances(x, centres)
+                cell = away.argmin(1)
+                codes, step, err = encode(x, centres[cell])
+                yield pd.DataFrame({"item_id": pdf["item_id"], "cell": cell, "dist": away.min(1), "code": [c.tobytes() for c in codes], "step": step, "err": err})
+
+    kind = vectors.schema["item_id"].dataType.simpleString()
+    return vectors.select("item_id", "vec").mapInPandas(run, f"item_id {kind}, cell int, dist double, code binary, step double, err double")
+
+
+def _visits(queries: DataFrame, centres: np.ndarray, radius: np.ndarray, sizes: np.ndarray, second: bool) -> DataFrame:
+    """``queries`` with the cells to visit: at first the nearest that hold ``need`` vectors, then the others within reach.
+
+    ``own``: the cell of the query's block.
+    """
+    kept = [c for c in queries.columns if c not in ("own", "cells")]
+
+    def run(batches):
         for pdf in batches:
             if not len(pdf):
                 continue
-            x = np.stack(pdf["vec"].to_numpy())
-            d = np.sqrt(np.maximum(((x**2).sum(1)[:, None] - 2 * x @ pivots.T + (pivots**2).sum(1)[None, :]), 0))
-            cell = d.argmin(1)
-            zero = ~x.any(1)
-            yield pd.DataFrame(
-                {"item_id": pdf["item_id"], "vec": pdf["vec"], "cell": np.where(zero, -1, cell), "dist": np.where(zero, 0.0, d.min(1))}
-            )
+            away = _distances(_matrix(pdf["vec"]), centres)
+            order = away.argsort(1, kind="stable")
+            held = np.cumsum(sizes[order], axis=1)
+            last = np.minimum((held < pdf["need"].to_numpy()[:, None]).sum(1), len(centres) - 1)
+            first = np.zeros(away.shape, dtype=bool)
+            np.put_along_axis(first, order, np.arange(len(centres))[None, :] <= last[:, None], axis=1)
+            if second:
+                first = ~first & (sizes > 0) & (away - radius <= pdf["reach"].to_numpy()[:, None] + SLACK)
+            out = pdf[kept].copy()
+            out["own"] = order[:, 0]
+            out["cells"] = [np.flatnonzero(f).astype(np.int32) for f in first]
+            yield out
 
-    kind = vectors.schema["item_id"].dataType.simpleString()
-    return vectors.mapInPandas(assign, f"item_id {kind}, vec array<double>, cell int, dist double")
-
-
-def nearest(
-    queries: DataFrame,
-    vectors: DataFrame,
-    k: int,
-    metric: str = "cosine",
-    exclude_same: bool = False,
-    cells: int = 64,
-    block: int = 2048,
-) -> DataFrame:
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in queries.schema if f.name in kept)
+    return queries.mapInPandas(run, f"{kinds}, own int, cells array<int>")
+
+
+def _numbered(frame: DataFrame, key: str, sizes: dict[int, int], by: str) -> Column:
+    """A part of the row's group ``key``, so many that none exceeds ``BLOCK`` by much."""
+    large = {k: -(-n // BLOCK) for k, n in sizes.items() if n > BLOCK}
+    parts = F.lit(1)
+    if large:
+        parts = F.coalesce(F.create_map(*[F.lit(x) for kv in large.items() for x in kv])[F.col(key)], F.lit(1))
+    return F.pmod(F.xxhash64(by), parts).cast("int")
+
+
+def _search(asked: DataFrame, placed: DataFrame, centres: np.ndarray, query_sizes: dict[int, int], cell_sizes: dict[int, int]) -> DataFrame:
+    """(query_id, item_id, low, reach): vectors whose lower bound is within the query's reach when they stream by; the least reach is the final one.
+
+    ``asked``: query_id, vec, need, reach, own, cells. A block of queries comes first, then the codes of all cells it visits.
+    """
+    q = asked.where(F.size("cells") > 0).withColumn("qpart", _numbered(asked, "own", query_sizes, "query_id"))
+    listed = F.collect_list(F.struct("query_id", "vec", "need", "reach", "cells"))
+    q_blocks = q.groupBy("own", "qpart").agg(listed.alias("asked"))
+    v_blocks = placed.withColumn("part", _numbered(placed, "cell", cell_sizes, "item_id")).groupBy("cell", "part")
+    v_blocks = v_blocks.agg(F.collect_list(F.struct("item_id", "code", "step", "err")).alias("codes")).drop("part")
+    pairs = q.select("own", "qpart", F.explode("cells").alias("cell")).distinct()
+    met = pairs.join(v_blocks, "cell").unionByName(q_blocks, allowMissingColumns=True)
+    met = met.select("own", "qpart", F.col("codes").isNotNull().cast("int").alias("kind"), "cell", "asked", "codes")
+    streamed = met.repartition("own", "qpart").sortWithinPartitions("own", "qpart", "kind")
+    dim = centres.shape[1]
+
+    def run(batches):
+        block = None
+        for pdf in batches:
+            for kind, cell, queries, vectors in zip(pdf["kind"], pdf["cell"], pdf["asked"], pdf["codes"]):
+                if kind == 0:
+                    block = None  # frees the last block first
+                    block = _Block(queries)
+                else:
+                    code = np.frombuffer(b"".join(v["code"] for v in vectors), dtype=np.int8).reshape(-1, dim)
+                    step, err = (np.array([v[c] for v in vectors]) for c in ("step", "err"))
+                    rows, cols, low = block.meet(int(cell), centres[int(cell)] + code * step[:, None], err)
+                    if len(rows):
+                        ids = np.array([v["item_id"] for v in vectors], dtype=object)
+                        yield pd.DataFrame({"query_id": block.ids[rows], "item_id": ids[cols], "low": low, "reach": block.reach[rows]})
+
+    kinds = asked.schema["query_id"].dataType.simpleString(), placed.schema["item_id"].dataType.simpleString()
+    return streamed.mapInPandas(run, f"query_id {kinds[0]}, item_id {kinds[1]}, low double, reach double")
+
+
+class _Block:
+    """Queries of one cell while codes stream by: each one's reach, the ``need``-th least upper bound so far."""
+
+    def __init__(self, queries):
+        self.ids = np.array([q["query_id"] for q in queries], dtype=object)
+        self.x = _matrix(q["vec"] for q in queries)
+        self.need = np.array([q["need"] for q in queries])
+        self.reach = np.array([q["reach"] for q in queries], dtype=float)
+        self.best = np.full((len(queries), min(OPEN, int(self.need.max()))), np.inf)
+        rows = np.repeat(np.arange(len(queries)), [len(q["cells"]) for q in queries])
+        cells = np.concatenate([np.asarray(q["cells"]) for q in queries])
+        order = np.argsort(cells, kind="stable")
+        found, begin = np.unique(cells[order], return_index=True)
+        self.visitors = dict(zip(found.tolist(), np.split(rows[order], begin[1:])))
+
+    def meet(self, cell: int, y: np.ndarray, err: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows, columns and lower bounds of the visitors of ``cell`` and the vectors within their reach."""
+        who = self.visitors[cell]
+        away = _distances(self.x[who], y)
+        width = self.best.shape[1]
+        pool = np.concatenate([self.best[who], away + err], axis=1)
+        pool = np.sort(np.partition(pool, width - 1, axis=1)[:, :width] if pool.shape[1] > width else pool, axis=1)
+        self.best[who] = pool[:, :width]
+        at = np.minimum(self.need[who], width) - 1
+        kth = np.where(self.need[who] <= width, pool[np.arange(len(who)), at], np.inf)
+        self.reach[who] = np.minimum(self.reach[who], kth)
+        low = np.maximum(away - err - SLACK, 0)
+        rows, cols = np.nonzero(low**2 <= self.reach[who, None] ** 2 + TIE)
+        return who[rows], cols, low[rows, cols]
+
+
+def _prepared(queries: DataFrame, vectors: DataFrame, metric: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the extra coordinate: unit length vectors, queries of unit length or zero; ``scale`` turns their product into the score."""
+    if metric == "cosine":
+        scaled, scale = unit("features"), F.lit(1.0)
+    else:
+        longest = float(vectors.agg(F.max(norm("features"))).first()[0] or 1.0) or 1.0
+        scaled, scale = F.transform("features", lambda x: x.cast("double") / longest), norm("features") * longest
+    extra = F.array(F.sqrt(F.greatest(F.lit(0.0), 1.0 - norm("_s") * norm("_s"))))
+    v = vectors.select("item_id", scaled.alias("_s")).select("item_id", F.concat("_s", extra).alias("vec"))
+    return queries.select("query_id", F.concat(unit("features"), F.array(F.lit(0.0))).alias("vec"), "need", scale.alias("scale")), v
+
+
+def _scores(rows: DataFrame, q: DataFrame, v: DataFrame) -> DataFrame:
+    """(query_id, item_id, score) of given pairs, on the full vectors."""
+    pairs = rows.join(q.select("query_id", F.col("vec").alias("qvec"), "scale"), "query_id").join(v, "item_id")
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                score = np.einsum("ij,ij->i", _matrix(pdf["qvec"])[:, :-1], _matrix(pdf["vec"])[:, :-1])
+                yield pd.DataFrame({"query_id": pdf["query_id"], "item_id": pdf["item_id"], "score": score * pdf["scale"].to_numpy()})
+
+    kinds = (q.schema["query_id"].dataType.simpleString(), v.schema["item_id"].dataType.simpleString())
+    return pairs.select("query_id", "item_id", "qvec", "vec", "scale").mapInPandas(run, f"query_id {kinds[0]}, item_id {kinds[1]}, score double")
+
+
+def _first_ids(queries: DataFrame, members: DataFrame, n: int) -> DataFrame:
+    """Rows of queries that score 0 everywhere: the first ``need`` ids."""
+    most = min(n, queries.agg(F.max("need")).first()[0] or 0)
+    head = members.orderBy("item_id").limit(most).select("item_id", F.row_number().over(W.orderBy("item_id")).alias("_rank"))
+    asked = queries.select("query_id", F.explode(F.sequence(F.lit(1), F.least("need", F.lit(most)))).alias("_rank"))
+    return asked.join(head, "_rank").select("query_id", "item_id", F.lit(0.0).alias("score"))
+
+
+def nearest(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine", exclude_same: bool = False, cells: int | None = None) -> DataFrame:
     """Best ``k`` vectors per query as ``(query_id, item_id, score)``, ties by item id.
 
     ``queries``: ``query_id, features`` and optionally ``need`` (rows wanted by this query, for callers
-    that filter afterwards; then all ``need`` rows are returned). ``vectors``: ``item_id, features``.
-    ``metric='dot'`` ranks by inner product; it becomes a distance by the usual extra coordinate.
+    that filter afterwards; then at least these rows are returned). ``vectors``: ``item_id, features``.
+    ``metric='dot'`` ranks by inner product. ``cells``: other than about the square root of the vectors.
     """
     extra = exclude_same + 0
     own_need = "need" in queries.columns
-    q = queries.withColumn("need", (F.col("need") if own_need else F.lit(k)) + extra)
-    if metric == "cosine":
-        v = vectors.select("item_id", unit("features").alias("vec"))
-        q = q.select("query_id", unit("features").alias("vec"), "need")
-    else:
-        longest = float(vectors.agg(F.max(norm("features"))).first()[0] or 1.0) or 1.0
-        scaled = F.transform("features", lambda x: x.cast("double") / longest)
-        v = vectors.select("item_id", scaled.alias("_s")).select(
-            "item_id", F.concat("_s", F.array(F.sqrt(F.greatest(F.lit(0.0), 1.0 - norm("_s") * norm("_s"))))).alias("vec")
-        )
-        n = norm("features")
-        q = q.select(
-            "query_id",
-            F.concat(unit("features"), F.array(F.lit(0.0))).alias("vec"),
-            "need",
-            (n * longest).alias("scale"),
-        )
-    v = cut_lineage(v)  # read four times below
-    rows = v.orderBy(F.xxhash64("item_id"), "item_id").limit(cells).select("vec").collect()
-    if not rows:
+    q = queries.withColumn("need", (F.col("need").cast("long") if own_need else F.lit(k).cast("long")) + extra)
+    q, v = _prepared(q, vectors, metric)
+    v = cut_lineage(v)
+    different = cut_lineage(v.groupBy("vec").agg(F.min("item_id").alias("item_id"), F.count("*").alias("copies")))
+    n, most = different.agg(F.count("*"), F.max("copies")).first()
+    if not n:
         kinds = queries.schema["query_id"].dataType.simpleString(), vectors.schema["item_id"].dataType.simpleString()
         return queries.sparkSession.createDataFrame([], f"query_id {kinds[0]}, item_id {kinds[1]}, score double")
-    pivots = np.array([r.vec for r in rows], dtype=float)
-    placed = _placed(v, pivots)
+    cells = min(cells or int(n**0.5) + 1, MOST_CELLS, n)
+    picked = F.pmod(F.xxhash64("item_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, min(SAMPLE, 32 * cells) / n)) + 1
+    rows = different.where(picked).select("vec").toPandas()["vec"]
+    sample = _matrix(rows) if len(rows) else _matrix(different.limit(cells).toPandas()["vec"])
+    centres = train_cells(sample, min(cells, len(sample)))
+    placed = cut_lineage(_place(different, centres))
     stats = placed.groupBy("cell").agg(F.max("dist").alias("radius"), F.count("*").alias("n")).collect()
-    info = {r.cell: (r.radius, r.n, max(1, -(-r.n // block))) for r in stats}
-    ids = sorted(info)
-    real = [c for c in ids if c >= 0]
-    radius = np.array([info[c][0] for c in real])
-    sizes = np.array([info[c][1] for c in real])
-    centre = pivots[real] if real else np.zeros((0, pivots.shape[1]))
-    if "scale" not in q.columns:
-        q = q.withColumn("scale", F.lit(1.0))
-
-    def route(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            x = np.stack(pdf["vec"].to_numpy())
-            need = pdf["need"].to_numpy()
-            zero = ~x.any(1)
-            if real:
-                d = np.sqrt(np.maximum((x**2).sum(1)[:, None] - 2 * x @ centre.T + (centre**2).sum(1)[None, :], 0))
-                upper = d + radius[None, :]
-                order = upper.argsort(1)
-                seen = np.cumsum(sizes[order], axis=1)
-                reach = np.full(len(x), np.inf)
-                for i in range(len(x)):
-                    j = np.searchsorted(seen[i], need[i])
-                    if j < len(real) and not zero[i]:
-                        reach[i] = upper[i, order[i, j]]
-                visit = (d - radius[None, :]) <= reach[:, None] + SLACK
-            out = []
-            for c in ids:
-                pick = np.arange(len(x)) if c < 0 else np.flatnonzero(visit[:, real.index(c)])
-                if len(pick):
-                    out.append(
-                        {
-                            "cell": c,
-                            "parts": info[c][2],
-                            "qid": pdf["query_id"].to_numpy()[pick],
-                            "qvec": x[pick].ravel(),
-                            "need": need[pick],
-                            "scale": pdf["scale"].to_numpy()[pick],
-                        }
-                    )
-            if out:
-                yield pd.DataFrame(out)
-
-    qkind = queries.schema["query_id"].dataType.simpleString()
-    vkind = vectors.schema["item_id"].dataType.simpleString()
-    asked = q.mapInPandas(
-        route, f"cell int, parts int, qid array<{qkind}>, qvec array<double>, need array<int>, scale array<double>"
-    ).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    parts = F.lit(1)
-    for c in ids:
-        if info[c][2] > 1:
-            parts = F.when(F.col("cell") == c, F.lit(info[c][2])).otherwise(parts)
-    blocks = (
-        placed.withColumn("part", F.pmod(F.xxhash64("item_id"), parts).cast("int"))
-        .groupBy("cell", "part")
-        .agg(F.collect_list(F.struct("item_id", "vec")).alias("rows"))
-    )
-    blocks = blocks.select("cell", "part", F.transform("rows", lambda r: r.item_id).alias("vid"), F.flatten(F.transform("rows", lambda r: r.vec)).alias("vvec"))
-    dim = pivots.shape[1]
-    dot = metric != "cosine"
+    radius, sizes = np.zeros(len(centres)), np.zeros(len(centres), dtype=np.int64)
+    for r in stats:
+        radius[r.cell], sizes[r.cell] = r.radius, r.n
+    cell_sizes = {r.cell: r.n for r in stats}
 
-    def score(batches):
-        for pdf in batches:
-            for r in pdf.itertuples():
-                left = np.asarray(r.qvec).reshape(-1, dim)
-                right = np.asarray(r.vvec).reshape(-1, dim)
-                vid = np.asarray(r.vid)
-                if dot:
-                    s = (left[:, :-1] @ right[:, :-1].T) * np.asarray(r.scale)[:, None]
-                else:
-                    s = left @ right.T
-                want = np.minimum(np.asarray(r.need), s.shape[1])
-                found = []
-                for i in range(len(left)):
-                    cut = np.partition(s[i], s.shape[1] - want[i])[s.shape[1] - want[i]]
-                    keep = np.flatnonzero(s[i] >= cut - SLACK)
-                    found.append((np.full(len(keep), i), keep))
-                rows_, cols_ = (np.concatenate(z) for z in zip(*found))
-                yield pd.DataFrame({"query_id": np.asarray(r.qid)[rows_], "item_id": vid[cols_], "score": s[rows_, cols_]})
-
-    met = asked.join(blocks, ["cell", "part"]).select("qid", "qvec", "need", "scale", "vid", "vvec")
-    scored = met.mapInPandas(score, f"query_id {qkind}, item_id {vkind}, score double")
+    zero = ~F.exists("vec", lambda x: x != 0)
+    q = cut_lineage(_visits(q.withColumn("reach", F.lit(float("inf"))).withColumn("zero", zero), centres, radius, sizes, second=False))
+    seen = q.groupBy("own").agg(F.count("*").alias("n"), F.max("zero").alias("zero")).collect()
+    query_sizes = {r.own: r.n for r in seen}
+    blank, q = q.where("zero"), q.where("not zero")
+    first = cut_lineage(_search(q, placed, centres, query_sizes, cell_sizes))
+    reach = first.groupBy("query_id").agg(F.min("reach").alias("reach"))
+    again = _visits(q.drop("reach").join(reach, "query_id").select("query_id", "vec", "need", "reach"), centres, radius, sizes, second=True)
+    found = first.unionByName(_search(again, placed, centres, query_sizes, cell_sizes))
+    final = F.min("reach").over(W.partitionBy("query_id"))
+    found = found.withColumn("reach", final).where(F.col("low") * F.col("low") <= F.col("reach") * F.col("reach") + TIE)
+    scored = _scores(found.select("query_id", "item_id"), q, different.select("item_id", "vec"))
+    if most > 1:  # equal vectors again
+        groups = v.join(different.where("copies > 1").select(F.col("item_id").alias("head"), "vec"), "vec").select("head", "item_id")
+        if not own_need:
+            groups = topk_by(groups.withColumn("score", F.lit(0)), "head", k + extra).drop("score")
+        scored = scored.withColumnRenamed("item_id", "head").join(groups, "head", "left")
+        scored = scored.select("query_id", F.coalesce("item_id", "head").alias("item_id"), "score")
+    if any(r.zero for r in seen):
+        scored = scored.unionByName(_first_ids(blank, v, v.count()))
     if exclude_same:
         scored = scored.where("query_id <> item_id")
     if own_need:
@@ -173,6 +273,28 @@ def nearest(
     return ranked.drop("_s")
 
 
+def all_scores(queries: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Cosine of every query with every vector, for fixed candidate lists: the pairs are the result. Blocks of both sides meet in one product."""
+    q, v = _prepared(queries.withColumn("need", F.lit(0)), vectors, "cosine")
+    sides = []
+    for side, name, n in ((q, "query_id", queries.count()), (v, "item_id", vectors.count())):
+        part = F.pmod(F.xxhash64(name), F.lit(max(1, -(-n // BLOCK))))
+        sides.append(side.groupBy(part.alias(f"part_{name}")).agg(F.collect_list(F.struct(name, "vec")).alias(name)))
+        last = max(1, -(-n // BLOCK)) - 1
+    met = sides[0].withColumn("part_item_id", F.explode(F.sequence(F.lit(0), F.lit(last)))).join(sides[1], "part_item_id")
+
+    def run(batches):
+        for pdf in batches:
+            for left, right in zip(pdf["query_id"], pdf["item_id"]):
+                score = _matrix(r["vec"] for r in left) @ _matrix(r["vec"] for r in right).T
+                ids = np.array([r["item_id"] for r in right], dtype=object)
+                for i, r in enumerate(left):
+                    yield pd.DataFrame({"query_id": [r["query_id"]] * len(ids), "item_id": ids, "score": score[i]})
+
+    kinds = queries.schema["query_id"].dataType.simpleString(), vectors.schema["item_id"].dataType.simpleString()
+    return met.select("query_id", "item_id").mapInPandas(run, f"query_id {kinds[0]}, item_id {kinds[1]}, score double")
+
+
 def nearest_approx(queries: DataFrame, vectors: DataFrame, k: int, distance: float, bucket: float = 0.5, tables: int = 4, seed: int = 42) -> DataFrame:
     """Approximate neighbours within ``distance`` (Euclidean on unit vectors) by random-projection hashing."""
     lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket, numHashTables=tables, seed=seed)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewell.functions.scalars import tag_token
 from tidewell.operators.filters import filter_users
-from tidewell.operators.skew import previous_row, sessionise, time_bucket
+from tidewell.operators.skew import previous_row, sessionise
 from tidewell.operators.topk import select_topk_linear
 
 ORDER = ["ts", "event_id"]
@@ -73,7 +73,7 @@ def history_features(actions: DataFrame, item_tags: DataFrame, start: int, max_a
 def next_item_features(actions: DataFrame, item_tags: DataFrame, threshold: float = 3.0) -> DataFrame:
     """Tags of an action as ``i_*`` and those of the user's previous one as ``u_*``; ``value > threshold`` only."""
     liked = _tagged(actions.where(F.col("value") > threshold), item_tags)
-    d = previous_row(liked, ["user_id"], ORDER, ["tags"], time_bucket("ts")).where(F.col("prev").isNotNull())
+    d = previous_row(liked, ["user_id"], ORDER, ["tags"]).where(F.col("prev").isNotNull())
     return d.select("user_id", "event_id", F.concat(_prefixed("i_", "tags"), _prefixed("u_", "prev.tags")).alias("features"))
 
 

@@ -1,7 +1,7 @@
 """Exact building blocks that stay balanced when one key owns a large share of the rows.
 
-* ordered state per key is computed per (key, time bucket) and stitched through one summary
-  row per bucket, so a hot key is spread over its buckets;
+* ordered state per key is computed per (key, piece) and stitched through one summary row per piece;
+  a key with many rows is cut into pieces of bounded size along its order;
 * exact quantiles pre-aggregate equal values and rank only the value buckets that hold a
   wanted rank;
 * co-occurrence candidates treat the few hottest groups through a bit mask per item instead
@@ -12,11 +12,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-BUCKET_SECONDS = 6 * 3600
+from tidewell.session import cut_lineage, written
 
+#: Rows of a key beyond which it is cut into pieces of about this size.
+PIECE_ROWS = 200_000
 
-def time_bucket(ts: str, seconds: int = BUCKET_SECONDS) -> Column:
-    return F.floor(F.unix_timestamp(ts) / seconds)
+
+def with_pieces(df: DataFrame, keys: list[str], order: list[str], out: str, piece_rows: int | None = None) -> DataFrame:
+    """``df`` with a piece number ``out`` that rises along ``order`` inside each key; a key's piece holds about ``piece_rows`` rows at most.
+
+    Keys of no more rows are one piece, where they lie. The rows of the others are dealt by ranges of (keys, order), whatever
+    their times: a key may have all its rows in one minute. The cuts come from a sample and are fixed by writing the rows once, so every
+    reader sees the same pieces. ``order`` should be unique inside a key, or its ties stay together.
+    """
+    rows = PIECE_ROWS if piece_rows is None else piece_rows
+    hot = cut_lineage(df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > rows))
+    total = hot.agg(F.sum("_n")).first()[0]
+    if not total:
+        return df.withColumn(out, F.lit(0))
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
+
+    def side(how: str) -> DataFrame:
+        return df.alias("l").join(hot.alias("h"), same, how)
+
+    cut = side("left_semi").repartitionByRange(-(-total // rows) + 1, *keys, *order).withColumn(out, F.spark_partition_id())
+    return side("left_anti").withColumn(out, F.lit(0)).unionByName(written(cut, "pieces"))
 
 
 def with_key_count(df: DataFrame, keys: list[str], out: str) -> DataFrame:
@@ -33,9 +53,9 @@ def dense_ids(df: DataFrame, key: str, out: str, slots: int = 4096) -> DataFrame
     return ranked.join(sizes, "_s").withColumn(out, F.col("_off") + F.col("_r")).drop("_s", "_r", "_off")
 
 
-def previous_row(df: DataFrame, keys: list[str], order: list[str], carry: list[str], bucket: Column, out: str = "prev") -> DataFrame:
+def previous_row(df: DataFrame, keys: list[str], order: list[str], carry: list[str], out: str = "prev", piece_rows: int | None = None) -> DataFrame:
     """Struct of ``carry`` of the preceding row per key (null for the first row)."""
-    d = df.withColumn("_b", bucket)
+    d = with_pieces(df, keys, order, "_b", piece_rows)
     local = W.partitionBy(*keys, "_b").orderBy(*order)
     d = d.withColumn("_p", F.lag(F.struct(*carry)).over(local))
     tails = d.groupBy(*keys, "_b").agg(F.max_by(F.struct(*carry), F.struct(*order)).alias("_tail"))
@@ -54,15 +74,15 @@ def sessionise(
     order: list[str],
     gap_s: float,
     starts: Column | None = None,
-    bucket: Column | None = None,
+    piece_rows: int | None = None,
 ) -> DataFrame:
     """Add ``session`` (1, 2, … per key), ``prev_ts`` and ``is_break``.
 
     A row opens a session when it is the key's first, or when more than ``gap_s`` seconds passed
-    since the previous row and ``starts`` holds for it. ``gap_s < 0`` never splits.
+    since the previous row and ``starts`` holds for it. ``gap_s < 0`` never splits. The rows of a piece are ordered in
+    one task; one summary row per piece carries the state on, so a hot key's rows never meet in one task.
     """
-    d = df.withColumn("_b", time_bucket(ts) if bucket is None else bucket)
-    d = d.withColumn("_starts", F.lit(True) if starts is None else starts)
+    d = with_pieces(df.withColumn("_starts", F.lit(True) if starts is None else starts), keys, order, "_b", piece_rows)
     d = d.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
     local = W.partitionBy(*keys, "_b").orderBy(*order)
 

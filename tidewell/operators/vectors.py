@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tidewell.functions.scalars import cosine
-from tidewell.operators.nearest import nearest
+from tidewell.operators.nearest import all_scores, nearest
 from tidewell.operators.topk import rescale_topk, topk_by
 
 
@@ -76,7 +76,7 @@ def rec_vectors(recent: DataFrame, vectors: DataFrame, k: int, candidates: DataF
     if candidates is None:
         near = nearest(items, target, 10 * k)
     else:
-        near = nearest(items.withColumn("need", F.lit(2**31 - 2)), target, k)
+        near = all_scores(items, target)
     near = near.select(F.col("query_id").alias("_from"), "item_id", "score")
     if skip_exact:
         near = near.where(F.round("score", 9) < 1.0)

@@ -49,3 +49,10 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint: survives executor loss, unlike a local one."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder as Parquet and read again: like a checkpoint, compressed and by column."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
