@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import Row, functions as F
@@ -243,8 +244,47 @@ def test_document_neighbours(spark):
         assert near[1] == 2 and near[4] == 3
 
 
-def test_murmur_and_prime_hash(spark):
-    assert hashing._murmur32(b"", 0) == 0 and hashing._murmur32(b"hello", 0) == 613153351
+def plain_murmur(data, seed):
+    h, mask = seed & 0xFFFFFFFF, 0xFFFFFFFF
+    for i in range(0, len(data), 4):
+        k = int.from_bytes(data[i : i + 4], "little") * 0xCC9E2D51 & mask
+        h ^= (k << 15 | k >> 17) * 0x1B873593 & mask
+        if i + 4 <= len(data):
+            h = ((h << 13 | h >> 19) & mask) * 5 + 0xE6546B64 & mask
+    h ^= len(data)
+    h = (h ^ h >> 16) * 0x85EBCA6B & mask
+    h = (h ^ h >> 13) * 0xC2B2AE35 & mask
+    h ^= h >> 16
+    return h - 2**32 if h >> 31 else h
+
+
+def test_murmur(spark):
+    assert plain_murmur(b"", 0) == 0 and plain_murmur(b"hello", 0) == 613153351
+    rng = np.random.default_rng(1)
+    signs = list("ab cd|ßé日本𝄞\n\x00\x80\xff0")
+    texts = [("".join(rng.choice(signs, n)), int(seed)) for n in range(14) for seed in (0, 1, -1, -(2**31), 613153351, 2**31 - 1) for _ in range(4)]
+    got = spark.createDataFrame(texts, "t string, s int").select("t", "s", hashing.murmur3(F.col("t"), F.col("s")).alias("h")).collect()
+    assert [r.h for r in got] == [plain_murmur(r.t.encode(), r.s) for r in got]
+    assert spark.createDataFrame([(None, 1)], "t string, s int").select(hashing.murmur3(F.col("t"), F.col("s")).alias("h")).first().h is None
+
+
+def test_rules_in_baskets_of_any_size(spark):
+    rng = np.random.default_rng(2)
+    baskets = [(u, [int(i) for i in rng.choice(80, n, replace=False)]) for u, n in enumerate([0, 1, 3, 5, 20, 50, 50, 70])]
+    found = {(tuple(sorted(map(int, rng.choice(80, int(n), replace=False)))), int(i)) for n, i in zip(rng.integers(1, 6, 400), rng.integers(0, 80, 400))}
+    found = [([*a], i, float(rng.random()), float(rng.random() + 1)) for a, i in sorted(found) if i not in a]
+    want = {}
+    for u, items in baskets:
+        for a, i, c, lift in found:
+            if set(a) <= set(items) and i not in items:
+                want[u, i] = want.get((u, i), 0) + c * lift * len(a)
+    users = spark.createDataFrame(baskets, "user_id long, items array<long>")
+    out = rules.rec_assoc(users, spark.createDataFrame(found, "antecedent array<long>, item long, confidence double, lift double"), 1000)
+    best = {u: max(v for (w, _), v in want.items() if w == u) for u, _ in want}
+    assert {(r.user_id, r.item_id): round(r.score, 9) for r in out.collect()} == {k: round(v / best[k[0]], 9) for k, v in want.items()} and len({u for u, _ in want}) >= 4
+
+
+def test_prime_hash_and_feature_hash(spark):
     big = 2**31 - 5
     got = spark.range(1).select(hashing.prime_hash(F.lit(big), big, 77).alias("h")).first().h
     assert got == (big * big + 77) % hashing.PRIME

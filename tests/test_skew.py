@@ -45,8 +45,7 @@ def test_cosine_with_hot_groups_is_exact(spark):
     for seed in (1, 2):
         rows = members(seed)
         want = brute(rows, 4, lambda s, a, b: s / math.sqrt(a * b))
-        assert best(spark, rows, 4, cos(), hot_size=10, hot_groups=2) == want
-        assert best(spark, rows, 4, cos(), hot_size=10, hot_groups=8) == want
+        assert best(spark, rows, 4, cos(), hot_size=10) == want
         assert best(spark, rows, 4, cos(), hot_size=10**6, salt_size=3) == want
 
 
@@ -56,6 +55,22 @@ def test_items_met_in_hot_groups_only(spark):
     assert best(spark, rows, 3, cos(), hot_size=10) == want
 
 
+def test_twenty_hot_groups_without_any_pair_of_theirs(spark, monkeypatch):
+    """All groups of more than ten members are hot; none of them reaches the join that lists pairs."""
+    rng = np.random.default_rng(11)
+    rows = {(g, int(i)) for g in range(80) for i in rng.choice(90, rng.integers(1, 4), replace=False)}
+    for h in range(20):
+        rows |= {(1000 + h, int(i)) for i in rng.choice(90, int(rng.integers(15, 80)), replace=False)}
+    rows, listed, real = sorted(rows), [], skew._shared_light
+    monkeypatch.setattr(skew, "_shared_light", lambda light, salt: listed.append(light) or real(light, salt))
+    for name, value in (("BLOCK_CLASSES", 16), ("BLOCK_ITEMS", 24), ("ROUND_BITS", 7)):
+        monkeypatch.setattr(skew, name, value)
+    for upper in (False, True):
+        assert best(spark, rows, 3, cos(), hot_size=10, upper=upper) == brute(rows, 3, lambda s, a, b: s / math.sqrt(a * b), upper=upper)
+    assert best(spark, rows, 3, F.col("shared").cast("double"), hot_size=10, tie="id") == brute(rows, 3, lambda s, a, b: s)
+    assert all(light.where("grp >= 1000").count() == 0 and light.count() > 0 for light in listed)
+
+
 def test_upper_lists_with_hot_groups(spark):
     rows = members(3)
     want = brute(rows, 4, lambda s, a, b: s / math.sqrt(a * b), upper=True)

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import IntegerType
 
 # Hash of the constant feature, and the modulus of the prime hash family.
 CONSTANT_HASH = 11650396
@@ -44,48 +42,87 @@ def hash_family(n: int, seed: int = 42) -> list[tuple[int, int]]:
     return list(pairs)
 
 
-def _murmur32(data: bytes, seed: int) -> int:
-    """32-bit MurmurHash3 (public algorithm), signed result."""
-    mask = 0xFFFFFFFF
-    h = seed & mask
-
-    def scramble(k: int) -> int:
-        k = (k * 0xCC9E2D51) & mask
-        k = ((k << 15) | (k >> 17)) & mask
-        return (k * 0x1B873593) & mask
-
-    body = len(data) // 4 * 4
-    for i in range(0, body, 4):
-        h ^= scramble(int.from_bytes(data[i : i + 4], "little"))
-        h = ((h << 13) | (h >> 19)) & mask
-        h = (h * 5 + 0xE6546B64) & mask
-    if body < len(data):
-        h ^= scramble(int.from_bytes(data[body:], "little"))
-    h ^= len(data)
-    h = ((h ^ (h >> 16)) * 0x85EBCA6B) & mask
-    h = ((h ^ (h >> 13)) * 0xC2B2AE35) & mask
-    h ^= h >> 16
-    return h - (1 << 32) if h & 0x80000000 else h
-
-
-@F.pandas_udf(IntegerType())
-def murmur3(text: pd.Series, seed: pd.Series) -> pd.Series:
-    """32-bit murmur3 of a string; equal inputs of a batch are hashed once."""
-    seen: dict[tuple[str, int], int] = {}
-    out = []
-    for t, s in zip(text, seed):
-        if t is None:
-            out.append(None)
-            continue
-        key = (t, int(s))
-        if key not in seen:
-            seen[key] = _murmur32(t.encode("utf-8"), int(s))
-        out.append(seen[key])
-    return pd.Series(out, dtype="Int32")
-
-
-# Kept out of inferred join conditions, which cannot hold a Python function of both sides.
-murmur3 = murmur3.asNondeterministic()
+# Fixed values of the 32-bit murmur hash (version 3): multipliers, rotations and addend of a block, multipliers of the end.
+_M1, _M2, _M3, _ADD, _M4, _M5 = 0xCC9E2D51, 0x1B873593, 5, 0xE6546B64, 0x85EBCA6B, 0xC2B2AE35
+_R1, _R2 = 15, 13
+_MASK = 0xFFFFFFFF
+
+
+def _long(x: int) -> Column:
+    return F.lit(x).cast("long")
+
+
+def _times(x: Column, c: int) -> Column:
+    """``x * c`` modulo 2^32; the product may pass 64 bits."""
+    return (x.cast("decimal(10,0)") * F.lit(c).cast("decimal(10,0)") % F.lit(1 << 32).cast("decimal(10,0)")).cast("long")
+
+
+def _rotated(x: Column, by: int) -> Column:
+    """Rotation to the left of 32 bits: a product modulo 2^32 - 1, where all ones stand for themselves and not for zero."""
+    return (x * _long(1 << by) - _long(1)) % _long(_MASK) + _long(1)
+
+
+def _bound(value: Column, then) -> Column:
+    """``then(x)`` with ``x`` worked out once."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _mixed_block(k: Column) -> Column:
+    return _times(_rotated(_times(k, _M1), _R1), _M2)
+
+
+def murmur3(text: Column, seed: Column) -> Column:
+    """32-bit murmur hash of a text's UTF-8 bytes as a signed number; a fold over the bytes, in the JVM."""
+    octets = F.transform(F.split(F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"), ""), lambda c: F.ascii(c).cast("long"))
+    octets = F.when(text == "", F.array().cast("array<bigint>")).otherwise(octets)
+    start = F.struct(F.pmod(seed.cast("long"), _long(1 << 32)).alias("h"), _long(0).alias("k"), _long(0).alias("n"))
+
+    def step(acc: Column, octet: Column) -> Column:
+        place = acc["n"] % 4
+        k = acc["k"] + F.when(place == 0, octet).when(place == 1, octet * 256).when(place == 2, octet * 65536).otherwise(octet * 16777216)
+        full = place == 3
+        h = F.when(full, (_rotated(acc["h"].bitwiseXOR(_mixed_block(k)), _R2) * _M3 + _long(_ADD)).bitwiseAND(_long(_MASK))).otherwise(acc["h"])
+        return F.struct(h.alias("h"), F.when(full, _long(0)).otherwise(k).alias("k"), (acc["n"] + 1).alias("n"))
+
+    def end(acc: Column) -> Column:
+        h = acc["h"].bitwiseXOR(_mixed_block(acc["k"])).bitwiseXOR(acc["n"])
+        for shift, c in ((16, _M4), (13, _M5)):
+            h = _shifted(h, shift, c)
+        h = _bound(h, lambda x: x.bitwiseXOR(F.shiftright(x, 16)))
+        return _bound(h, lambda x: F.when(x > 0x7FFFFFFF, x - _long(1 << 32)).otherwise(x).cast("int"))
+
+    return F.when(text.isNotNull(), F.aggregate(octets, start, step, end))
+
+
+def _shifted(h: Column, shift: int, c: int) -> Column:
+    return _bound(h, lambda x: _times(x.bitwiseXOR(F.shiftright(x, shift)), c))
+
+
+def murmur3_sql(text: str, seed: str) -> str:
+    """The same hash of an ASCII text in DuckDB, for SQL twins."""
+
+    def times(x: str, c: int) -> str:
+        return f"(({x})::HUGEINT * {c} % {1 << 32})"
+
+    def rotated(x: str, by: int) -> str:
+        return f"list_transform([{x}], lambda r: r * {1 << by} % {1 << 32} + r // {1 << (32 - by)})[1]"
+
+    def code(at: str) -> str:
+        return f"coalesce(ascii(nullif(({text})[{at}], '')), 0)"
+
+    def mixed(k: str) -> str:
+        return times(rotated(times(k, _M1), _R1), _M2)
+
+    word = f"({code('4 * i + 1')} + {code('4 * i + 2')} * 256 + {code('4 * i + 3')} * 65536 + {code('4 * i + 4')} * 16777216)::HUGEINT"
+    blocks = f"list_transform(range(0, length({text}) // 4), lambda i: {word})"
+    block = f"({rotated(f'xor(h, {mixed(chr(107))})', _R2)} * {_M3} + {_ADD}) % {1 << 32}"
+    body = f"list_reduce(list_prepend((({seed}) + {1 << 32})::HUGEINT % {1 << 32}, {blocks}), lambda h, k: {block})"
+    tail = f"list_transform([length({text}) // 4], lambda i: CASE WHEN length({text}) % 4 = 0 THEN 0::HUGEINT ELSE {mixed(word)} END)[1]"
+    h = f"xor(xor({body}, {tail}), length({text})::HUGEINT)"
+    for shift, c in ((16, _M4), (13, _M5)):
+        h = f"list_transform([{h}], lambda x: {times(f'xor(x, x // {1 << shift})', c)})[1]"
+    h = f"list_transform([{h}], lambda x: xor(x, x // 65536))[1]"
+    return f"list_transform([{h}], lambda x: CASE WHEN x > {0x7FFFFFFF} THEN x - {1 << 32} ELSE x END)[1]"
 
 
 def feature_hash(namespace: Column | str, feature: Column | str, label: Column, bits: int, classes: int) -> Column:

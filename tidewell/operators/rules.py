@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -55,18 +53,28 @@ def last_baskets(events: DataFrame, add: int, remove: int, order: list[str], max
     return newest.groupBy("user_id").agg(F.array_sort(F.collect_list("item_id")).alias("items"))
 
 
-def rec_assoc(baskets: DataFrame, rules: DataFrame, k: int, max_items: int = 4) -> DataFrame:
-    """Rules whose antecedent equals a subset of the basket: ``confidence * lift * |antecedent|``, summed, over the best.
+def contained_rules(baskets: DataFrame, rules: DataFrame, key: str = "user_id") -> DataFrame:
+    """Every (basket, rule) whose antecedent lies in the basket, for baskets of any size; the basket's columns and the rule's.
+
+    Each rule is indexed under the rarest item of its antecedent, so a basket meets a rule at most once and frequent
+    items lead to few rules; the other items are looked up in the basket it meets.
+    """
+    entries = baskets.select(key, F.array_distinct("items").alias("items")).withColumn("_at", F.explode("items"))
+    wanted = rules.select(F.explode("antecedent").alias("_at")).dropDuplicates()
+    sizes = entries.join(wanted, "_at", "left_semi").groupBy("_at").agg(F.count("*").alias("_n"))
+    spread = rules.withColumn("_at", F.explode("antecedent")).join(sizes, "_at", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    columns = [c for c in rules.columns if c != "antecedent"]
+    indexed = spread.groupBy("antecedent", *columns).agg(F.min(F.struct("_n", "_at")).alias("_rare")).where("_rare._n > 0")
+    indexed = indexed.withColumn("_at", F.col("_rare._at")).drop("_rare")
+    return entries.join(indexed, "_at").where(F.size(F.array_except("antecedent", "items")) == 0).drop("_at")
+
+
+def rec_assoc(baskets: DataFrame, rules: DataFrame, k: int) -> DataFrame:
+    """Rules whose antecedent is a subset of the basket: ``confidence * lift * |antecedent|``, summed, over the best.
 
-    ``baskets``: ``user_id, items`` with at most ``max_items`` items (larger ones give nothing).
+    ``baskets``: ``user_id, items`` of any size; a rule whose item is in the basket already says nothing.
     """
-    small = baskets.where(F.size("items") <= max_items).select("user_id", F.array_sort("items").alias("items"))
-    picks = [c for n in range(1, max_items + 1) for c in combinations(range(max_items), n)]
-    subsets = F.filter(
-        F.array(*[F.when(F.size("items") > c[-1], F.array(*[F.get("items", F.lit(i)) for i in c])) for c in picks]), lambda s: s.isNotNull()
-    )
-    asked = small.select("user_id", "items", F.explode(subsets).alias("antecedent"))
-    hits = asked.join(rules, "antecedent").where(~F.array_contains("items", F.col("item")))
+    hits = contained_rules(baskets, rules.dropDuplicates(["antecedent", "item"])).where(~F.array_contains("items", F.col("item")))
     score = F.col("confidence") * F.col("lift") * F.size("antecedent")
     scored = hits.groupBy("user_id", F.col("item").alias("item_id")).agg(F.sum(score).alias("score"))
     return rescale_topk(scored, ["user_id"], k)

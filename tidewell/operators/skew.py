@@ -4,12 +4,14 @@
   a key with many rows is cut into pieces of bounded size along its order;
 * exact quantiles pre-aggregate equal values and rank only the value buckets that hold a
   wanted rank;
-* co-occurrence candidates treat the few hottest groups through a bit mask per item instead
-  of emitting every pair inside them.
+* co-occurrence candidates treat all large groups, however many, through bit sets of the items
+  that meet in blocks, instead of emitting every pair inside them.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewell.session import cut_lineage, written
@@ -159,12 +161,6 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     return out.drop("_all") if own_key else out
 
 
-def hottest_groups(members: DataFrame, hot_size: int, hot_groups: int) -> list:
-    """Ids of the few largest groups beyond ``hot_size`` members (at most ``hot_groups`` rows reach the driver)."""
-    sizes = members.groupBy("grp").agg(F.count("*").alias("n")).where(F.col("n") > hot_size)
-    return [r.grp for r in sizes.orderBy(F.desc("n"), "grp").limit(hot_groups).collect()]
-
-
 def _shared_light(light: DataFrame, salt_size: int) -> DataFrame:
     """(item_a < item_b, shared) over the groups that are not hot; large groups are salted."""
     sized = with_key_count(light, ["grp"], "_n").withColumn("_s", F.ceil(F.col("_n") / salt_size).cast("int"))
@@ -187,7 +183,6 @@ def cooccurrence_candidates(
     k: int,
     tie: str = "size",
     hot_size: int = 2000,
-    hot_groups: int = 8,
     salt_size: int = 256,
     upper: bool = False,
     split_at: int | None = None,
@@ -200,71 +195,118 @@ def cooccurrence_candidates(
     Holds for every score that never falls with ``shared`` and never rises with ``n_b``
     (ties by item id). ``members`` has columns ``grp, item``. ``tie='id'`` is for scores that ignore ``n_b``.
 
-    The at most ``hot_groups`` largest groups beyond ``hot_size`` members are not expanded into pairs. Each
-    item carries a bit mask of the hot groups it is in, so their part of ``shared`` is the bit count of
-    two masks. Pairs that meet in hot groups only are ranked per (mask, overlap): all items with one mask
-    share the same ``k + 1`` best partners, so only those are attached.
+    No group beyond ``hot_size`` members is expanded into pairs, whatever their number. Items of the same hot groups form a
+    class; a class's hot groups are a bit set, and the overlap of two items in hot groups is that of their classes. Pairs that
+    meet in hot groups only are found class against item, in blocks of bit sets (``_hot_pairs``), and all items of a class share the best
+    partners found. Pairs that meet in a light group get the overlap of their classes added.
     """
-    members = members.select("grp", "item").dropDuplicates()
-    hot = hottest_groups(members, hot_size, hot_groups)
-    bit = F.lit(0).cast("long")
-    for i, g in enumerate(hot):
-        bit = F.when(F.col("grp") == F.lit(g), F.lit(1 << i).cast("long")).otherwise(bit)
-    stats = members.groupBy("item").agg(F.count("*").alias("n"), F.bit_or(bit).alias("mask"))
-    light = members.where(~F.col("grp").isin(hot)) if hot else members
+    members = written(members.select("grp", "item").dropDuplicates(), "members")
+    hot = members.groupBy("grp").agg(F.count("*").alias("_n")).where(F.col("_n") > hot_size).select("grp")
+    hot = written(dense_ids(hot, "grp", "bit").select("grp", (F.col("bit") - 1).cast("int").alias("bit")), "hot-groups")
+    bits = hot.count()
+    counts = members.groupBy("item").agg(F.count("*").alias("n"))
+    light = members.join(hot, "grp", "left_anti") if bits else members
     pairs = _shared_light(light, salt_size)
     if not upper:
         ends = F.array(F.struct("item_a", "item_b"), F.struct(F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b")))
         pairs = pairs.select(F.explode(ends).alias("x"), "shared").select("x.*", "shared")
-    a = stats.select(F.col("item").alias("item_a"), F.col("n").alias("n_a"), F.col("mask").alias("mask_a"))
-    b = stats.select(F.col("item").alias("item_b"), F.col("n").alias("n_b"), F.col("mask").alias("mask_b"))
-    out = pairs.join(a, "item_a").join(b, "item_b").select(
-        "item_a", "item_b", (F.col("shared") + F.bit_count(F.col("mask_a").bitwiseAND(F.col("mask_b")))).alias("shared"), "n_a", "n_b"
-    )
-    if not hot:
-        return out
-    met = _meeting_masks(stats, len(hot))
-    attach = _hot_upper if upper else _hot_all
-    sides = b.where("mask_b <> 0").withColumn("big", F.lit(True) if split_at is None else F.col("n_b") >= split_at)
-    hot_rows = attach(a, sides, met, k, [F.col("n_b"), F.col("item_b")] if tie == "size" else [F.col("item_b")])
+    if not bits:
+        a, b = (counts.select(F.col("item").alias(f"item_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
+        return pairs.join(a, "item_a").join(b, "item_b").select("item_a", "item_b", "shared", "n_a", "n_b")
+    sets = members.join(hot, "grp").groupBy("item").agg(F.array_sort(F.collect_list("bit")).alias("bits"))
+    sets = counts.join(sets, "item", "left").withColumn("bits", F.coalesce("bits", F.array().cast("array<int>")))
+    classes = written(dense_ids(sets.where(F.size("bits") > 0).select("bits").dropDuplicates(), "bits", "cls"), "classes").select("cls", "bits")
+    stats = written(sets.join(classes, "bits", "left").select("item", "n", "bits", "cls"), "item-sets")
+    a, b = (stats.toDF(f"item_{x}", f"n_{x}", f"bits_{x}", f"cls_{x}") for x in "ab")
+    met = F.col("shared") + F.size(F.array_intersect("bits_a", "bits_b"))
+    out = pairs.join(a, "item_a").join(b, "item_b").select("item_a", "item_b", met.alias("shared"), "n_a", "n_b")
+    sides = b.where(F.col("cls_b").isNotNull()).withColumn("big", F.lit(True) if split_at is None else F.col("n_b") >= split_at)
+    order = [F.col("n_b"), F.col("item_b")] if tie == "size" else [F.col("item_b")]
+    levels = F.sequence(F.lit(0), F.lit(int(stats.agg(F.max("item")).first()[0] or 0).bit_length())) if upper else F.array(F.lit(0))
+    # The ids above an id fall into one aligned block for each zero bit of it, the odd ones; without ``upper`` there is one block.
+    block = F.expr("shiftright(item_b, lvl)") if upper else F.lit(1)
+    sides = sides.withColumn("lvl", F.explode(levels)).withColumn("blk", block).where("blk % 2 = 1")
+    best = _first(sides, ["cls_b", "big", "lvl", "blk"], order, k + 1).select("item_b", "n_b", F.col("bits_b").alias("bits"), "big", "lvl", "blk")
+    found = _hot_pairs(classes, best, bits, k + 1, tie)
+    ranked = _first(found, ["cls", "shared", "big", "lvl", "blk"], order, k + 1)
+    asks = a.where(F.col("cls_a").isNotNull()).select("item_a", "n_a", F.col("cls_a").alias("cls"))
+    if upper:
+        asks = asks.withColumn("lvl", F.explode(levels)).withColumn("blk", F.expr("shiftright(item_a, lvl)")).where("blk % 2 = 0").withColumn("blk", F.col("blk") + 1)
+    keys = ["cls", "lvl", "blk"] if upper else ["cls"]
+    hot_rows = asks.join(ranked if upper else ranked.drop("lvl", "blk"), keys).where("item_a <> item_b").select("item_a", "item_b", "shared", "n_a", "n_b")
     return out.unionByName(hot_rows).groupBy("item_a", "item_b").agg(
         F.max("shared").alias("shared"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")
     )
 
 
-def _meeting_masks(stats: DataFrame, bits: int) -> DataFrame:
-    """Mask pairs with a common bit and their overlap; at most 2^bits masks exist."""
-    numbers = F.array(*[F.lit(i) for i in range(bits)])
-    masks = stats.where("mask <> 0").select("mask").dropDuplicates()
-    by_bit = masks.select("mask", F.explode(F.filter(numbers, lambda i: F.getbit("mask", i) == 1)).alias("bit"))
-    return (
-        by_bit.withColumnRenamed("mask", "mask_a")
-        .join(by_bit.withColumnRenamed("mask", "mask_b"), "bit")
-        .select("mask_a", "mask_b")
-        .dropDuplicates()
-        .withColumn("shared", F.bit_count(F.col("mask_a").bitwiseAND(F.col("mask_b"))).cast("long"))
-    )
-
-
 def _first(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col("_r") <= k).drop("_r")
 
 
-def _hot_all(a: DataFrame, b: DataFrame, met: DataFrame, k: int, order: list[Column]) -> DataFrame:
-    """The ``k + 1`` best partners per (mask, overlap), attached to every item with that mask."""
-    best = _first(b, ["mask_b", "big"], order, k + 1)
-    ranked = _first(met.join(best, "mask_b"), ["mask_a", "shared", "big"], order, k + 1)
-    return a.join(ranked.drop("mask_b"), "mask_a").where("item_a <> item_b").select("item_a", "item_b", "shared", "n_a", "n_b")
-
-
-def _hot_upper(a: DataFrame, b: DataFrame, met: DataFrame, k: int, order: list[Column]) -> DataFrame:
-    """Best partners with a larger id. The ids above ``item_a`` fall into one aligned block per zero bit of
-    ``item_a``; the ``k`` best of every aligned block are ranked once and joined by block."""
-    top = b.agg(F.max("item_b")).first()[0] or 0
-    levels = F.sequence(F.lit(0), F.lit(int(top).bit_length()))
-    blocks = b.withColumn("lvl", F.explode(levels)).withColumn("blk", F.expr("shiftright(item_b, lvl)")).where("blk % 2 = 1")
-    best = _first(blocks, ["mask_b", "big", "lvl", "blk"], order, k)
-    ranked = _first(met.join(best, "mask_b"), ["mask_a", "shared", "big", "lvl", "blk"], order, k).drop("mask_b")
-    asks = a.where("mask_a <> 0").withColumn("lvl", F.explode(levels)).withColumn("blk", F.expr("shiftright(item_a, lvl)"))
-    asks = asks.where("blk % 2 = 0").withColumn("blk", F.col("blk") + 1)
-    return asks.join(ranked, ["mask_a", "lvl", "blk"]).select("item_a", "item_b", "shared", "n_a", "n_b")
+#: Classes and items of a block, bits compared in one round.
+BLOCK_CLASSES, BLOCK_ITEMS, ROUND_BITS = 1024, 2048, 4096
+
+
+def _set_rows(lists, lo: int, hi: int) -> np.ndarray:
+    """0/1 rows of the bits ``lo``..``hi`` of sparse sets."""
+    out = np.zeros((len(lists), hi - lo), dtype=np.float32)
+    sizes = [len(x) for x in lists]
+    rows, bits = np.repeat(np.arange(len(lists)), sizes), np.concatenate([np.asarray(x) for x in lists])
+    inside = (bits >= lo) & (bits < hi)
+    out[rows[inside], bits[inside] - lo] = 1
+    return out
+
+
+def overlaps(left, right, bits: int) -> np.ndarray:
+    """Common bits of every two sets of two blocks, summed over rounds of ``ROUND_BITS``."""
+    total = np.zeros((len(left), len(right)), dtype=np.float32)
+    for lo in range(0, bits, ROUND_BITS):
+        hi = min(bits, lo + ROUND_BITS)
+        total += _set_rows(left, lo, hi) @ _set_rows(right, lo, hi).T
+    return total.astype(np.int32)
+
+
+def skyband(shared: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
+    """Which columns, best first inside each group of columns that begins at ``starts``, have fewer than ``k`` columns before them in their group with as much or more in common."""
+    keep = np.zeros(shared.shape, dtype=bool)
+    group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, shared.shape[1])))
+    for value in np.unique(shared[shared > 0]):
+        ahead = np.cumsum(shared >= value, axis=1, dtype=np.int32)
+        before = np.where(starts > 0, ahead[:, starts - 1], 0)
+        keep |= (shared == value) & (ahead - before[:, group] <= k)
+    return keep
+
+
+def _hot_pairs(classes: DataFrame, items: DataFrame, bits: int, k: int, tie: str) -> DataFrame:
+    """(cls, item_b, n_b, big, lvl, blk, shared): for every class the items with common bits that may be among its ``k`` best of their (big, lvl, blk).
+
+    A block of classes stands in its task once, blocks of items stream by. An item leaves the task only if fewer than ``k`` items of
+    the block are at least as good in both overlap and order.
+    """
+    n = max(1, -(-classes.count() // BLOCK_CLASSES))
+    part = F.pmod(F.col("cls"), F.lit(n)).cast("int")
+    left = classes.groupBy(part.alias("part")).agg(F.collect_list(F.struct("cls", "bits")).alias("classes"))
+    m = max(1, -(-items.count() // BLOCK_ITEMS))
+    right = items.groupBy(F.pmod(F.xxhash64("lvl", "blk", "item_b"), F.lit(m)).alias("_m")).agg(F.collect_list(F.struct(*items.columns)).alias("items")).drop("_m")
+    right = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    both = left.unionByName(right, allowMissingColumns=True).withColumn("kind", F.col("items").isNotNull().cast("int"))
+    streamed = both.repartition(n, "part").sortWithinPartitions("part", "kind")
+
+    def run(batches):
+        classes = None
+        for pdf in batches:
+            for kind, rows, other in zip(pdf["kind"], pdf["classes"], pdf["items"]):
+                if kind == 0:
+                    classes = [r["bits"] for r in rows], np.array([r["cls"] for r in rows])
+                    continue
+                group = lambda r: (r["big"], r["lvl"], r["blk"])
+                other = sorted(other, key=lambda r: (*group(r), *((r["n_b"],) if tie == "size" else ()), r["item_b"]))
+                starts = np.array([i for i, r in enumerate(other) if not i or group(r) != group(other[i - 1])])
+                shared = overlaps(classes[0], [r["bits"] for r in other], bits)
+                i, j = np.nonzero(skyband(shared, starts, k))
+                if len(i):
+                    found = pd.DataFrame.from_records(other, columns=["item_b", "n_b", "big", "lvl", "blk"]).iloc[j]
+                    yield found.assign(cls=classes[1][i], shared=shared[i, j].astype(np.int64))
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema if f.name != "bits")
+    return streamed.select("kind", "classes", "items").mapInPandas(run, f"{kinds}, cls bigint, shared bigint")

@@ -164,7 +164,15 @@ def fn_dot(spark, d):
     return _pairs(spark, d).select("vec_id", F.round(fn.dot("embedding", "centre"), 5).alias("dot"))
 
 
-@query("fn_feature_hash")
+SQL_INDEX = "((({h})::HUGEINT * 4 + {label} - 1) % 262144 + 262144) % 262144"  # three classes take a stride of four
+
+
+@query(
+    "fn_feature_hash",
+    f"""WITH t AS (SELECT DISTINCT tag FROM fx_item_tags), h AS (SELECT tag, {hsh.murmur3_sql("tag", hsh.murmur3_sql("'i'", "0"))} AS h FROM t)
+        SELECT item_id, tag, CAST({SQL_INDEX.format(h="h", label=2)} AS BIGINT) AS named, CAST({SQL_INDEX.format(h="item_id", label=1)} AS BIGINT) AS numbered
+        FROM fx_item_tags JOIN h USING (tag)""",
+)
 def fn_feature_hash(spark, d):
     tags = fx.item_tags(spark, d)
     return tags.select(
