@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidewell.session import scratch_path
@@ -84,3 +85,75 @@ def test_minhash_snapshot_is_whole_in_any_number_of_batches(spark):
         found.append({tuple(r) for r in stats.read_snapshot(spark, f"{out}/similarity").select(F.unix_timestamp("end"), "item_a", "item_b", F.round("score", 9)).collect()})
     assert found[0] == found[1] == found[2] and {r[0] for r in found[0]} == {100, 200, 300, 400}
     assert found[3] == {r for r in found[0] if r[0] > 250}
+
+
+def test_sliding_minhash_in_any_number_of_batches(spark):
+    """Windows of 100 seconds every 50: the same snapshot from 1, 2 and 5 micro-batches, equal to the rolling form at every window's end."""
+    events = [(u, i, w * 50 + u * 4) for w in range(5) for u in range(12) for i in range(5) if (u * i + w) % 3]
+    df = spark.createDataFrame(events, "user_id long, item_id long, t long").withColumn("ts", F.timestamp_seconds("t"))
+    found = []
+    for parts in (1, 2, 5):
+        root, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+        for p in range(parts):
+            df.where(F.pmod(F.xxhash64("t"), F.lit(parts)) == p).drop("t").coalesce(1).write.mode("append").parquet(root)
+        stream = readers.read_stream(spark, "parquet", {"path": root, "maxFilesPerTrigger": "1"}, "user_id long, item_id long, ts timestamp")
+        sigs = mh.window_signatures(stream, "100 seconds", "50 seconds", 16, delay="1 day")
+        writer = sigs.writeStream.outputMode("update").option("checkpointLocation", scratch_path(spark, "progress"))
+        writer.foreachBatch(mh.minhash_sim(out, 16)).trigger(**stats.trigger(once=True)).start().awaitTermination()
+        found.append({tuple(r) for r in stats.read_snapshot(spark, f"{out}/similarity").select(F.unix_timestamp("end"), "item_a", "item_b", F.round("score", 9)).collect()})
+    assert found[0] == found[1] == found[2] and len({r[0] for r in found[0]}) >= 5
+    for end in (100, 200):
+        at = F.timestamp_seconds(F.lit(end))
+        want = mh.minhash_window(df, F.timestamp_seconds(F.lit(end - 100)), at, 16).collect()
+        assert {r[1:] for r in found[0] if r[0] == end} == {(r.item_a, r.item_b, round(r.score, 9)) for r in want}
+
+
+def test_forward_decay_in_any_number_of_batches(spark):
+    events = [("c", i, t) for i in range(3) for t in range(0, 4000, 37 * (i + 1))] + [("d", 1, 3999)]
+    df = spark.createDataFrame(events, "client string, item_id long, t long").withColumn("ts", F.timestamp_seconds("t"))
+    want = {(c, i): sum(math.exp((t - 4000) / 700) for c2, i2, t in events if (c2, i2) == (c, i)) for c, i, _ in events}
+    for parts in (1, 3):
+        root, out, progress = (scratch_path(spark, n) for n in ("in", "out", "progress"))
+        for p in range(parts):
+            df.where(F.pmod(F.xxhash64("t"), F.lit(parts)) == p).drop("t").coalesce(1).write.mode("append").parquet(root)
+        s = readers.read_stream(spark, "parquet", {"path": root, "maxFilesPerTrigger": "1"}, "client string, item_id long, ts timestamp")
+        writers.write_stats(popularity.forward_decay(s, 700.0, "1000 seconds", "1 day"), out, progress).awaitTermination()
+        got = popularity.decayed_at(writers.read_stats(spark, out, popularity.FORWARD_KEYS), F.timestamp_seconds(F.lit(4000)), 700.0)
+        assert {(r.client, r.item_id): round(r.score, 9) for r in got.collect()} == {k: round(v, 9) for k, v in want.items()}
+
+
+def test_forward_decay_drops_old_state(spark):
+    """Once the watermark has passed a stretch of time, its sums leave the state; the table keeps them."""
+    root, out, progress = (scratch_path(spark, n) for n in ("in", "out", "progress"))
+    for t in (0, 10_000, 20_000, 30_000):
+        spark.createDataFrame([("c", 1, t)], "client string, item_id long, t long").select("client", "item_id", F.timestamp_seconds("t").alias("ts")).coalesce(1).write.mode("append").parquet(root)
+    s = readers.read_stream(spark, "parquet", {"path": root, "maxFilesPerTrigger": "1"}, "client string, item_id long, ts timestamp")
+    q = writers.write_stats(popularity.forward_decay(s, 700.0, "1000 seconds", "1 second"), out, progress)
+    q.awaitTermination()
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2 and writers.read_stats(spark, out, popularity.FORWARD_KEYS).count() == 4
+
+
+def test_emissions_by_time_and_count(spark):
+    """Emissions of one run and of runs in pieces are those of plain Python over the ordered events."""
+    rng = np.random.default_rng(3)
+    events = sorted((int(t), str(c)) for t, c in zip(rng.integers(0, 5000, 400), rng.choice(["a", "b"], 400)))
+    want, count, slot = set(), {}, {}
+    for second in sorted({t for t, _ in events}):
+        for client in "ab":
+            n = sum(e == (second, client) for e in events)
+            if n:
+                before = count.get(client, 0)
+                if client in slot and second // 600 > slot[client]:
+                    want.add((client, "time", second // 600 * 600, before))
+                slot[client] = second // 600
+                want |= {(client, "count", second, m) for m in range(before + 1, before + n + 1) if m % 50 == 0}
+                count[client] = before + n
+    for cuts in ([0, 5000], [0, 700, 1800, 1900, 5000]):
+        root, out, progress = (scratch_path(spark, n) for n in ("in", "out", "progress"))
+        for lo, hi in zip(cuts, cuts[1:]):
+            part = spark.createDataFrame([(c, t) for t, c in events if lo <= t < hi], "client string, t long")
+            part.select("client", F.timestamp_seconds("t").alias("ts")).coalesce(1).write.mode("append").parquet(root)
+        s = readers.read_stream(spark, "parquet", {"path": root, "maxFilesPerTrigger": "1"}, "client string, ts timestamp")
+        writers.write_stats(stats.emissions(s, 600, 50), out, progress, "append").awaitTermination()
+        got = spark.read.parquet(f"{out}/*").select("client", "reason", F.unix_timestamp("at").alias("at"), "n").collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want

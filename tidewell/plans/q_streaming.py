@@ -17,15 +17,20 @@ from tidewell.streaming import minhash as mh, popularity, stats
 FILES = 4
 
 
-def event_stream(spark, d, view, parts: int = 1):
-    """A canonical view of the events as a file stream; ``parts`` > 1 delivers it in that many time-ordered micro-batches."""
+def event_stream(spark, d, view, parts: int = 1, ordered: bool = False):
+    """A canonical view of the events as a file stream; ``parts`` > 1 delivers it in that many micro-batches.
+
+    They hold days by remainder, so later ones also hold earlier times, or with ``ordered`` one stretch of time after the other.
+    """
     root = scratch_path(spark, "stream")
     rows = view(spark, d)
     if parts == 1:
         rows.write.parquet(root)
     else:
+        first, last = rows.select(F.min(F.unix_date("ts")), F.max(F.unix_date("ts"))).first() if ordered else (0, 0)
+        place = F.floor((F.unix_date("ts") - first) * parts / (last - first + 1)) if ordered else F.dayofmonth("ts") % parts
         for i in range(parts):
-            rows.where(F.dayofmonth("ts") % parts == i).repartition(FILES).write.mode("append").parquet(root)
+            rows.where(place == i).repartition(FILES).write.mode("append").parquet(root)
     opts = {"path": root} if parts == 1 else {"path": root, **stats.files_per_trigger(FILES)}
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
     return readers.read_stream(spark, "parquet", opts, schema)
@@ -142,6 +147,18 @@ def st_popular_decay(spark, d):
     return out.select("client", "item_id", F.round("score", 6).alias("score"))
 
 
+@query(
+    "st_popular_forward",
+    f"""SELECT client, item_id, round(sum(exp((epoch_us(ts) - epoch_us(newest)) / 1e6 / {TAU})), 6) AS score
+        FROM (SELECT client, item_id, ts, max(ts) OVER (PARTITION BY client, item_id) AS newest FROM fx_actions) GROUP BY client, item_id""",
+)
+def st_popular_forward(spark, d):
+    """Decay by event, the same in any number and order of micro-batches."""
+    s = popularity.forward_decay(event_stream(spark, d, lambda sp, x: fx.actions(sp, x).select("client", "item_id", "ts"), 3), delay="60 days")
+    out = popularity.decayed_at(finished(spark, s, popularity.FORWARD_KEYS))
+    return out.select("client", "item_id", F.round("score", 6).alias("score"))
+
+
 H = 24
 HASHES = hash_family(H)
 SQL_SIGS = ", ".join(f"min(CAST((CAST({a} AS HUGEINT) * user_id + {b}) % 4294967311 AS BIGINT)) AS h{i}" for i, (a, b) in enumerate(HASHES))
@@ -191,6 +208,22 @@ def st_emit_policy(spark, d):
     return finished(spark, s.groupBy("client").agg(F.count("*").alias("n")), ["client"])
 
 
+@query(
+    "st_emit_policy_data",
+    """WITH s AS (SELECT client, CAST(floor(epoch(ts)) AS BIGINT) AS sec, count(*) AS c FROM fx_actions GROUP BY 1, 2),
+            r AS (SELECT client, sec, c, sec // 259200 AS slot, CAST(sum(c) OVER (PARTITION BY client ORDER BY sec) AS BIGINT) AS total FROM s),
+            l AS (SELECT *, lag(slot) OVER (PARTITION BY client ORDER BY sec) AS before FROM r)
+       SELECT client, 'time' AS reason, slot * 259200 AS at, total - c AS n FROM l WHERE slot > before
+       UNION ALL SELECT client, 'count' AS reason, sec AS at, unnest(range((total - c) // 500 + 1, total // 500 + 1)) * 500 AS n FROM r""",
+)
+def st_emit_policy_data(spark, d):
+    """The emissions themselves: every three days of event time, and every 500 events of a client."""
+    s = stats.emissions(event_stream(spark, d, lambda sp, x: fx.actions(sp, x).select("client", "ts"), 4, ordered=True), 259_200, 500)
+    out = scratch_path(spark, "emissions")
+    writers.write_stats(s, out, scratch_path(spark, "progress"), "append").awaitTermination()
+    return spark.read.parquet(f"{out}/*").select("client", "reason", F.unix_timestamp("at").alias("at"), "n")
+
+
 @query("st_snapshot_frame", "SELECT item_id, count(*) AS n FROM fx_actions GROUP BY item_id")
 def st_snapshot_frame(spark, d):
     """Every micro-batch writes the whole running result as one snapshot."""

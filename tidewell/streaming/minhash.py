@@ -64,20 +64,21 @@ def latest_signatures(stored: DataFrame) -> DataFrame:
 def minhash_sim(path: str, hashes: int, min_activity: int = 1, keep: int | None = None):
     """``foreachBatch`` function for ``window_signatures``: store the updated signatures, then write a whole snapshot.
 
-    Only the windows the batch touched are worked out again, from their own folders; the other windows come from the last
-    snapshot. With ``keep``, windows that end ``keep`` seconds or more before the newest one leave the snapshot.
+    Every window has a folder of its own, and only those of the windows the batch touched are listed and read; the other
+    windows come from the last snapshot. With ``keep``, windows that end ``keep`` seconds or more before the newest one leave the snapshot.
     """
     root = path.rstrip("/")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        end = F.unix_micros("end").alias("window")
-        batch.select("*", end).write.mode("overwrite").partitionBy("window").parquet(f"{root}/signatures/batch={batch_id}")
-        if batch.isEmpty():
+        end = F.unix_micros("end")
+        touched = [r.w for r in batch.select(end.alias("w")).distinct().collect()]  # the batch's windows
+        if not touched:
             return  # a batch that only moves the watermark
-        touched = [r.window for r in batch.select(end).distinct().collect()]  # the batch's windows
-        stored = spark.read.option("basePath", f"{root}/signatures").parquet(f"{root}/signatures/batch=*")
-        stored = stored.where((F.col("batch") <= batch_id) & F.col("window").isin(touched)).drop("window")
+        rows = batch.withColumns({"window": end, "batch": F.lit(batch_id)})
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("window", "batch").parquet(f"{root}/signatures")
+        folders = [f"{root}/signatures/window={w}" for w in touched]
+        stored = spark.read.option("basePath", f"{root}/signatures").parquet(*folders).where(F.col("batch") <= batch_id).drop("window")
         whole = similarity(latest_signatures(stored), hashes, min_activity, ["end"])
         last = last_snapshot(spark, f"{root}/similarity", batch_id)
         if last is not None:

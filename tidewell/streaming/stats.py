@@ -6,8 +6,13 @@ map tasks before they reach the state, so a hot client or tag costs one row per
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewell.functions.scalars import best_class, default_tag, default_variation, path_template
 
@@ -75,6 +80,46 @@ def files_per_trigger(n: int) -> dict[str, str]:
     return {"maxFilesPerTrigger": str(n)}
 
 
+EMITTED = "client string, reason string, at timestamp, n long"
+
+
+def _per_second(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Events per (client, second) inside a batch of rows, before anything is shuffled."""
+    for pdf in batches:
+        if len(pdf):
+            yield pdf.groupby(["client", "second"], as_index=False, dropna=False).agg(n=("second", "size"))
+
+
+def emissions(stream: DataFrame, window_secs: int, every: int) -> DataFrame:
+    """Emission by data: (client, reason, at, n so far), a row for each time a result is due.
+
+    ``time``: the first event in a later slot of ``window_secs`` of event time; ``at`` is the start of that slot and ``n`` counts all events
+    before. ``count``: the running number reaches a multiple of ``every``; ``at`` is the second in which it does. Micro-batches don't
+    matter as long as events come in order; an event behind the newest second counts at that second. The state is two numbers per
+    client, and a client reaches it as one row per second and task, however many events it has.
+    """
+    counted = stream.select("client", F.unix_timestamp("ts").alias("second")).mapInPandas(_per_second, "client string, second long, n long")
+
+    def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        before, newest = state.get if state.exists else (0, None)
+        rows = pd.concat(parts)
+        seconds = rows["second"].clip(lower=newest) if newest is not None else rows["second"]
+        sums = rows["n"].groupby(seconds).sum().sort_index()
+        second, total = sums.index.to_numpy(dtype=np.int64), before + sums.to_numpy(dtype=np.int64).cumsum()
+        earlier = np.append(before, total[:-1])
+        slot = second // window_secs
+        last = np.append(slot[0] if newest is None else newest // window_secs, slot[:-1])
+        due = slot > last
+        crossed = total // every - earlier // every
+        multiple = np.concatenate([np.arange(a // every + 1, b // every + 1) for a, b in zip(earlier, total)]) * every
+        state.update((int(total[-1]), int(second[-1])))
+        found = pd.DataFrame({"reason": "time", "at": slot[due] * window_secs, "n": earlier[due]})
+        found = pd.concat([found, pd.DataFrame({"reason": "count", "at": np.repeat(second, crossed), "n": multiple})])
+        yield found.assign(client=key[0], at=pd.to_datetime(found["at"].astype("int64"), unit="s"))[["client", "reason", "at", "n"]]
+
+    return counted.groupBy("client").applyInPandasWithState(update, EMITTED, "n long, newest long", "append", GroupStateTimeout.NoTimeout)
+
+
 def emit_snapshot(path: str, result):
     """``foreachBatch`` function writing ``result(batch)`` as one whole snapshot.
 
