@@ -1,5 +1,6 @@
 """Behaviour on small literal frames."""
 
+import itertools
 import math
 
 import numpy as np
@@ -141,11 +142,40 @@ def test_ab_shares(spark):
     assert abs({r.variation: r["count"] for r in m}["b"] / 40000 - 0.75) < 0.015
 
 
+def plain_session_scores(rows, k):
+    """By lists: the rows of one depth and attribute are one list."""
+    given, before = {}, (None, None)
+    for (depth, _), part in itertools.groupby(rows, lambda r: r[:2]):
+        part = list(part)
+        new = depth != before[0]
+        out = not new and (before[1]["out"] or len(given) >= k)
+        ceiling = 1.0 if new else before[1]["low"]
+        low = 1.0
+        for place, (_, _, item, count) in enumerate(part):
+            if out or (place and len(given) >= k):
+                break
+            low = count / part[0][3] * ceiling
+            given[item] = given.get(item, 0.0) + low
+        before = depth, {"out": out, "low": low}
+    return given
+
+
 def test_session_popularity(spark):
-    assert scoring.session_scores([(1, 0, 22, 10.0), (1, 0, 21, 9.0), (1, 0, 20, 8.0)], 2) == {22: 1.0, 21: 0.9}
+    def scores(rows, k):
+        df = spark.createDataFrame([([(d, a, i, item, n) for i, (d, a, item, n) in enumerate(rows)],)], "r array<struct<rank:int,a:int,pos:int,item_id:bigint,count:double>>")
+        out = {}
+        for g in df.select(scoring.session_scores(F.col("r"), k).alias("g")).first().g:
+            out[g.item_id] = out.get(g.item_id, 0.0) + g.score
+        return {i: round(v, 9) for i, v in out.items()}
+
+    assert scores([(1, 0, 22, 10.0), (1, 0, 21, 9.0), (1, 0, 20, 8.0)], 2) == {22: 1.0, 21: 0.9}
     # second attribute starts below the last score of the first; the next depth starts afresh
-    got = scoring.session_scores([(1, 0, 1, 10.0), (1, 0, 2, 5.0), (1, 1, 3, 4.0), (1, 1, 1, 2.0), (2, 0, 4, 8.0)], 10)
+    got = scores([(1, 0, 1, 10.0), (1, 0, 2, 5.0), (1, 1, 3, 4.0), (1, 1, 1, 2.0), (2, 0, 4, 8.0)], 10)
     assert got == {1: 1.25, 2: 0.5, 3: 0.5, 4: 1.0}
+    rng = np.random.default_rng(4)
+    for k in (1, 3, 5, 8):
+        rows = [(int(d), int(a), int(rng.integers(0, 12)), float(n)) for d in range(1, 4) for a in range(rng.integers(1, 4)) for n in sorted(rng.integers(1, 50, rng.integers(1, 7)))[::-1]]
+        assert scores(rows, k) == {i: round(v, 9) for i, v in plain_session_scores(rows, k).items()}
     recent = spark.createDataFrame([(1, 1, 1)], "user_id long, item_id long, rank int")
     attrs = spark.createDataFrame([(i, "attr1", 1) for i in (1, 20, 21, 22)], "item_id long, attr string, dim int")
     lists = spark.createDataFrame([(1, 22, 10.0), (1, 21, 9.0), (1, 20, 8.0)], "dim int, item_id long, count double")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewell.functions.scalars import divided
 from tidewell.operators.filters import items_with_dims
@@ -308,28 +308,44 @@ def reorder_by_popularity(lists: DataFrame, popularity: DataFrame) -> DataFrame:
     return scored.withColumn("rank", rank).select(*KEYS, "score", "rank")
 
 
-def session_scores(rows: list[tuple[int, int, int, float]], k: int) -> dict[int, float]:
-    """Scores of one user from ``(depth, attribute, item, count)`` rows in order.
+def session_scores(rows: Column, k: int) -> Column:
+    """Scores given to one user's candidates: an array of (item_id, score), an item once for each time it is scored.
 
-    Inside a depth each attribute's list starts below the last score given by the attribute before it. A list
-    stops when ``k`` items are scored, the remaining depths still add their first row.
+    ``rows``: array of (rank, a, pos, item_id, count) in order. Each attribute ``a`` of a depth (``rank``) has a scale: its first count
+    stands for the ceiling, which is 1 at the start of a depth and then the last score given before. A list ends when ``k`` different items are
+    scored, and later attributes of a full depth are left out; a new depth adds its first row all the same. One fold over the array, in the JVM.
     """
-    scores: dict[int, float] = {}
-    depth, attr, ceiling, low, top, closed, skip = None, None, 1.0, 1.0, 0.0, False, False
-    for d, a, item, count in rows:
-        if d != depth:
-            depth, attr, ceiling, low, top, closed, skip = d, a, 1.0, 1.0, 0.0, False, False
-        elif a != attr:
-            skip = skip or len(scores) >= k
-            attr, ceiling, low, top, closed = a, low, 1.0, 0.0, False
-        if skip or closed:
-            continue
-        top = top or count
-        value = count / top * ceiling
-        scores[item] = scores.get(item, 0.0) + value
-        low = value
-        closed = len(scores) >= k
-    return scores
+    item = "array<bigint>"
+    start = F.struct(
+        F.lit(None).cast("int").alias("rank"), F.lit(None).cast("int").alias("a"), F.lit(1.0).alias("ceiling"), F.lit(1.0).alias("low"), F.lit(0.0).alias("top"),
+        F.lit(False).alias("full"), F.lit(False).alias("left_out"), F.array().cast(item).alias("items"),
+        F.array().cast("array<struct<item_id:bigint,score:double>>").alias("given"),
+    )
+
+    def step(acc: Column, x: Column) -> Column:
+        deeper = ~acc["rank"].eqNullSafe(x["rank"])
+        other = deeper | (acc["a"] != x["a"])
+        left_out = ~deeper & (acc["left_out"] | (other & (F.size(acc["items"]) >= k)))
+        scale = F.struct(
+            left_out.alias("left_out"),
+            F.when(deeper, 1.0).when(other, acc["low"]).otherwise(acc["ceiling"]).alias("ceiling"),
+            F.when(other, 1.0).otherwise(acc["low"]).alias("low"),
+            F.when(other | (acc["top"] == 0), F.when(left_out, 0.0).otherwise(x["count"])).otherwise(acc["top"]).alias("top"),
+            (~other & acc["full"]).alias("full"),
+        )
+        return F.transform(F.array(scale), lambda s: scored(acc, x, s))[0]
+
+    def scored(acc: Column, x: Column, s: Column) -> Column:
+        out = s["left_out"] | s["full"]
+        value = F.when(s["top"] == 0, 0.0).otherwise(x["count"] / s["top"] * s["ceiling"])
+        items = F.when(out, acc["items"]).otherwise(F.array_union(acc["items"], F.array(x["item_id"])))
+        return F.struct(
+            x["rank"].cast("int").alias("rank"), x["a"].cast("int").alias("a"), s["ceiling"].alias("ceiling"), F.when(out, s["low"]).otherwise(value).alias("low"),
+            s["top"].alias("top"), F.when(out, s["full"]).otherwise(F.size(items) >= k).alias("full"), s["left_out"].alias("left_out"), items.alias("items"),
+            F.when(out, acc["given"]).otherwise(F.array_append(acc["given"], F.struct(x["item_id"].alias("item_id"), value.alias("score")))).alias("given"),
+        )
+
+    return F.aggregate(rows, start, step, lambda acc: acc["given"])
 
 
 def rec_popular_session(
@@ -347,18 +363,10 @@ def rec_popular_session(
     lists = topk_by(dim_lists, "dim", list_size, score="count", rank="pos").select("dim", F.col("item_id").alias("cand"), "count", "pos")
     rows = recent.where(F.col("rank") <= depth).join(chosen, "item_id").join(lists, "dim").select("user_id", "rank", "a", "pos", F.col("cand").alias("item_id"), "count")
     rows = _without(rows, seen)
-    packed = rows.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("rank", "a", "pos", "item_id", F.col("count").cast("double").alias("count")))).alias("r"))
-
-    def score(batches):
-        for pdf in batches:
-            out = []
-            for u, r in zip(pdf["user_id"], pdf["r"]):
-                found = session_scores([(x["rank"], x["a"], x["item_id"], x["count"]) for x in r], k)
-                out += [(u, i, s) for i, s in found.items()]
-            yield pd.DataFrame(out, columns=["user_id", "item_id", "score"])
-
-    scored = packed.mapInPandas(score, "user_id long, item_id long, score double")
-    return rescale_topk(scored, ["user_id"], k)
+    one = F.struct("rank", "a", "pos", F.col("item_id").cast("long").alias("item_id"), F.col("count").cast("double").alias("count"))
+    packed = rows.groupBy("user_id").agg(F.array_sort(F.collect_list(one)).alias("r"))
+    given = packed.select("user_id", F.explode(session_scores(F.col("r"), k)).alias("g")).select("user_id", "g.*")
+    return rescale_topk(given.groupBy("user_id", "item_id").agg(F.sum("score").alias("score")), ["user_id"], k)
 
 
 def rec_recent(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | None = None) -> DataFrame:

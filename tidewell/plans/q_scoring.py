@@ -370,7 +370,25 @@ def reorder_by_popularity(spark, d):
     return sc.reorder_by_popularity(given_lists(spark, d), popularity(spark, d))
 
 
-@query("rec_popular_session")
+SQL_SESSION_ROWS = f"""recent AS (SELECT * FROM (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rank FROM fx_actions) WHERE rank <= 3),
+    chosen AS (SELECT item_id, CASE dim_group WHEN 'type' THEN 0 ELSE 1 END AS a, dim FROM fx_item_dims WHERE dim_group IN ('type', 'brand')),
+    lists AS (SELECT * FROM (SELECT dim, item_id, score AS cnt, row_number() OVER (PARTITION BY dim ORDER BY score DESC, item_id) AS pos FROM pop JOIN fx_item_dims USING (item_id)) WHERE pos <= 20),
+    x AS (SELECT user_id, rank, a, pos, lists.item_id, cnt FROM recent JOIN chosen ON chosen.item_id = recent.item_id JOIN lists USING (dim)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rank, a, pos, item_id) AS i FROM x WHERE {UNSEEN}),
+    walk(user_id, i, rank, a, ceil0, low0, top0, full0, out0, ids0, item_id, value) AS (
+      SELECT user_id, i, rank, a, 1.0::DOUBLE, 1.0::DOUBLE, cnt, 1 >= {K}, FALSE, [item_id], item_id, 1.0::DOUBLE FROM r WHERE i = 1
+      UNION ALL SELECT user_id, i, rank, a, ceil1, low2, top2, full2, out1, ids1, item_id, value1 FROM (
+        SELECT r.user_id, r.i, r.rank, r.a, r.item_id, r.rank <> w.rank AS deeper, NOT deeper AND r.a <> w.a AS other, NOT deeper AND (out0 OR (other AND len(ids0) >= {K})) AS out1,
+          CASE WHEN deeper THEN 1.0::DOUBLE WHEN other THEN low0 ELSE ceil0 END AS ceil1, CASE WHEN deeper OR other THEN 1.0::DOUBLE ELSE low0 END AS low1,
+          CASE WHEN deeper OR other THEN 0.0::DOUBLE ELSE top0 END AS top1, NOT (deeper OR other) AND full0 AS full1, out1 OR full1 AS halt,
+          CASE WHEN halt OR top1 > 0 THEN top1 ELSE r.cnt END AS top2, CASE WHEN NOT halt THEN r.cnt / top2 * ceil1 END AS value1,
+          CASE WHEN halt OR list_contains(ids0, r.item_id) THEN ids0 ELSE list_append(ids0, r.item_id) END AS ids1,
+          CASE WHEN halt THEN low1 ELSE value1 END AS low2, CASE WHEN halt THEN full1 ELSE len(ids1) >= {K} END AS full2
+        FROM walk w JOIN r ON r.user_id = w.user_id AND r.i = w.i + 1)),
+    y AS (SELECT user_id, item_id, sum(value) AS score FROM walk WHERE value IS NOT NULL GROUP BY 1, 2)"""
+
+
+@query("rec_popular_session", f"WITH RECURSIVE {SQL_SEEN}, {SQL_POP}, {SQL_SESSION_ROWS} {sql_top('y')}")
 def rec_popular_session(spark, d):
     recent = ses.recent_actions(fx.actions(spark, d), 3)
     attrs = fx.item_dims(spark, d).select("item_id", F.col("dim_group").alias("attr"), "dim")

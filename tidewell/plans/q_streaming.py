@@ -27,8 +27,8 @@ def event_stream(spark, d, view, parts: int = 1, ordered: bool = False):
     if parts == 1:
         rows.write.parquet(root)
     else:
-        first, last = rows.select(F.min(F.unix_date("ts")), F.max(F.unix_date("ts"))).first() if ordered else (0, 0)
-        place = F.floor((F.unix_date("ts") - first) * parts / (last - first + 1)) if ordered else F.dayofmonth("ts") % parts
+        first, last = rows.select(F.min(F.unix_date(F.to_date("ts"))), F.max(F.unix_date(F.to_date("ts")))).first() if ordered else (0, 0)
+        place = F.floor((F.unix_date(F.to_date("ts")) - first) * parts / (last - first + 1)) if ordered else F.dayofmonth("ts") % parts
         for i in range(parts):
             rows.where(place == i).repartition(FILES).write.mode("append").parquet(root)
     opts = {"path": root} if parts == 1 else {"path": root, **stats.files_per_trigger(FILES)}
