@@ -273,3 +273,40 @@ def test_user_similarity_with_hot_item(spark):
     for (a, b), s in whole.items():
         common = sorted(set(by[a]) & set(by[b]))
         assert math.isclose(s, np.corrcoef([by[a][c] for c in common], [by[b][c] for c in common])[0, 1], abs_tol=1e-8)
+
+
+def _plain_user_based(rows, k, threshold=0.1):
+    by = {}
+    for u, i, r in rows:
+        by.setdefault(u, {})[i] = r
+    out = {}
+    for a, mine in by.items():
+        num, den = {}, {}
+        for b, theirs in by.items():
+            common = sorted(set(mine) & set(theirs))
+            x, y = [mine[c] for c in common], [theirs[c] for c in common]
+            if a == b or len(common) < 2 or len(set(x)) < 2 or len(set(y)) < 2:
+                continue
+            sim = np.corrcoef(x, y)[0, 1]
+            if sim > threshold:
+                for i, r in theirs.items():
+                    if i not in mine:
+                        num[i], den[i] = num.get(i, 0) + sim * r, den.get(i, 0) + sim
+        for i in sorted(num, key=lambda i: (-round(num[i] / den[i], 9), i))[:k]:
+            out[a, i] = round(num[i] / den[i], 7)
+    return out
+
+
+def test_user_based_with_five_items_rated_by_everybody(spark, monkeypatch):
+    """Only items below the limit are expanded into pairs of users; the result is that of plain Python."""
+    rng = np.random.default_rng(14)
+    rows = [(u, 100 + h, float(rng.integers(1, 5))) for u in range(60) for h in range(5) if h < 4 or u % 7]
+    rows += [(u, int(i), float(rng.integers(1, 6))) for u in range(60) for i in rng.choice(40, int(rng.integers(0, 5)), replace=False)]
+    rows += [(u, int(i), float(rng.integers(1, 6))) for u in range(60, 66) for i in rng.choice(40, 4, replace=False)]  # none of the five
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    listed, real = [], scoring._common_sums
+    monkeypatch.setattr(scoring, "_common_sums", lambda light, salt: listed.append(light) or real(light, salt))
+    monkeypatch.setattr(scoring, "BLOCK_CLASSES", 16)
+    got = {(r.user_id, r.item_id): round(r.score, 7) for r in scoring.rec_user_based(df, 4, hot_size=20).collect()}
+    assert got == _plain_user_based(rows, 4) and len(got) > 200
+    assert len(listed) == 1 and listed[0].where("item_id >= 100").count() == 0

@@ -18,8 +18,10 @@ from tidewell.operators.filters import items_with_dims
 from tidewell.operators.nearest import gram, nearest, times
 from tidewell.operators.sets import symmetric
 from tidewell.operators.sessions import recent_actions
+from tidewell.operators.skew import dense_ids
 from tidewell.operators.topk import global_rank, rescale_topk, select_topk_linear, topk_by
 from tidewell.operators.vectors import nearest_unseen
+from tidewell.session import written
 
 KEYS = ["user_id", "item_id"]
 RECOMMENDERS: dict[str, Callable[..., DataFrame]] = {}
@@ -145,19 +147,8 @@ def user_similarity(ratings: DataFrame, threshold: float = 0.1, hot_size: int =
     """
     top = ratings.groupBy("item_id").agg(F.count("*").alias("n")).where(F.col("n") > hot_size).orderBy(F.desc("n"), "item_id").limit(1).collect()
     light = ratings.where(F.col("item_id") != F.lit(top[0].item_id)) if top else ratings
-    sizes = light.groupBy("item_id").agg(F.ceil(F.count("*") / salt_size).cast("int").alias("_s"))
-    sized = light.join(sizes, "item_id")
-    a = sized.select("item_id", F.col("user_id").alias("user_a"), F.col("rating").alias("x"), F.pmod(F.xxhash64("user_id"), "_s").cast("int").alias("salt"))
-    b = sized.select("item_id", F.col("user_id").alias("user_b"), F.col("rating").alias("y"), F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("salt"))
+    sums = _common_sums(light, salt_size)
     x, y = F.col("x"), F.col("y")
-    sums = (
-        a.join(b, ["item_id", "salt"])
-        .where("user_a < user_b")
-        .groupBy("user_a", "user_b")
-        .agg(
-            F.count("*").alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum(x * y).alias("sxy")
-        )
-    )
     if top:
         hot = ratings.where(F.col("item_id") == F.lit(top[0].item_id))
         sums = sums.join(hot.select(F.col("user_id").alias("user_a"), F.col("rating").alias("x")), "user_a", "left")
@@ -165,23 +156,136 @@ def user_similarity(ratings: DataFrame, threshold: float = 0.1, hot_size: int =
         both = x.isNotNull() & y.isNotNull()
         more = {"n": F.lit(1), "sx": x, "sy": y, "sxx": x * x, "syy": y * y, "sxy": x * y}
         sums = sums.withColumns({c: F.col(c) + F.when(both, v).otherwise(0) for c, v in more.items()})
-    va = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
-    vb = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
-    r = (F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / F.sqrt(va * vb)
-    sim = sums.where((va > 0) & (vb > 0)).select("user_a", "user_b", r.alias("sim")).where(F.col("sim") > threshold)
+    sim = sums.select("user_a", "user_b", _pearson().alias("sim")).where(F.col("sim") > threshold)
     ends = F.array(F.struct("user_a", "user_b"), F.struct(F.col("user_b").alias("user_a"), F.col("user_a").alias("user_b")))
     return sim.select(F.explode(ends).alias("e"), "sim").select("e.*", "sim")
 
 
+def _correlations(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Pearson correlation of every two rows over the columns both have (missing is nan); nan where there is none."""
+    ml, mr = ~np.isnan(left), ~np.isnan(right)
+    x, y, ml, mr = np.where(ml, left, 0), np.where(mr, right, 0), ml.astype(float), mr.astype(float)
+    n, sx, sy, sxx, syy, sxy = ml @ mr.T, x @ mr.T, ml @ y.T, (x * x) @ mr.T, ml @ (y * y).T, x @ y.T
+    va, vb = n * sxx - sx * sx, n * syy - sy * sy
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where((va > 0) & (vb > 0), (n * sxy - sx * sy) / np.sqrt(va * vb), np.nan)
+
+
+#: Classes of a block.
+BLOCK_CLASSES = 512
+
+
+def _class_similarity(classes: DataFrame, bits: int, threshold: float) -> DataFrame:
+    """(cls, other, sim) of classes (``cls, sig``: array of bit and rating) above ``threshold``; blocks of classes meet in matrix products."""
+    n = max(1, -(-classes.count() // BLOCK_CLASSES))
+    blocks = classes.groupBy(F.pmod("cls", F.lit(n)).alias("part")).agg(F.collect_list(F.struct("cls", "sig")).alias("rows"))
+    asked = blocks.select("rows", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("part"))
+    met = asked.join(blocks.withColumnRenamed("rows", "others"), "part")
+
+    def ratings(rows) -> np.ndarray:
+        out = np.full((len(rows), bits), np.nan)
+        for i, r in enumerate(rows):
+            for x in r["sig"]:
+                out[i, x["bit"]] = x["rating"]
+        return out
+
+    def run(batches):
+        for pdf in batches:
+            for rows, others in zip(pdf["rows"], pdf["others"]):
+                sim = _correlations(ratings(rows), ratings(others))
+                i, j = np.nonzero(sim > threshold)
+                a, b = (np.array([r["cls"] for r in x]) for x in (rows, others))
+                yield pd.DataFrame({"cls": a[i], "other": b[j], "sim": sim[i, j]})
+
+    return met.select("rows", "others").mapInPandas(run, "cls bigint, other bigint, sim double")
+
+
 def rec_user_based(ratings: DataFrame, k: int, threshold: float = 0.1, hot_size: int = 5000) -> DataFrame:
-    """Mean of the neighbours' ratings weighted by similarity, for items the user has not rated."""
-    near = user_similarity(ratings, threshold, hot_size)
-    other = ratings.select(F.col("user_id").alias("user_b"), "item_id", "rating")
-    est = near.join(other, "user_b").groupBy(F.col("user_a").alias("user_id"), "item_id").agg((F.sum(F.col("sim") * F.col("rating")) / F.sum("sim")).alias("score"))
-    best = _without(est, ratings).withColumn("_s", F.round("score", 9))
+    """Mean of the neighbours' ratings weighted by similarity, for items the user has not rated.
+
+    Items with more than ``hot_size`` raters never make pairs of users. Users with the same ratings of these hot items form a class; what
+    a class's neighbours say comes from sums per class and item, and pairs of users who also meet at another item are corrected by
+    the difference to their true similarity. Exact. The work of the hot part grows with the square of the number of classes, that is of
+    different ratings of the hot items, and not with the number of users; with graded ratings and few hot items it is bounded
+    by the grades to the power of the hot items.
+    """
+    hot = ratings.groupBy("item_id").agg(F.count("*").alias("n")).where(F.col("n") > hot_size).select("item_id")
+    hot = written(dense_ids(hot, "item_id", "bit").select("item_id", (F.col("bit") - 1).cast("int").alias("bit")), "hot-items")
+    bits = hot.count()
+    if not bits:
+        near = user_similarity(ratings, threshold, hot_size)
+        other = ratings.select(F.col("user_id").alias("user_b"), "item_id", "rating")
+        est = near.join(other, "user_b").groupBy(F.col("user_a").alias("user_id"), "item_id").agg((F.sum(F.col("sim") * F.col("rating")) / F.sum("sim")).alias("score"))
+        best = _without(est, ratings).withColumn("_s", F.round("score", 9))
+        return topk_by(best, "user_id", k, score="_s").drop("_s")
+    rated = ratings.select("user_id", "item_id", F.col("rating").cast("double").alias("rating"))
+    one = F.struct("bit", "rating")
+    signed = rated.join(hot, "item_id").groupBy("user_id").agg(F.array_sort(F.collect_list(one)).alias("sig"))
+    classes = written(dense_ids(signed.select("sig").dropDuplicates(), "sig", "cls"), "classes").select("cls", "sig")
+    users = written(signed.join(classes, "sig").select("user_id", "cls", "sig"), "user-classes")
+    class_sim = written(_class_similarity(classes, bits, threshold), "class-sim")
+    said = rated.join(users.select("user_id", "cls"), "user_id").groupBy(F.col("cls").alias("other"), "item_id").agg(F.sum("rating").alias("r"), F.count("*").alias("c"))
+    sums = (F.sum(F.col("sim") * F.col("r")).alias("num"), F.sum(F.col("sim") * F.col("c")).alias("den"), F.sum("c").alias("voices"))
+    by_class = written(class_sim.join(said, "other").groupBy("cls", "item_id").agg(*sums), "class-votes")
+
+    # pairs that meet at other items: their true similarity in place of that of their classes
+    pairs = written(_pair_similarity(rated.join(hot, "item_id", "left_anti"), users), "user-pairs")
+    known = class_sim.select(F.col("cls").alias("cls_a"), F.col("other").alias("cls_b"), F.col("sim").alias("was"))
+    changed = pairs.join(known, ["cls_a", "cls_b"], "left")
+    weight = F.when(F.col("sim") > threshold, F.col("sim")).otherwise(0.0)
+    more = F.when(F.col("sim") > threshold, 1).otherwise(0) - F.when(F.col("was").isNotNull(), 1).otherwise(0)
+    changed = changed.select("user_a", "user_b", (weight - F.coalesce("was", F.lit(0.0))).alias("d"), more.alias("v")).where("d <> 0")
+    ends = F.array(F.struct("user_a", "user_b"), F.struct(F.col("user_b").alias("user_a"), F.col("user_a").alias("user_b")))
+    changed = changed.select(F.explode(ends).alias("e"), "d", "v").select(F.col("e.user_a").alias("user_id"), F.col("e.user_b").alias("_from"), "d", "v")
+    votes = changed.join(rated.withColumnRenamed("user_id", "_from"), "_from").groupBy(*KEYS)
+    votes = votes.agg(F.sum(F.col("d") * F.col("rating")).alias("dnum"), F.sum("d").alias("dden"), F.sum("v").alias("dvoices"))
+    votes = written(_without(votes, rated), "corrections")
+    own = users.select("user_id", "cls")
+    fixed = votes.join(own, "user_id", "left").join(by_class, ["cls", "item_id"], "left")
+    total = {c: F.coalesce(c, F.lit(0)) + F.col(f"d{c}") for c in ("num", "den", "voices")}
+    fixed = fixed.where(total["voices"] > 0).select(*KEYS, (total["num"] / total["den"]).alias("score"))
+    lists = by_class.select("cls", "item_id", (F.col("num") / F.col("den")).alias("score"))
+    rank = F.row_number().over(W.partitionBy("cls").orderBy(F.desc(F.round("score", 9)), "item_id"))
+    shared = spread(own, lists.withColumn("rank", rank), k, rated.select(*KEYS).unionByName(votes.select(*KEYS)), ["cls"])
+    best = shared.select(*KEYS, "score").unionByName(fixed).withColumn("_s", F.round("score", 9))
     return topk_by(best, "user_id", k, score="_s").drop("_s")
 
 
+def _pair_similarity(light: DataFrame, users: DataFrame, salt_size: int = 256) -> DataFrame:
+    """(user_a < user_b, cls_a, cls_b, sim) of users who meet at an item of ``light``: correlation over all common items, those of their signatures included."""
+    ends = [users.select(F.col("user_id").alias(f"user_{e}"), F.col("cls").alias(f"cls_{e}"), F.col("sig").alias(f"sig_{e}")) for e in "ab"]
+    sums = _common_sums(light, salt_size).join(ends[0], "user_a", "left").join(ends[1], "user_b", "left")
+    # the ratings of the hot items both have
+    mine, theirs = (F.map_from_entries(F.coalesce(f"sig_{e}", F.array().cast("array<struct<bit:int,rating:double>>"))) for e in "ab")
+    common = F.map_filter(F.map_zip_with(mine, theirs, lambda _, x, y: F.struct(x.alias("x"), y.alias("y"))), lambda _, p: p["x"].isNotNull() & p["y"].isNotNull())
+    sums = sums.withColumn("both", F.map_values(common))
+
+    def add(term) -> Column:
+        return F.aggregate("both", F.lit(0.0), lambda acc, p: acc + term(p["x"], p["y"]))
+
+    parts = {"sx": lambda x, y: x, "sy": lambda x, y: y, "sxx": lambda x, y: x * x, "syy": lambda x, y: y * y, "sxy": lambda x, y: x * y}
+    sums = sums.withColumns({"n": F.col("n") + F.size("both")} | {c: F.col(c) + add(t) for c, t in parts.items()})
+    return sums.select("user_a", "user_b", "cls_a", "cls_b", _pearson().alias("sim"))
+
+
+def _pearson() -> Column:
+    """Correlation from n and the sums; null where there is none."""
+    va = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
+    vb = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
+    return F.when((va > 0) & (vb > 0), (F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / F.sqrt(va * vb))
+
+
+def _common_sums(light: DataFrame, salt_size: int) -> DataFrame:
+    """n, sx, sy, sxx, syy, sxy of every two users ``user_a < user_b`` over their common items; items are salted by size."""
+    sizes = light.groupBy("item_id").agg(F.ceil(F.count("*") / salt_size).cast("int").alias("_s"))
+    sized = light.join(sizes, "item_id")
+    a = sized.select("item_id", F.col("user_id").alias("user_a"), F.col("rating").alias("x"), F.pmod(F.xxhash64("user_id"), "_s").cast("int").alias("salt"))
+    b = sized.select("item_id", F.col("user_id").alias("user_b"), F.col("rating").alias("y"), F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("salt"))
+    x, y = F.col("x"), F.col("y")
+    met = a.join(b, ["item_id", "salt"]).where("user_a < user_b").groupBy("user_a", "user_b")
+    return met.agg(F.count("*").alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum(x * y).alias("sxy"))
+
+
 # topics
 
 
