@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Row, functions as F
 
 from tidewell.functions import hashing, scalars as fn
-from tidewell.operators import aggregates as agg, counters, ensemble as ens, features as ft, filters as flt, graph, ingest, models, rules, scoring, sessions as ses, text, vectors as vec
+from tidewell.operators import aggregates as agg, counters, ensemble as ens, features as ft, filters as flt, graph, ingest, models, rules, scoring, sessions as ses, skew, text, vectors as vec
 from tidewell.session import scratch_path
 from tidewell.sources import readers, writers
 
@@ -375,3 +375,33 @@ def test_user_hooks(spark):
     assert "echo" in scoring.RECOMMENDERS
     out = ft.predict_udf(spark.range(3), lambda pdf: pd.DataFrame({"id": pdf["id"], "y": pdf["id"] * 2}), "id long, y long")
     assert sum(r.y for r in out.collect()) == 6
+
+
+def test_many_values_are_numbered_by_count_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(skew, "PIECE_ROWS", 40)
+    rng = np.random.default_rng(5)
+    values = [f"v{int(v):03d}" for v in rng.zipf(1.3, 3000) % 300]
+    df = spark.createDataFrame([(v,) for v in values], "a string")
+    got = {r.a: r.id for r in ft.FeatureIds("a", "id").fit_transform(df).distinct().collect()}
+    want = sorted(set(values), key=lambda v: (-values.count(v), v))
+    assert got == {v: i for i, v in enumerate(want, 1)} and len(want) > 100
+    with pytest.raises(ValueError):
+        ft.Binarise("a", 50).fit(df)
+
+
+def test_auc_over_pieces(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(f), int(y), float(round(rng.random() + 0.3 * y, 2))) for f, y in zip(rng.integers(0, 2, 600), rng.integers(0, 2, 600))]
+    df = spark.createDataFrame(rows, "fold int, y int, p double")
+    for size in (None, 15):
+        got = {r.fold: r.score for r in ft.auc(df, "fold", "y", "p", size).collect()}
+        for fold in (0, 1):
+            pos, neg = ([p for f, y, p in rows if f == fold and y == label] for label in (1, 0))
+            assert math.isclose(got[fold], sum((a > b) + (a == b) / 2 for a in pos for b in neg) / len(pos) / len(neg))
+
+
+def test_documents_without_a_token_have_vectors(spark):
+    df = spark.createDataFrame([(1, "red apple"), (2, "..."), (3, "red pear pear"), (4, None)], "doc_id long, text string")
+    for method, empty in (("rp", 0.0), ("lda", 0.25), ("nmf", 0.0)):
+        got = {r.doc_id: r.features for r in text.doc_vectors(df, method, 4).collect()}
+        assert sorted(got) == [1, 2, 3, 4] and got[2] == got[4] == [empty] * 4 and (method != "lda" or math.isclose(sum(got[3]), 1, abs_tol=1e-9))

@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from tidewell.functions.scalars import BOOL_MAP, cyclic_date, ngrams
-from tidewell.operators.skew import dense_ids
+from tidewell.operators.skew import dense_ids, numbered, with_pieces
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -68,10 +68,12 @@ class FeatureIds(Transform):
         if self.col not in df.columns:
             return self
         counts = df.where(F.col(self.col).isNotNull()).groupBy(self.col).agg(F.count("*").alias("n")).where(F.col("n") >= self.min_size)
-        top = counts.orderBy(F.desc("n"), self.col)
-        top = top if self.max_classes is None else top.limit(self.max_classes)
-        number = F.row_number().over(W.orderBy(F.desc("n"), self.col)) - (1 if self.zero_based else 0)
-        self.ids = top.select(self.col, number.alias(self.out))
+        order = [F.desc("n"), F.asc(self.col)]
+        if self.max_classes is None:
+            top = numbered(counts, order, "_id")
+        else:
+            top = counts.orderBy(*order).limit(self.max_classes).withColumn("_id", F.row_number().over(W.orderBy(*order)))
+        self.ids = top.select(self.col, (F.col("_id") - (1 if self.zero_based else 0)).cast("int").alias(self.out))
         return self
 
     def transform(self, df):
@@ -165,17 +167,21 @@ class Scale(Transform):
 
 
 class Binarise(Transform):
-    """One 0/1 column ``col_i`` per label in label order; two labels share one column."""
+    """One 0/1 column ``col_i`` per label in label order; two labels share one column.
 
-    def __init__(self, col: str, max_labels: int | None = None):
+    A table can't have a column for each of very many labels: more than ``max_labels`` are refused, not cut. ``FeatureIds`` is the sparse
+    form for them, one id in one column.
+    """
+
+    def __init__(self, col: str, max_labels: int = 1000):
         self.col, self.max_labels = col, max_labels
         self.labels: list = []
 
     def fit(self, df):
         found = df.select(self.col).where(F.col(self.col).isNotNull()).distinct().orderBy(self.col)
-        rows = (found if self.max_labels is None else found.limit(self.max_labels + 1)).collect()
-        if self.max_labels is not None and len(rows) > self.max_labels:
-            raise ValueError(f"{self.col} has more than {self.max_labels} labels")
+        rows = found.limit(self.max_labels + 1).collect()
+        if len(rows) > self.max_labels:
+            raise ValueError(f"{self.col} has more than {self.max_labels} labels; FeatureIds gives each one an id")
         self.labels = [r[0] for r in rows]
         return self
 
@@ -469,14 +475,17 @@ def kfold(df: DataFrame, key: str, target: str, fit: Callable[[DataFrame], Calla
     return scores, predictions
 
 
-def auc(df: DataFrame, group: str, target: str, score: str) -> DataFrame:
+def auc(df: DataFrame, group: str, target: str, score: str, piece_rows: int | None = None) -> DataFrame:
     """Area under the ROC curve per group from rank sums over score bins: equal scores share their rank.
 
-    Rows are reduced to one per (group, score) before the running count.
+    Rows are reduced to one per (group, score) before the running count, which runs over pieces of bounded size.
     """
     bins = df.groupBy(group, F.col(score).alias("s")).agg(F.sum(F.col(target).cast("double")).alias("pos"), F.count("*").alias("n"))
-    w = W.partitionBy(group).orderBy("s").rowsBetween(W.unboundedPreceding, -1)
-    ranked = bins.withColumn("neg", F.col("n") - F.col("pos")).withColumn("below", F.coalesce(F.sum("neg").over(w), F.lit(0.0)))
+    bins = with_pieces(bins.withColumn("neg", F.col("n") - F.col("pos")), [group], ["s"], "_b", piece_rows)
+    before = lambda *keys: W.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(W.unboundedPreceding, -1)
+    ahead = bins.groupBy(group, "_b").agg(F.sum("neg").alias("neg")).withColumn("_ahead", F.coalesce(F.sum("neg").over(before(group, "_b")), F.lit(0.0)))
+    ranked = bins.withColumn("_in", F.coalesce(F.sum("neg").over(before(group, "_b", "s")), F.lit(0.0))).join(ahead.drop("neg"), [group, "_b"])
+    ranked = ranked.withColumn("below", F.col("_ahead") + F.col("_in"))
     out = ranked.groupBy(group).agg(
         F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2)).alias("u"), F.sum("pos").alias("p"), F.sum("neg").alias("q")
     )

@@ -6,22 +6,18 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import LDA, KMeans
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, StandardScaler, Tokenizer, VectorAssembler, Word2Vec
+from pyspark.ml.feature import IDF, HashingTF, StandardScaler, Tokenizer, VectorAssembler, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewell.functions.hashing import constant_hash, feature_hash, hash_bits
 from tidewell.operators.nearest import gram, nearest, times
-from tidewell.operators.text import hash_sign
+from tidewell.operators.text import hash_sign, term_vectors
 from tidewell.session import cut_lineage
 
 ALS_COLS = dict(userCol="user_id", itemCol="item_id", ratingCol="rating", coldStartStrategy="drop")
 
-#: Largest vocabulary that Spark's vectors can have: no term is left out.
-NO_LIMIT = 2**31 - 1
-
 
 def fit_als(ratings: DataFrame, rank: int = 30, iterations: int = 5, reg: float = 0.01, implicit: bool = False, alpha: float = 1.0, seed: int = 42):
     """Explicit (nonnegative) or implicit alternating least squares."""
@@ -67,13 +63,7 @@ def fit_topics(actions: DataFrame, item_tags: DataFrame, k: int = 50, iterations
     a user holds distinct terms with counts, so it is bounded by the vocabulary.
     """
     counts = user_documents(actions, item_tags)
-    words = counts.groupBy("user_id").agg(F.array_sort(F.collect_list("term")).alias("words"))
-    vocabulary = CountVectorizer(inputCol="words", outputCol="x", vocabSize=vocab_size or NO_LIMIT).fit(words).vocabulary
-    spark = actions.sparkSession
-    index = spark.createDataFrame([(w, i) for i, w in enumerate(vocabulary)], "term string, i int")
-    packed = counts.join(index, "term").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("i", F.col("n").cast("double").alias("n")))).alias("c"))
-    size = len(vocabulary)
-    docs = packed.select("user_id", _sparse(size)(F.transform("c", lambda t: t.i), F.transform("c", lambda t: t.n)).alias("features"))
+    docs, index = term_vectors(counts, "user_id", vocab_size)
     model = LDA(k=k, maxIter=iterations, seed=seed, optimizer="online").fit(docs)
     mix = model.transform(docs).select("user_id", vector_to_array("topicDistribution").alias("features"))
     top = model.describeTopics(terms).select("topic", F.explode(F.arrays_zip("termIndices", "termWeights")).alias("t"))
@@ -81,15 +71,6 @@ def fit_topics(actions: DataFrame, item_tags: DataFrame, k: int = 50, iterations
     return mix, top
 
 
-def _sparse(size: int):
-    """Column function building sparse ML vectors from index and value arrays."""
-    @F.udf(VectorUDT())
-    def build(i, v):
-        return Vectors.sparse(size, i, v)
-
-    return build
-
-
 def fit_w2v(sessions: DataFrame, tokens: str, size: int = 30, min_count: int = 50, iterations: int = 1, partitions: int = 8, seed: int = 42) -> DataFrame:
     """Skip-gram vectors ``item_id, features`` of session tokens, trained in ``partitions`` parts side by side.
 

@@ -19,7 +19,7 @@ from tidewell.operators.nearest import gram, nearest, times
 from tidewell.operators.sets import symmetric
 from tidewell.operators.sessions import recent_actions
 from tidewell.operators.skew import dense_ids
-from tidewell.operators.topk import global_rank, rescale_topk, select_topk_linear, topk_by
+from tidewell.operators.topk import global_rank, rescale_topk, select_topk_linear, topk, topk_by
 from tidewell.operators.vectors import nearest_unseen
 from tidewell.session import written
 
@@ -36,6 +36,17 @@ def _without(recs: DataFrame, seen: DataFrame | None) -> DataFrame:
     return recs if seen is None else recs.join(seen.select(*KEYS), KEYS, "left_anti")
 
 
+#: Most rows of a shared list that are ranked in one task.
+HEAD = 100_000
+
+
+def _most(k: int, seen: DataFrame | None) -> int:
+    """The last rank any user can reach: ``k`` and the most exclusions of a user."""
+    if seen is None:
+        return k
+    return k + (seen.select(*KEYS).dropDuplicates().groupBy("user_id").agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0)
+
+
 def spread(users: DataFrame, ranked: DataFrame, k: int, seen: DataFrame | None = None, by: list[str] = ()) -> DataFrame:
     """The first ``k`` unseen rows of a shared ranked list (``item_id, score, rank``) for every user.
 
@@ -474,8 +485,11 @@ def rec_popular_session(
 
 
 def rec_recent(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | None = None) -> DataFrame:
-    """Newest items (largest ids) per user, scored ``1 - i/n``."""
-    ranked = global_rank(items.select("item_id", F.col("item_id").cast("double").alias("score")))
+    """Newest items (largest ids) per user, scored ``1 - i/n``; only the head that a user can reach is ranked."""
+    scored = items.select("item_id", F.col("item_id").cast("double").alias("score"))
+    most = _most(k, seen)
+    head = topk(scored, most).withColumn("rank", F.row_number().over(W.orderBy(F.desc("score"), "item_id"))) if most <= HEAD else None
+    ranked = global_rank(scored) if head is None else head
     rows = spread(users, ranked, k, seen).withColumnRenamed("score", "_age")
     return select_topk_linear(rows, ["user_id"], k, [F.desc("_age")]).select(*KEYS, "score")
 

@@ -55,6 +55,19 @@ def dense_ids(df: DataFrame, key: str, out: str, slots: int = 4096) -> DataFrame
     return ranked.join(sizes, "_s").withColumn(out, F.col("_off") + F.col("_r")).drop("_s", "_r", "_off")
 
 
+def numbered(df: DataFrame, order: list[Column], out: str, piece_rows: int | None = None) -> DataFrame:
+    """Number the rows 1..n along ``order``, of any types, without one global sort.
+
+    Rows are dealt by ranges into pieces of about ``piece_rows`` and numbered inside their piece; the sizes of the pieces ahead are added.
+    """
+    parts = df.count() // (PIECE_ROWS if piece_rows is None else piece_rows) + 1
+    cut = written(df.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id()), "numbered")
+    sizes = cut.groupBy("_p").agg(F.count("*").alias("_n"))
+    sizes = sizes.select("_p", (F.sum("_n").over(W.orderBy("_p")) - F.col("_n")).alias("_off"))  # a row per piece
+    ranked = cut.withColumn("_r", F.row_number().over(W.partitionBy("_p").orderBy(*order)))
+    return ranked.join(sizes, "_p").withColumn(out, F.col("_off") + F.col("_r")).drop("_p", "_r", "_off")
+
+
 def previous_row(df: DataFrame, keys: list[str], order: list[str], carry: list[str], out: str = "prev", piece_rows: int | None = None) -> DataFrame:
     """Struct of ``carry`` of the preceding row per key (null for the first row)."""
     d = with_pieces(df, keys, order, "_b", piece_rows)
