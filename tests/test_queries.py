@@ -15,6 +15,7 @@ QUICK = [
     "item_cooccurrence", "fp_rules", "edge_triangles", "short_paths", "tag_knn", "ngram_next", "rec_item_sim", "rec_cluster_counts",
     "ensemble", "eval_ranking", "page_attributes", "st_minhash_fixed", "resolve_users", "load_attrs", "sink_stage_swap",
     "sample_actions", "random_variation", "rec_mf", "rec_popular", "rec_popular_dim", "doc_rec", "tag_recommend", "src_frame", "st_minhash_sim", "sink_partitioned",
+    "vector_neighbours", "fn_feature_hash", "rec_popular_session", "rec_assoc", "rec_user_based", "feature_ids", "doc_vectors_rp", "st_emit_policy_data", "st_popular_forward",
 ]
 
 
