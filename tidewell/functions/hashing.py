@@ -99,7 +99,8 @@ def _shifted(h: Column, shift: int, c: int) -> Column:
 
 
 def murmur3_sql(text: str, seed: str) -> str:
-    """The same hash of an ASCII text in DuckDB, for SQL twins."""
+    """The same hash of a text's UTF-8 bytes in DuckDB, for SQL twins."""
+    size = f"strlen({text})"
 
     def times(x: str, c: int) -> str:
         return f"(({x})::HUGEINT * {c} % {1 << 32})"
@@ -108,17 +109,17 @@ def murmur3_sql(text: str, seed: str) -> str:
         return f"list_transform([{x}], lambda r: r * {1 << by} % {1 << 32} + r // {1 << (32 - by)})[1]"
 
     def code(at: str) -> str:
-        return f"coalesce(ascii(nullif(({text})[{at}], '')), 0)"
+        return f"coalesce(('0x' || nullif(substr(hex({text}), 2 * ({at}) - 1, 2), ''))::BIGINT, 0)"
 
     def mixed(k: str) -> str:
         return times(rotated(times(k, _M1), _R1), _M2)
 
     word = f"({code('4 * i + 1')} + {code('4 * i + 2')} * 256 + {code('4 * i + 3')} * 65536 + {code('4 * i + 4')} * 16777216)::HUGEINT"
-    blocks = f"list_transform(range(0, length({text}) // 4), lambda i: {word})"
+    blocks = f"list_transform(range(0, {size} // 4), lambda i: {word})"
     block = f"({rotated(f'xor(h, {mixed(chr(107))})', _R2)} * {_M3} + {_ADD}) % {1 << 32}"
     body = f"list_reduce(list_prepend((({seed}) + {1 << 32})::HUGEINT % {1 << 32}, {blocks}), lambda h, k: {block})"
-    tail = f"list_transform([length({text}) // 4], lambda i: CASE WHEN length({text}) % 4 = 0 THEN 0::HUGEINT ELSE {mixed(word)} END)[1]"
-    h = f"xor(xor({body}, {tail}), length({text})::HUGEINT)"
+    tail = f"list_transform([{size} // 4], lambda i: CASE WHEN {size} % 4 = 0 THEN 0::HUGEINT ELSE {mixed(word)} END)[1]"
+    h = f"xor(xor({body}, {tail}), {size}::HUGEINT)"
     for shift, c in ((16, _M4), (13, _M5)):
         h = f"list_transform([{h}], lambda x: {times(f'xor(x, x // {1 << shift})', c)})[1]"
     h = f"list_transform([{h}], lambda x: xor(x, x // 65536))[1]"

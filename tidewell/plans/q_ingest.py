@@ -367,9 +367,13 @@ def sink_stage_swap(spark, d):
     return writers.read_published(spark, root)
 
 
-@query("sink_factors", "SELECT vec_id::VARCHAR AS id, len(embedding) AS n FROM embeddings")
+@query(
+    "sink_factors",
+    "SELECT vec_id::VARCHAR AS id, generate_subscripts(embedding, 1) - 1 AS i, round(unnest(embedding)::DOUBLE, 5) AS x FROM embeddings",
+    longs=("i",),
+)
 def sink_factors(spark, d):
     root = scratch_path(spark, "factors")
     e = fx.table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
     writers.write_factors(e, root, gzip=True)
-    return readers.read_vectors(spark, root, "|,").select("id", F.size("features").cast("long").alias("n"))
+    return readers.read_vectors(spark, root, "|,").select("id", F.posexplode("features").alias("i", "x")).withColumn("x", F.round(F.col("x").cast("double"), 5))

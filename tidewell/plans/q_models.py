@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window as W, functions as F
 
-from tidewell.functions.hashing import feature_hash
+from tidewell.functions.hashing import feature_hash, murmur3_sql
 from tidewell.operators import aggregates as agg, models, sessions as ses, vectors as vec
 from tidewell.plans import fixtures as fx
 from tidewell.plans.q_core import SQL_AFFINE, WEIGHTS
@@ -56,7 +56,7 @@ def lda_user_mix(spark, d):
 @query("item_word2vec")
 def item_word2vec(spark, d):
     s = ses.session_tags(fx.actions(spark, d), fx.item_tags(spark, d), GAP, 2, 100000, 3)
-    return models.fit_w2v(s, "words", 30, 50).select("item_id", F.size("features").alias("n"))
+    return models.fit_w2v(s, "words", 30, 50).select("item_id", F.posexplode("features").alias("i", "x")).withColumn("x", F.round("x", 4))
 
 
 SQL_TERMS = """tk AS (SELECT p_partkey AS item_id, unnest(string_split(lower(p_name || ' ' || p_type), ' ')) AS term FROM part),
@@ -183,12 +183,28 @@ def linear_score(spark, d):
     return models.linear_score(rows, weights, classes, 18).withColumn("score", F.round("score", 8))
 
 
-@query("tfidf_scaler")
+TEXT_SLOTS = 1 << 12
+
+
+@query(
+    "tfidf_scaler",
+    f"""WITH tk AS (SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(lower(text), '\\s+$', ''), '\\s')) AS term FROM documents),
+        sl AS (SELECT term, (({murmur3_sql("term", "42")} % {TEXT_SLOTS}) + {TEXT_SLOTS}) % {TEXT_SLOTS} AS slot FROM (SELECT DISTINCT term FROM tk)),
+        tf AS (SELECT doc_id, slot, count(*) AS tf FROM tk JOIN sl USING (term) GROUP BY 1, 2),
+        df AS (SELECT slot, ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) + 1.0)) AS idf FROM tf GROUP BY 1),
+        f AS (SELECT doc_id, slot, tf * idf AS value FROM tf JOIN df USING (slot) UNION ALL SELECT doc_id, {TEXT_SLOTS}, n_chars FROM documents),
+        m AS (SELECT avg(n_chars) AS mean, stddev_samp(n_chars) AS dev FROM documents)
+        SELECT doc_id, slot::BIGINT AS slot, round(value, 5) AS value, round((n_chars - mean) / dev, 5) AS scaled FROM f JOIN documents USING (doc_id), m WHERE value <> 0""",
+    longs=("slot",),
+)
 def tfidf_scaler(spark, d):
+    """Every entry of the documents' feature vectors that is not zero, and the standardised number of characters."""
     docs = fx.table(spark, d, "documents").select("doc_id", "text", F.col("n_chars").cast("double").alias("n_chars"))
-    words, scaled = models.text_pipeline(docs, "text", ["n_chars"])
-    out = scaled.transform(words.transform(docs))
-    return out.select("doc_id", F.round(vector_to_array("scaled")[0], 5).alias("scaled"), F.size(vector_to_array("features")).alias("width"))
+    words, scaled = models.text_pipeline(docs, "text", ["n_chars"], TEXT_SLOTS)
+    out = scaled.transform(words.transform(docs)).withColumn("f", F.unwrap_udt("features"))
+    places = F.coalesce("f.indices", F.sequence(F.lit(0), F.size("f.values") - 1))
+    cells = out.select("doc_id", vector_to_array("scaled")[0].alias("scaled"), F.explode(F.arrays_zip(places.alias("slot"), F.col("f.values").alias("value"))).alias("c"))
+    return cells.where("c.value <> 0").select("doc_id", "c.slot", F.round("c.value", 5).alias("value"), F.round("scaled", 5).alias("scaled"))
 
 
 @query("anomaly_inne")
