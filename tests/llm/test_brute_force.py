@@ -7,6 +7,7 @@ from html.parser import HTMLParser
 import numpy as np
 import xxhash
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from tidewell.llm import decontaminate, exact_dedup, html_text, language_id, license_scan, packing, queries, simhash, suffix_dedup, toxicity, url_filter
 from tidewell.llm.common import components, table
@@ -397,5 +398,29 @@ def test_exact_ties(spark, odd, monkeypatch):
     assert exact_dedup.drop_copies(odd).count() == odd.select("text").fillna("").distinct().count()
     monkeypatch.setattr(exact_dedup, "MAX_WORDS", -1)  # the filter's words too many to broadcast
     check(exact_dedup.mark_copies(odd).collect())
+    kept = exact_dedup.drop_copies(odd)
+    assert kept.columns == odd.columns and sorted(r["text"] or "" for r in kept.collect()) == sorted({d["text"] or "" for d in odd.collect()})
     monkeypatch.setattr(exact_dedup, "filter_bits", lambda rows: 2)  # a filter that rules nothing out
     check(exact_dedup.mark_copies(odd).collect())
+    monkeypatch.setattr(exact_dedup, "FOLDED_BITS", 2)  # nor the folded one
+    assert exact_dedup.drop_copies(odd).count() == kept.count()
+
+
+def test_no_text_is_shuffled_beyond_the_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "MAX_WORDS", -1)
+    docs = spark.createDataFrame([(i, f"text {i // 2 if i < 10 else i}") for i in range(40)], "doc_id long, text string")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        seen = []
+        words, bits, small = exact_dedup.text_filter(docs, text)
+        assert not small
+        for df in (exact_dedup.mark_digests(docs, "doc_id", text, words, bits), exact_dedup.mark_rows(docs, "doc_id", text, "maybe")):
+            plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+            moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+            assert not any(re.search(r"\btext#", columns) for columns in moved)
+            seen.append(len(moved))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert seen[0] >= 2
+    assert seen[1] == 0 and {r["doc_id"] for r in exact_dedup.mark_rows(docs, "doc_id", text, "maybe").where("maybe").collect()} >= set(range(10))
