@@ -1,10 +1,13 @@
 """Operators against plain Python on whole small tables and on made cases."""
 
+import itertools
+import random
 import re
 from collections import Counter, defaultdict
 from html.parser import HTMLParser
 
 import numpy as np
+import pytest
 import xxhash
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -364,6 +367,42 @@ def test_url_mining(spark):
     assert all((got[i] == "block") == (i % 6 == 3) for i, _ in urls) and got[900] == "block" and got[901] == "allow" and got[None] == "allow"
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_url_rules_equal_brute_force_mining(spark, seed):
+    r = random.Random(seed)
+    urls = [(i, "http://" + r.choice(["a", "b"]) + ".net/" + "/".join(r.choice(["p/pp", "q", "s", "t"]) for _ in range(3)) + "?" + r.choice(["k", "m"]) + "=1") for i in range(160)]
+    bad = {i: ("http://a" in u) + ("/p/" in u) + ("k=" in u) + (r.random() < 0.3) >= 3 for i, u in urls}
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(b), 1) for i, b in bad.items()], "doc_id long, toxic int, quality int")
+    link = F.col("page_id")
+    sets = {x["url"]: set(x["t"]) for x in pages.select("url", url_filter.tokens(F.col("url")).alias("t")).collect()}
+    base, rules = sum(bad.values()) / len(urls), []
+    every = sorted(set().union(*sets.values()))
+    for size in range(1, 6):
+        for c in map(set, itertools.combinations(every, size)):
+            hits = [bad[i] for i, u in urls if c <= sets[u]]
+            if sum(hits) >= url_filter.LEAST and sum(hits) / len(hits) >= max(url_filter.CONFIDENCE, url_filter.LIFT * base):
+                rules.append(c)
+    want = {u for u in sets if any(c <= sets[u] for c in rules)}
+    mined, items = url_filter.mine(url_filter.labelled(pages.withColumn("doc", link), labels, link))
+    got = {x["url"] for x in url_filter.matched(pages.select("url").distinct(), mined, items).collect()}
+    assert got == want and 0 < len(want) < len(sets)
+    smallest = [c for c in rules if not any(d < c for d in rules)]
+    token_of = {x["token"]: x["item"] for x in items.collect()}
+    assert {frozenset(token_of[t] for t in c) for c in smallest} == {frozenset(x["wants"]) for x in mined.collect()}
+
+
+def test_deep_paths_are_mined(spark):
+    deep = lambda kind: "/".join(f"{kind}{k}" for k in range(20))
+    urls = [(i, f"http://h{i % 2}.net/{deep('x' if i % 4 == 0 else 'y')}/{i}") for i in range(80)] + [(900, f"http://new.net/{deep('x')}"), (901, f"http://new.net/{deep('y')}")]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0), 1) for i in range(80)], "doc_id long, toxic int, quality int")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(spark.createDataFrame(urls, "page_id long, url string"), labels).collect()}
+    assert all((got[i] == "block") == (i % 4 == 0) for i in range(80)) and got[900] == "block" and got[901] == "allow"
+    labels = spark.createDataFrame([(i, int(i % 4 == 0 and i < 80), 1) for i in range(120)], "doc_id long, toxic int, quality int")
+    pages = spark.createDataFrame(urls[:80] + [(i, f"http://h0.net/{deep('x')}/{i}") for i in range(80, 120)], "page_id long, url string")
+    assert {r["verdict"] for r in url_filter.judge(pages, labels).collect()} == {"allow"}  # a third of them bad: no rule is sure enough
+
+
 # ---- op1
 
 def test_license_blocks(spark):
