@@ -246,15 +246,69 @@ def test_language_held_out(spark, sf):
     assert np.mean([lang[r["doc_id"]] == r["lang_pred"] for r in rows]) > 0.97
 
 
+def plain_chances(texts):
+    """Chances of all 256 bytes after a context, by the definition of the method: a list for each context, shorter ones by recursion."""
+    counts = defaultdict(Counter)
+    for t in texts:
+        data = b" " * language_id.ORDER + t.translate(FOLD).encode()
+        for i in range(language_id.ORDER, len(data)):
+            for k in range(language_id.ORDER + 1):
+                counts[data[i - k : i]][data[i]] += 1
+
+    def after(context):
+        lower = after(context[1:]) if context else [1 / 256] * 256
+        seen = counts.get(context, {})
+        n = sum(seen.values())
+        if n < language_id.LEAST:
+            return lower
+        left = sum(c for b, c in enumerate(lower) if b not in seen)
+        return [seen[b] / (n + len(seen)) if b in seen else len(seen) / (n + len(seen)) * lower[b] / left for b in range(256)]
+
+    return after
+
+
+def test_language_code_lengths(spark):
+    """Every tree against the definition, scripts of many bytes included."""
+    texts = {"aa": ["Abracadabra abracadabra cadabra", "", "bra!"], "bb": ["мама мыла раму", "рама и мама"], "cc": ["日本語の本", "本の日本語と日本"]}
+    rows = [(i, t, lang) for i, (lang, t) in enumerate((lang, t) for lang, group in texts.items() for t in group)]
+    model = language_id.fit(frame(spark, rows))
+    assert model.names == ("aa", "bb", "cc")
+    asked = ["abra dabra", "мама", "", "本日 語x", "Z\x00~ÿ"]
+    data = [t.encode() for t in asked]
+    got = language_id.code_lengths(model, np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    for k, lang in enumerate(model.names):
+        after = plain_chances(texts[lang])
+        for i, t in enumerate(asked):
+            padded = b" " * language_id.ORDER + t.translate(FOLD).encode()
+            bits = -sum(np.log2(after(padded[j - language_id.ORDER : j])[padded[j]]) for j in range(language_id.ORDER, len(padded)))
+            assert got[i, k] == pytest.approx(bits, rel=1e-4, abs=1e-3)
+
+
 def test_language_codes_sum_to_one():
     text = np.frombuffer(b"abracadabra abracadabra cadabra", dtype=np.uint8)
-    symbol = np.arange(256, dtype=np.int32) % language_id.SYMBOLS
-    syms, context, starts = language_id.symbols_of(text, np.array([0, len(text)]), symbol)
-    code, n = np.unique(context[starts[0] :].astype(np.int64) * language_id.SYMBOLS + syms[starts[0] :], return_counts=True)
-    state, bits = language_id._tree(code, n)
-    assert np.allclose(np.exp2(-bits.astype(float)).sum(axis=1), 1, atol=1e-4)
-    # seen often after its context: cheap; the first escape pays the share of kinds
-    assert bits[state[context[-1]], syms[-1]] < 1 < bits[state[context[-1]], symbol[ord("z")]]
+    codes, n = np.unique(language_id.grams_of(text, np.array([0, len(text)])), return_counts=True)
+    tree = language_id._tree(codes, n)
+    for context in {int(c) >> 8 for c in codes} | {0x010203}:
+        bits = language_id.gram_bits(tree, np.arange(256, dtype=np.uint32) + np.uint32(context << 8))
+        assert np.exp2(-bits).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_many_languages_and_minor_scripts(spark):
+    """56 languages, each of its own words; two of them Cyrillic beside a Latin majority, a hot id that repeats."""
+    cyrillic = "абвгдежзиклмнопрстуфхцчшщыэюя"
+
+    def text(lang, seed, n=40):
+        words, r = random.Random(lang), random.Random(f"{lang} {seed}")
+        letters = cyrillic if lang >= 54 else "abcdefghijklmnopqrstuvwxyz"
+        known = ["".join(words.choices(letters, k=words.randint(3, 8))) for _ in range(60)]
+        return " ".join(r.choices(known, k=n))
+
+    rows = [(100 * lang + i, text(lang, i), f"l{lang:02}") for lang in range(56) for i in range(12)]
+    model = language_id.fit(frame(spark, rows + [rows[0]] * 400))
+    assert len(model.names) == 56
+    asked = [(lang, text(lang, 1000)) for lang in range(56)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(frame(spark, asked), model, ["doc_id"]).collect()}
+    assert got == {lang: f"l{lang:02}" for lang in range(56)}
 
 
 def test_toxicity_made(spark):

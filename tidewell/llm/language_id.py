@@ -1,18 +1,20 @@
 """Language identification by prediction by partial matching (PPM).
 
-One byte context tree per language, up to ``ORDER`` preceding symbols. A symbol unseen in a context costs an escape (method C: as
-many escapes as different symbols seen) and is then coded by the next shorter context, symbols already ruled out left
-aside. The statistics are frozen after training, so the code length of every symbol in every context of the tree is worked out once; a
+One byte context tree per language, over all 256 bytes (A-Z lower-cased), up to ``ORDER`` preceding bytes. A byte unseen in a context
+costs an escape (method C: as many escapes as different bytes seen) and is then coded by the next shorter context, bytes already
+ruled out left aside. The statistics are frozen after training, so the code length of a byte after its context never changes; a
 text's length under a language is the sum over all of its bytes, and the shortest code wins.
 
-Symbols: bytes with A-Z lower-cased; the ``SYMBOLS - 1`` most frequent ones of the sample stand for themselves, the others share one.
+A tree stores only what was met: the code length of each byte seen in a context, and one number for the escape of each context.
+Excluding the seen bytes scales the shorter context by a constant, so an escape is an addend and nothing is stored for unseen bytes.
 
-Training reads a bounded sample: at most ``DOCS`` whole documents of each of at most ``LANGUAGES`` languages (the most frequent),
-smallest id hashes first. Spark counts the contexts; the driver receives the counts of the trees' nodes only.
+Training reads a bounded sample: at most ``DOCS`` whole documents of each language, smallest hashes of id and text first; every language
+that has a document is learned. Spark counts the contexts; the driver receives the counts of the trees' nodes only, at most those of
+``DOCS`` documents a language.
 
 Defined cases: null text, empty text and text without a letter get ``und`` and score 0; without training rows every
-document does; ties go to the first language by name; repeated rows get equal results; an empty table gives an empty
-result; extra columns are not read.
+document does; ties go to the first language by name; repeated rows get equal results, and rows that share id, language and text
+are one training document that counts as often as it occurs; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -27,111 +29,124 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidewell.llm.common import _FOLD, saved, text_slices
 
-ORDER, SYMBOLS, DOCS, LANGUAGES = 3, 64, 300, 50
+ORDER, DOCS = 3, 300
 #: Contexts seen less often in the sample are left to shorter ones.
 LEAST = 3
 
 
+@dataclass(frozen=True)
+class Level:
+    """The contexts of one length: sorted codes of (context, byte) and of contexts, with the bits of the byte and of the escape."""
+
+    grams: np.ndarray
+    bits: np.ndarray
+    contexts: np.ndarray
+    escapes: np.ndarray
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     names: tuple[str, ...]
-    symbol: np.ndarray  # 256 bytes to symbols
-    states: np.ndarray  # language x context of ORDER symbols: its longest suffix in the tree
-    bits: tuple[np.ndarray, ...]  # by language: state x symbol, the code length
+    trees: tuple[tuple[Level, ...], ...]  # by language, shortest contexts first
 
 
-def symbols_of(data: np.ndarray, offsets: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols with ``ORDER`` blanks ahead of each document, the context code of each place, and the documents' starts there."""
-    starts = offsets[:-1] + ORDER * np.arange(1, len(offsets))
-    out = np.full(len(data) + ORDER * (len(offsets) - 1), symbol[32], dtype=np.int32)
-    out[np.arange(len(data)) + ORDER * np.repeat(np.arange(1, len(offsets)), np.diff(offsets))] = symbol[data]
-    context = np.zeros(len(out), dtype=np.int32)
-    for back in range(ORDER, 0, -1):
-        context[ORDER:] = context[ORDER:] * SYMBOLS + out[ORDER - back : len(out) - back]
-    return out, context, starts
+def _last(codes: np.ndarray, n: int) -> np.ndarray:
+    """The last ``n`` bytes of each code."""
+    return codes & np.uint32((1 << 8 * n) - 1)
 
 
-def fit(docs: DataFrame, docs_per_language: int = DOCS) -> LanguageModel:
-    """Model from the rows of ``docs`` (doc_id, text, lang) that have a language and a text."""
-    usable = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang")
-    top = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    # a few times the rows wanted pass the first test, so no language is ranked as a whole in one task
-    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40)) / float(1 << 40)
-    few = usable.join(F.broadcast(top), "lang").withColumn("place", place).where(F.col("place") * F.col("n") < 4 * docs_per_language + 40)
-    chosen = few.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))).where(F.col("r") <= docs_per_language)
-    chosen = saved(chosen.select("doc_id", F.col("lang").alias("language")).distinct(), "chosen")
-    # at most LANGUAGES * docs_per_language rows
-    sample = saved(docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").where("lang = language").select("lang", "text"), "sample")
-
-    def count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, data, _ in text_slices(batch.column(1)):
-                n = np.bincount(_FOLD[data], minlength=256)
-                yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(n)), pa.array(n[n > 0])], names=["b", "n"])
+def grams_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Code of each byte and the ``ORDER`` ones before it, blanks ahead of each document."""
+    place = np.arange(len(data)) + ORDER * np.repeat(np.arange(1, len(offsets)), np.diff(offsets))
+    padded = np.full(len(data) + ORDER * (len(offsets) - 1), 32, dtype=np.uint32)
+    padded[place] = _FOLD[data]
+    codes = np.zeros(len(padded), dtype=np.uint32)
+    for back in range(ORDER, -1, -1):
+        codes[ORDER:] = codes[ORDER:] << np.uint32(8) | padded[ORDER - back : len(padded) - back]
+    return codes[place]
 
-    seen = sample.mapInArrow(count_bytes, "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "b").limit(SYMBOLS - 1).collect()
-    symbol = np.full(256, SYMBOLS - 1, dtype=np.int32)
-    for i, r in enumerate(seen):
-        symbol[r["b"]] = i
-    symbol = symbol[_FOLD]
 
-    def count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def fit(docs: DataFrame, docs_per_language: int = DOCS) -> LanguageModel:
+    """Model from the rows of ``docs`` (doc_id, text, lang) that have a language and a text."""
+    usable = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang", "text")
+    key = ["lang", "doc_id", "mark"]
+    marked = usable.withColumn("mark", F.xxhash64("text", F.lit(1)))
+    sizes = marked.groupBy("lang").agg(F.approx_count_distinct(F.struct("doc_id", "mark")).alias("n"))
+    # a few times the documents wanted pass the first test, so no language is ranked as a whole in one task
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "mark"), F.lit(1 << 40)) / float(1 << 40)
+    few = marked.drop("text").join(sizes, "lang").withColumn("place", place).where(F.col("place") * F.col("n") < 4 * docs_per_language + 40)
+    few = few.groupBy(*key, "place").agg(F.count(F.lit(1)).alias("times"))
+    chosen = few.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id", "mark"))).where(F.col("r") <= docs_per_language)
+    chosen = saved(chosen.select(*key, "times"), "chosen")
+    sample = marked.join(chosen, key).groupBy(*key, "times").agg(F.min("text").alias("text"))
+    sample = saved(sample.select("lang", "text", "times"), "sample")
+
+    def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = batch.column(0)
+            langs, times = batch.column(0), batch.column(2).to_numpy()
             for lo, hi, data, offsets in text_slices(batch.column(1)):
-                syms, context, starts = symbols_of(data, offsets, symbol)
-                ends = starts + np.diff(offsets)
+                codes = grams_of(data, offsets)
                 for i in range(hi - lo):
-                    code, n = np.unique(context[starts[i] : ends[i]].astype(np.int64) * SYMBOLS + syms[starts[i] : ends[i]], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([langs[lo + i].as_py()] * len(code), pa.string()), pa.array(code), pa.array(n)], names=["lang", "code", "n"])
+                    code, n = np.unique(codes[offsets[i] : offsets[i + 1]], return_counts=True)
+                    lang = pa.array([langs[lo + i].as_py()] * len(code), pa.string())
+                    yield pa.RecordBatch.from_arrays([lang, pa.array(code.astype(np.int64)), pa.array(n * times[lo + i])], names=["lang", "code", "n"])
 
-    counts = sample.mapInArrow(count_contexts, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()
-    names = tuple(sorted(counts["lang"].unique()))
-    trees = [_tree(part["code"].to_numpy(), part["n"].to_numpy()) for part in (counts[counts["lang"] == name] for name in names)]
-    return LanguageModel(names, symbol, np.stack([t[0] for t in trees]) if trees else np.zeros((0, 0), np.int32), tuple(t[1] for t in trees))
+    counts = sample.mapInArrow(count_grams, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()
+    parts = dict(sorted((lang, _tree(part["code"].to_numpy().astype(np.uint32), part["n"].to_numpy())) for lang, part in counts.groupby("lang")))
+    return LanguageModel(tuple(parts), tuple(parts.values()))
 
 
-def _tree(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """States and code lengths of one language, from its counts of ``ORDER`` symbols and the one after."""
-    dist = np.full((1, SYMBOLS), 1.0 / SYMBOLS)  # below all contexts: every symbol alike
-    state = np.zeros(1, dtype=np.int32)
-    all_bits, base = [], 0
+def _tree(codes: np.ndarray, n: np.ndarray) -> tuple[Level, ...]:
+    """Tree of one language, from the different codes of its sample and their counts."""
+    levels, shorter, chance = [], np.zeros(0, np.uint32), np.zeros(0)
     for order in range(ORDER + 1):
-        code, at = np.unique(codes % SYMBOLS ** (order + 1), return_inverse=True)
-        total = np.bincount(at, weights=n)
-        context, row = np.unique(code // SYMBOLS, return_inverse=True)
-        often = np.bincount(row, weights=total) >= LEAST
-        keep = often[row]
-        row, code, total, context = (np.cumsum(often) - 1)[row[keep]], code[keep], total[keep], context[often]
-        if not len(context):
+        grams, at = np.unique(_last(codes, order + 1), return_inverse=True)
+        count = np.bincount(at, weights=n)
+        contexts, row = np.unique(grams >> np.uint32(8), return_inverse=True)
+        often = np.bincount(row, weights=count) >= LEAST
+        if not often.any():
             break
-        counted = np.zeros((len(context), SYMBOLS))
-        counted[row, code % SYMBOLS] = total
-        hit = counted > 0
-        kinds = hit.sum(axis=1, keepdims=True)
-        whole = counted.sum(axis=1, keepdims=True) + kinds
-        lower = dist[state[context % len(state)]]  # the context's longest proper suffix
-        left = np.where(hit, 0.0, lower)
-        rest = left.sum(axis=1, keepdims=True)
-        full = np.where(rest > 0, 1.0, (whole - kinds) / whole)  # all symbols seen: nothing to escape to
-        new = np.where(hit, counted / whole / full, kinds / whole * left / np.where(rest > 0, rest, 1.0))
-        grown = state[np.arange(SYMBOLS**order) % len(state)]
-        grown[context] = len(dist) + np.arange(len(context))
-        dist, state = np.concatenate([dist, new]), grown
-    if len(state) < SYMBOLS**ORDER:
-        state = state[np.arange(SYMBOLS**ORDER) % len(state)]
-    return state.astype(np.int32), (-np.log2(np.maximum(dist, 2.0**-40))).astype(np.float32)
+        keep = often[row]
+        grams, count, row, contexts = grams[keep], count[keep], (np.cumsum(often) - 1)[row[keep]], contexts[often]
+        total, kinds = np.bincount(row, weights=count), np.bincount(row)
+        # what follows a context follows its shorter end too, at least as often
+        lower = chance[np.searchsorted(shorter, _last(grams, order))] if order else np.full(len(grams), 1 / 256)
+        full = kinds == 256  # nothing to escape to
+        rest = np.where(full, 1.0, 1 - np.bincount(row, weights=lower))
+        shorter, chance = grams, count / np.where(full, total, total + kinds)[row]
+        escapes = -np.log2(kinds / (total + kinds) / rest)
+        levels.append(Level(grams, -np.log2(chance).astype(np.float32), contexts, escapes.astype(np.float32)))
+    return tuple(levels)
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``wanted`` in the sorted ``keys``, and whether they are there."""
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def gram_bits(tree: tuple[Level, ...], codes: np.ndarray) -> np.ndarray:
+    """Bits of the last byte of each code after the bytes before it."""
+    out, open_ = np.zeros(len(codes)), np.arange(len(codes))
+    for order in range(len(tree) - 1, -1, -1):
+        level, wanted = tree[order], _last(codes[open_], order + 1)
+        at, seen = _find(level.grams, wanted)
+        out[open_[seen]] += level.bits[at[seen]]
+        open_, wanted = open_[~seen], wanted[~seen]
+        at, known = _find(level.contexts, wanted >> np.uint32(8))
+        out[open_[known]] += level.escapes[at[known]]
+    out[open_] += 8
+    return out
 
 
 def code_lengths(model: LanguageModel, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Document x language: bits of the whole text."""
-    syms, context, starts = symbols_of(data, offsets, model.symbol)
-    ends = starts + np.diff(offsets)
-    out = np.zeros((len(starts), len(model.names)))
-    for k, bits in enumerate(model.bits):
-        cost = np.zeros(len(syms) + 1)
-        np.cumsum(bits.ravel()[model.states[k][context] * SYMBOLS + syms], out=cost[1:], dtype=np.float64)
-        out[:, k] = cost[ends] - cost[starts]
+    codes, at = np.unique(grams_of(data, offsets), return_inverse=True)
+    out = np.zeros((len(offsets) - 1, len(model.names)))
+    for k, tree in enumerate(model.trees):
+        cost = np.zeros(len(data) + 1)
+        np.cumsum(gram_bits(tree, codes)[at], out=cost[1:])
+        out[:, k] = cost[offsets[1:]] - cost[offsets[:-1]]
     return out
 
 
