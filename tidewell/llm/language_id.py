@@ -71,7 +71,8 @@ def fit(docs: DataFrame, docs_per_language: int = DOCS) -> LanguageModel:
     usable = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang", "text")
     key = ["lang", "doc_id", "mark"]
     marked = usable.withColumn("mark", F.xxhash64("text", F.lit(1)))
-    sizes = marked.groupBy("lang").agg(F.approx_count_distinct(F.struct("doc_id", "mark")).alias("n"))
+    # written apart, so that its size is known and no row is dealt by language to meet it
+    sizes = saved(marked.groupBy("lang").agg(F.approx_count_distinct(F.struct("doc_id", "mark")).alias("n")), "sizes")
     # a few times the documents wanted pass the first test, so no language is ranked as a whole in one task
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "mark"), F.lit(1 << 40)) / float(1 << 40)
     few = marked.drop("text").join(sizes, "lang").withColumn("place", place).where(F.col("place") * F.col("n") < 4 * docs_per_language + 40)
