@@ -238,6 +238,85 @@ def test_plain_copies(spark):
     assert sorted(r["doc_id"] for r in decontaminate.drop_leaks(frame(spark, rows), bench).collect()) == [4, 5]
 
 
+def canonical_words(text):
+    """Plain words and template words, by regular expression."""
+    words, shapes, end, number = [], [], 0, False
+    for m in re.finditer(r"(?:[0-9A-Za-z\x80-\U0010ffff]|(?<=[0-9])[.,](?=[0-9]))+", text):
+        w = m.group().translate(FOLD)
+        opening = not words or re.search('[\n!".:?]', text[end : m.start()])
+        name = re.match("[A-Z][a-z\x80-\U0010ffff]", m.group()) and not opening
+        shape = "UNIT" if number and w in decontaminate.UNITS else "NUMBER" if re.fullmatch("[0-9.,]+", w) else "NAME" if name else w
+        number, end = shape == "NUMBER", m.end()
+        words.append(w)
+        shapes.append(shape)
+    return words, shapes
+
+
+def plain_leaks(docs, items):
+    """{(doc, item): (coverage, run)} by comparing every window of every document with every window of every item."""
+    out = {}
+    for (d, text), (b, item), template in itertools.product(docs, items, (False, True)):
+        have, want = canonical_words(text), canonical_words(item)
+        size = min(8, len(want[0]))
+        if not size or template and size < 5 or size < 3 and len(have[0]) != size:
+            continue
+        slot = [x in ("NUMBER", "NAME", "UNIT") for x in want[1]]
+        places = [i for i in range(len(want[0]) - size + 1) if not template or 2 * sum(slot[i : i + size]) <= size]
+        shifts = defaultdict(set)
+        for i, j in itertools.product(places, range(len(have[0]) - size + 1)):
+            if want[template][i : i + size] == have[template][j : j + size]:
+                shifts[j - i].add(i)
+        covered, run = set(), 0
+        for shift, at in shifts.items():
+            pairs = {(want[0][k], have[0][k + shift]) for i in at for k in range(i, i + size) if template and slot[k]}
+            if len({a for a, _ in pairs}) == len({c for _, c in pairs}) == len(pairs):
+                covered |= at
+                run = max(run, *(size - 1 + next(n for n in itertools.count() if i + n not in at) for i in at))
+        if covered and (len(covered) / len(places) >= 0.5 or run >= 13):
+            was = out.get((d, b), (0, 0))
+            out[d, b] = (max(was[0], len(covered) / len(places)), max(was[1], run))
+    return out
+
+
+@pytest.mark.parametrize("few", [0, 2, 8])
+def test_leaks_equal_brute_force(spark, few):
+    """Whole and part copies, other names and numbers, contradictions, common preambles, items of common windows only, short items."""
+    r = random.Random(few)
+    preamble = "please read the text below and then answer the following question with care"
+    items = []
+    for i in range(14):
+        body = [r.choice([prose(100 * i + j, 1), r.choice("Anna Berta Carla Dora Emil".split()), str(r.randint(2, 99)), "kg"]) for j in range(r.randint(4, 26))]
+        opening = preamble.split()[: r.choice([0, 9, 10, 13])]
+        items.append((i, " ".join(opening + body)))
+    items += [(20 + i, preamble) for i in range(4)] + [(30, "who wrote War Peace"), (31, "why not"), (32, ""), (None, items[0][1]), (33, items[1][1])]
+    docs = []
+    for i in range(60):
+        words = items[r.randrange(18)][1].split()
+        a = r.randrange(len(words))
+        part = words[a : a + r.randint(4, 30)] if i % 2 else words
+        change = dict(zip("Anna Berta Carla Dora Emil".split(), r.sample("Greta Hanna Ida Jana Karla".split(), 5)))
+        part = [change.get(w, w) if i % 3 else w for w in part]
+        if i % 5 == 0:
+            part[r.randrange(len(part))] = "Zora"
+        docs.append((i, " ".join([prose(5000 + i, 6), preamble if i % 4 == 0 else "", *part, prose(6000 + i, 5)])))
+    docs += [(100, "Tell me: who wrote war peace in one year?"), (101, "Why not?"), (102, "why not ask"), (103, ""), (104, "Who wrote 5 Peace")]
+    bench = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, h string")
+    got = {(x["doc_id"], x["item_id"]): (x["coverage"], x["run"]) for x in decontaminate.find_leaks(frame(spark, docs), bench, ["doc_id"], few=few).collect()}
+    want = plain_leaks(docs, items)
+    assert got == {k: (pytest.approx(c), n) for k, (c, n) in want.items()}
+    assert {(100, 30), (101, 31), (0, 20)} <= set(got) and len(got) > 60
+
+
+def test_preambles_pair_nothing(spark):
+    """Documents and items with one preamble of ten words: no common window is an anchor, so nothing meets."""
+    preamble = "read the following passage and answer the question below it"
+    items = spark.createDataFrame([(i, f"{preamble} {prose(i, 20)}") for i in range(40)], "item_id long, text string")
+    item, common = decontaminate.benchmark_windows(items, 8, 0.5, 13, 8)
+    assert common.count() == 6 and item.where("not anchor").count() == 40 * 6
+    docs = frame(spark, [(i, f"{preamble} {prose(1000 + i, 30)}") for i in range(50)] + [(60, f"{preamble} {prose(7, 20)}")])
+    assert [(r["doc_id"], r["item_id"], r["coverage"]) for r in decontaminate.find_leaks(docs, items, ["doc_id"]).collect()] == [(60, 7, 1.0)]
+
+
 # ---- op5, op7
 
 def test_language_held_out(spark, sf):

@@ -11,10 +11,15 @@ Windows of the plain lower-cased words are hashed as well. They have no slots, s
 word-for-word copies in which one name was changed, that consist of numbers or names mostly, or that are lower-cased. Each kind
 is counted by itself, and an item that either kind finds is leaked.
 
+Windows that more than ``FEW`` items hold (a common preamble) don't pair documents with items: they count for the pairs that a rarer
+window found. Items that could be leaked by such windows alone are the exception; for these every window pairs. So no leak is missed, and
+a preamble doesn't bring all its documents together with all its items.
+
 A bit map of the benchmark's hashes, of fixed size, keeps windows that cannot join from the shuffle; it drops no match.
 
 Defined cases: null and empty texts have no window and no leak; an item shorter than a window is one window; one of
-fewer than ``MIN_WORDS`` words matches nothing, one of placeholders mostly by its plain words only; a null item_id is an id like any other; copies of a
+fewer than ``MIN_WORDS`` words, or of placeholders mostly, matches by its plain words only, one of fewer than ``SHORT`` words only documents that have
+no other words; a null item_id is an id like any other; copies of a
 document are each reported, rows that share their id together; empty tables give an empty result; extra columns are
 carried by ``drop_leaks`` and not read otherwise.
 """
@@ -22,15 +27,17 @@ carried by ``drop_leaks`` and not read otherwise.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType
 
 from tidewell.llm.common import _FOLD, _WORD, SpanHash, byte_hash, free_name, saved, text_slices, word_spans
 
-WINDOW, MIN_WORDS, COVERAGE, RUN, MAP_BITS = 8, 5, 0.5, 13, 24
+WINDOW, MIN_WORDS, SHORT, COVERAGE, RUN, FEW, MAP_BITS = 8, 5, 3, 0.5, 13, 8, 24
 
 # Words that count as units when they follow a number.
 UNITS = (
@@ -101,8 +108,9 @@ def _listed(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 def windows(frame: DataFrame, id_cols: list[str], text_col: str, sizes: list[int], bits: np.ndarray | None = None) -> DataFrame:
     """Id columns, h (window hash), size, pos, total (usable windows of the row), plain (kind), slots (word hashes in the slots).
 
-    Without ``bits``, each row takes windows of the largest size it can fill; with the bit map, of all sizes, those it lists.
-    A template window is usable when at most half of it are slots; a plain one always is, and has none.
+    Without ``bits``, each row takes windows of the largest size it can fill; with the bit map, of all sizes, those it lists (of
+    fewer than ``SHORT`` words only the whole text). A template window is usable when it has ``MIN_WORDS`` words and at most half of
+    it are slots; a plain one always is, and has none.
     """
     thin = frame.select(*id_cols, text_col)
     k = len(id_cols)
@@ -119,12 +127,13 @@ def windows(frame: DataFrame, id_cols: list[str], text_col: str, sizes: list[int
                 kinds = ((False, SpanHash(values), np.concatenate([[0], np.cumsum(slot)])), (True, SpanHash(words ^ PLAIN), no_slot))
                 slot_words = words[slot].view(np.int64)
                 for size in sizes:
-                    fits = n_words == size if bits is None and size < max(sizes) else n_words >= size
+                    whole = size < max(sizes) if bits is None else size < SHORT
+                    fits = n_words == size if whole else n_words >= size
                     count = np.where(fits, n_words - size + 1, 0)
                     row = np.repeat(np.arange(hi - lo), count)
                     pos = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
                     at = first[:-1][row] + pos
-                    for plain, hashes, slots_before in kinds:
+                    for plain, hashes, slots_before in kinds if size >= MIN_WORDS else kinds[1:]:
                         good = 2 * (slots_before[at + size] - slots_before[at]) <= size
                         total = np.bincount(row[good], minlength=hi - lo)
                         h = hashes.of(at, at + size)
@@ -154,23 +163,55 @@ def bit_map(hashes: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id_cols: list[str], text_col: str = "text", window: int = WINDOW, coverage: float = COVERAGE, run_words: int = RUN) -> DataFrame:
+def _longest(places: Column) -> Column:
+    """Length of the longest run of consecutive places."""
+    starts = F.transform(F.array_sort(places), lambda x, i: x - i)  # equal within a run
+    return F.array_max(F.transform(F.array_distinct(starts), lambda r: F.size(F.filter(starts, lambda y: y == r))))
+
+
+def _with(left: DataFrame, right: DataFrame, keys: list[str], extra: list[str], how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` on ``keys``, null equal to null; of ``right`` only ``extra`` is kept."""
+    named = right.select(*[F.col(c).alias(f"{c}_right") for c in keys], *extra)
+    joined = left.join(named, reduce(and_, [F.col(c).eqNullSafe(F.col(f"{c}_right")) for c in keys]), how)
+    return joined.select(*left.columns, *extra)
+
+
+def benchmark_windows(benchmark: DataFrame, window: int, coverage: float, run_words: int, few: int) -> tuple[DataFrame, DataFrame]:
+    """The windows of all items, with ``anchor`` (whether the window pairs documents with the item), and the common ones (h, size, plain)."""
+    kind, owner = ["h", "size", "plain"], ["item_id", "total", "size", "plain"]
+    item = saved(windows(benchmark.select("item_id", "text"), ["item_id"], "text", list(range(1, window + 1))), "items")
+    held = item.select("item_id", "total", *kind).distinct().groupBy(*kind).agg(F.count(F.lit(1)).alias("items"))
+    common = saved(held.where(F.col("items") > few).select(*kind), "common")
+    tagged = item.join(common.withColumn("common", F.lit(True)), kind, "left").withColumn("common", F.coalesce("common", F.lit(False)))
+    places = tagged.where("common").groupBy(*owner).agg(F.collect_set("pos").alias("places"))
+    enough = (F.size("places") >= coverage * F.col("total")) | (_longest(F.col("places")) + F.col("size") - 1 >= run_words)
+    tagged = _with(tagged, places.where(enough).withColumn("alone", F.lit(True)), owner, ["alone"], "left")
+    tagged = tagged.withColumn("anchor", ~F.col("common") | F.coalesce("alone", F.lit(False))).drop("common", "alone")
+    return saved(tagged, "anchors"), common
+
+
+def find_leaks(
+    docs: DataFrame, benchmark: DataFrame, id_cols: list[str], text_col: str = "text", window: int = WINDOW, coverage: float = COVERAGE, run_words: int = RUN, few: int = FEW
+) -> DataFrame:
     """Id columns, item_id, coverage, run (longest aligned match in words), exact (no slot of the windows that found it differs): a row per leaked item.
 
     Where both kinds of windows find an item, coverage and run are the larger ones.
     """
-    item = saved(windows(benchmark.select("item_id", "text"), ["item_id"], "text", list(range(MIN_WORDS, window + 1))), "items")
+    item, common = benchmark_windows(benchmark, window, coverage, run_words, few)
     sizes = sorted(r["size"] for r in item.select("size").distinct().collect())  # at most ``window`` rows
-    found = windows(docs, id_cols, text_col, sizes, bit_map(item))
-    right = item.select("h", "size", "plain", "item_id", F.col("pos").alias("item_pos"), F.col("total").alias("item_total"), F.col("slots").alias("item_slots"))
-    meets = found.drop("total").join(right, ["h", "size", "plain"]).withColumn("shift", F.col("pos") - F.col("item_pos"))
+    found = saved(windows(docs, id_cols, text_col, sizes, bit_map(item)).drop("total"), "found")
+    kind = ["h", "size", "plain"]
+    right = item.select(*kind, "item_id", F.col("pos").alias("item_pos"), F.col("total").alias("item_total"), F.col("slots").alias("item_slots"), "anchor")
     key = [*id_cols, "item_id", "item_total", "size", "plain"]
-    pairs = F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))
-    aligned = meets.groupBy(*key, "shift").agg(F.collect_set("item_pos").alias("seen"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
+    meets = found.join(right.where("anchor").drop("anchor"), kind)
+    pairs = saved(meets.select(*key).distinct(), "pairs")
+    shared = _with(found.join(common, kind, "left_semi"), pairs, [*id_cols, "size", "plain"], ["item_id", "item_total"])
+    also = _with(shared, right.where("not anchor"), [*kind, "item_id", "item_total"], ["item_pos", "item_slots"])
+    meets = meets.unionByName(also).withColumn("shift", F.col("pos") - F.col("item_pos"))
+    slots = F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))
+    aligned = meets.groupBy(*key, "shift").agg(F.collect_set("item_pos").alias("seen"), F.array_distinct(F.flatten(F.collect_set(slots))).alias("pairs"))
     one_to_one = [F.size(F.array_distinct(F.col("pairs")[c])) == F.size("pairs") for c in ("a", "b")]
-    starts = F.transform(F.array_sort("seen"), lambda x, i: x - i)  # equal within a run of consecutive positions
-    longest = F.array_max(F.transform(F.array_distinct(starts), lambda r: F.size(F.filter(starts, lambda y: y == r))))
-    aligned = aligned.where(one_to_one[0] & one_to_one[1]).withColumn("run", longest + F.col("size") - 1)
+    aligned = aligned.where(one_to_one[0] & one_to_one[1]).withColumn("run", _longest(F.col("seen")) + F.col("size") - 1)
     aligned = aligned.withColumn("exact", F.forall("pairs", lambda p: p["a"] == p["b"]))
     leaks = aligned.groupBy(*key).agg(F.size(F.array_distinct(F.flatten(F.collect_set("seen")))).alias("n"), F.max("run").alias("run"), F.bool_and("exact").alias("exact"))
     leaks = leaks.withColumn("coverage", F.col("n") / F.col("item_total"))
