@@ -442,6 +442,43 @@ def test_text_of_controls_and_drawings():
     assert html_text.page_text(page).split() == ["a", "b", "&", "<i>c", "d", "e", "f", "g", "h"]
 
 
+def test_spans_of_cells():
+    def lines(page):
+        return html_text.page_text(page).split("\n")
+
+    assert lines("<table><tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e<tr><td>f<td>g</table>") == ["a  b  c", "   d  e", "f  g"]
+    assert lines("<table><tr><td>a<td rowspan=3>b<td>c<tr><td>d<td>e<tr><td>f<td rowspan=2>g<tr><td>h<td>i</table>") == ["a  b  c", "d     e", "f     g", "h  i"]
+    assert lines("<table><tr><td colspan=2 rowspan=2>a<td>b<tr><td>c</table>") == ["a    b", "     c"]
+    # a span ends with its section; 0 goes on to that end
+    assert lines("<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d<tbody><tr><td>e<td>f</table>") == ["a  b", "   c", "   d", "e  f"]
+    assert lines("<table><tr><td rowspan=9>a<td>b<tr><tr><td>c</table>") == ["a  b", "   c"]
+
+
+def test_visibility_is_inherited():
+    hidden, back = "style='visibility:hidden'", "style='visibility: visible'"
+
+    def words(page):
+        return html_text.page_text(page).split()
+
+    assert words(f"a<div {hidden}>b<p {back}>c<i {hidden}>d</i></p>e</div>f") == ["a", "c", "f"]
+    assert words(f"<table {hidden}><caption>x</caption><tr><td>a<td {back}>b<tr {back}><td>c</table>") == ["b", "c"]
+    assert words(f"<table><tbody {hidden}>x<tr><td>a<tr {back}><td>b</table>") == ["b"]
+    assert html_text.page_text(f"<ol><li>a<li {hidden}>b<li>c</ol>").split("\n") == ["1. a", "3. c"]
+    assert words(f"<div style='display:none'><p {back}>x</div>y<p style='content-visibility:hidden'>z") == ["y"]
+
+
+def test_controls_dialogs_and_old_elements():
+    assert html_text.page_text("x<button>btn</button>y") == "x btn y"
+    assert html_text.page_text("a<dialog>no</dialog><dialog open>yes</dialog>b").split() == ["a", "yes", "b"]
+    assert html_text.page_text("a<noframes><p>no</noframes><noembed>no</noembed>b") == "ab"
+    assert html_text.page_text("a<plaintext>b <b>c</b>\n</plaintext>  d").split("\n") == ["a", "", "b <b>c</b>", "</plaintext>  d"]
+
+
+def test_pages_with_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "<p>a", "x", 5, "y"), (2, None, "x", 6, None)], "page_id long, html string, text string, id int, url string")
+    assert [tuple(r) for r in html_text.extract(pages).orderBy("page_id").collect()] == [(1, "a"), (2, "")]
+
+
 class Plain(HTMLParser):
     def __init__(self):
         super().__init__()

@@ -2,7 +2,8 @@
 
 Layout: blocks start on a line of their own; paragraphs, headings, lists and tables stand between blank lines; white space is
 collapsed except in ``pre``; list items get bullets or numbers and are indented by depth; the cells of a table's column start
-at the same place. Everything visible is emitted; a browser's unrendered elements and elements hidden by attribute or inline style are not.
+at the same place, row spans and column spans counted. Everything visible is emitted; a browser's unrendered elements, closed dialogs and elements
+hidden by attribute or inline style are not. ``visibility`` is inherited: a visible child of a hidden parent is shown.
 Text areas stand on lines of their own, as written; the options of a select and the texts of a drawing are words apart. What stands
 loose in a table or its sections comes before the rows; wrappers of rows (such as ``form``) are walked through.
 
@@ -24,14 +25,15 @@ DEPTH, GAP = 120, "  "
 
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp".split())
-UNSEEN = frozenset("head script style template noscript title meta link iframe object audio video canvas datalist".split())
+RAW = frozenset("script style textarea title xmp noframes noembed".split())
+UNSEEN = frozenset("head script style template noscript noframes noembed title meta link iframe object audio video canvas datalist".split())
 #: Inside svg only: definitions and descriptions, which are not drawn where they stand.
 UNDRAWN = frozenset("defs desc metadata symbol clippath mask pattern marker".split())
 #: Inline, but their text never joins the words beside it.
-APART = frozenset("td th select optgroup option svg text".split())
-SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure".split())
-BLOCKS = SPACED | frozenset("html body div section article aside nav header footer main address form fieldset legend details summary figcaption li dt dd caption tr hr center menu dir".split())
+APART = frozenset("td th select optgroup option svg text button".split())
+AS_WRITTEN = frozenset("pre textarea xmp listing plaintext".split())
+SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre xmp listing plaintext blockquote figure".split())
+BLOCKS = SPACED | frozenset("html body div section article aside nav header footer main address form fieldset legend details summary figcaption li dt dd caption tr hr center menu dir dialog".split())
 #: Start tag -> open elements it ends, and the elements that stop the search for them.
 IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
@@ -43,7 +45,8 @@ SCOPE = frozenset("table td th caption html body button".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"']|[\"'])*?)(/?)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_GONE = re.compile(r"display\s*:\s*none|content-visibility\s*:\s*hidden", re.I)
+_VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*(visible|initial|hidden|collapse)", re.I)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -53,9 +56,15 @@ class Element:
     def __init__(self, tag: str, attributes: dict[str, str]):
         self.tag, self.attributes, self.children = tag, attributes, []
 
-    def visible(self) -> bool:
+    def gone(self) -> bool:
+        """Whether the element takes no part in the layout, its children included."""
         a = self.attributes
-        return not (self.tag in UNSEEN or "hidden" in a or _HIDDEN.search(a.get("style", "")) or self.tag == "input")
+        return self.tag in UNSEEN or "hidden" in a or self.tag == "input" or self.tag == "dialog" and "open" not in a or bool(_GONE.search(a.get("style", "")))
+
+    def shown(self, parent: bool) -> bool:
+        """Whether the element's own text is painted, where its parent's is or is not."""
+        said = _VISIBILITY.findall(self.attributes.get("style", ""))
+        return said[-1].lower() in ("visible", "initial") if said else parent
 
     def whole(self, name: str, default: int) -> int:
         value = self.attributes.get(name, "").strip()
@@ -115,7 +124,10 @@ def build(page: str) -> Element:
             attributes["hidden"] = ""
         element = Element(tag, attributes)
         stack[-1].children.append(element)
-        if tag in RAW and not (drawn and found[4]):
+        if tag == "plaintext":  # nothing ends it
+            element.children.append(page[at:])
+            at = len(page)
+        elif tag in RAW and not (drawn and found[4]):
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             raw = page[at : end.start()] if end else page[at:]
             element.children.append(unescape(raw).removeprefix("\n") if tag == "textarea" else raw)
@@ -185,51 +197,79 @@ def _has_row(node: Element) -> bool:
         at = todo.pop()
         if at.tag == "tr":
             return True
-        todo.extend(c for c in at.children if isinstance(c, Element) and c.tag not in ("table", "td", "th") and c.visible())
+        todo.extend(c for c in at.children if isinstance(c, Element) and c.tag not in ("table", "td", "th") and not c.gone())
     return False
 
 
-def _parts(table: Element) -> tuple[list[Element | str], list[Element]]:
+#: Something in a table, whether its parent is shown, and the section it lies in.
+Part = tuple[Element | str, bool, Element]
+
+
+def _parts(table: Element, shown: bool) -> tuple[list[Part], list[Part]]:
     """What stands loose in a table, its sections and wrappers around its rows (such as ``form``), and the rows, in order."""
-    loose: list[Element | str] = []
-    rows: list[Element] = []
-    todo: list[Element | str] = table.children[::-1]
+    loose: list[Part] = []
+    rows: list[Part] = []
+    todo: list[Part] = [(c, shown, table) for c in reversed(table.children)]
     while todo:
-        child = todo.pop()
+        child, seen, section = todo.pop()
         if isinstance(child, str):
-            loose.append(child)
-        elif child.tag == "col" or not child.visible():
+            loose.append((child, seen, section))
+        elif child.tag == "col" or child.gone():
             continue
         elif child.tag == "tr":
-            rows.append(child)
+            rows.append((child, seen, section))
         elif child.tag in ("tbody", "thead", "tfoot", "colgroup") or child.tag not in ("table", "td", "th", "caption") and _has_row(child):
-            todo.extend(child.children[::-1])
+            inner = child if child.tag in ("tbody", "thead", "tfoot") else section
+            todo.extend((c, child.shown(seen), inner) for c in reversed(child.children))
         else:
-            loose.append(child)
+            loose.append((child, seen, section))
     return loose, rows
 
 
-def _cells(row: Element) -> list[str]:
-    out: list[str] = []
+def _cells(row: Element, shown: bool) -> Iterator[tuple[str, int, int]]:
+    """The cells of a row: text, columns, rows (0: to the end of the section)."""
     for cell in row.children:
-        if isinstance(cell, Element) and cell.visible():
+        if isinstance(cell, Element) and not cell.gone():
             inner = Writer()
             for child in cell.children if cell.tag in ("td", "th") else [cell]:
-                render(child, inner)
+                render(child, inner, shown=cell.shown(shown))
             inner.end()
-            out.append(" ".join(x.strip() for x in inner.lines if x.strip()))
-            out.extend([""] * (min(cell.whole("colspan", 1), 1000) - 1))
-        elif isinstance(cell, str) and cell.strip():
-            out.append(" ".join(cell.split()))
+            yield " ".join(x.strip() for x in inner.lines if x.strip()), max(1, min(cell.whole("colspan", 1), 1000)), max(0, min(cell.whole("rowspan", 1), 65534))
+        elif isinstance(cell, str) and cell.strip() and shown:
+            yield " ".join(cell.split()), 1, 1
+
+
+def _grid(rows: list[Part]) -> list[list[str]]:
+    """Rows of cells by column; places that a cell from above or from the left fills are empty."""
+    out: list[list[str]] = []
+    taken: dict[int, int] = {}  # column -> rows that a cell from above still fills
+    last = None
+    for row, shown, section in rows:
+        if section is not last:
+            taken, last = {}, section
+        line: list[str] = []
+        begun: dict[int, int] = {}
+        for text, across, down in _cells(row, row.shown(shown)):
+            while len(line) in taken:
+                line.append("")
+            if down != 1:
+                begun.update(dict.fromkeys(range(len(line), len(line) + across), down - 1 if down else 1 << 20))
+            line += [text] + [""] * (across - 1)
+        taken = {c: n - 1 for c, n in taken.items() if n > 1} | begun
+        if line:
+            out.append(line)
     return out
 
 
-def render(node: Element | str, out: Writer, pre: bool = False, number: list[int] | None = None) -> None:
+def render(node: Element | str, out: Writer, pre: bool = False, number: list[int] | None = None, shown: bool = True) -> None:
+    """Write ``node``; ``shown``: whether its parent's text is painted."""
     if isinstance(node, str):
-        out.text(node, pre)
+        if shown:
+            out.text(node, pre)
         return
-    if not node.visible():
+    if node.gone():
         return
+    shown = node.shown(shown)
     tag = node.tag
     if tag == "br":
         out.end(not out.line and bool(out.lines) and not out.blank)
@@ -253,21 +293,23 @@ def render(node: Element | str, out: Writer, pre: bool = False, number: list[int
         else:
             out.mark = "- "
         out.indent += max(2, len(out.mark))
+        if not shown:
+            out.mark = ""
     elif tag in ("dd", "blockquote"):
         out.indent += 2
     if tag == "table":
-        loose, rows = _parts(node)
-        for child in loose:
-            render(child, out, pre)
+        loose, rows = _parts(node, shown)
+        for child, seen, _ in loose:
+            render(child, out, pre, shown=seen)
             if isinstance(child, Element):
                 out.end()
-        rows = [cells for cells in map(_cells, rows) if cells]
+        grid = _grid(rows)
         out.end()
-        if rows:
-            out.rows(rows)
+        if grid:
+            out.rows(grid)
     else:
         for child in node.children:
-            render(child, out, pre or tag in ("pre", "textarea"), counter if counter is not None else number if tag != "li" else None)
+            render(child, out, pre or tag in AS_WRITTEN, counter if counter is not None else number if tag != "li" else None, shown)
     if tag in APART:
         out.text(" ", False)
     if block:
