@@ -137,6 +137,17 @@ def test_suffix_made_passages(spark):
     assert {g[0] for g in got} >= {0, 1, 2, 3, 4, 5, 41, 42, 43, 44} and not {g[0] for g in got} & {20, 21, 22, 23, 40}
 
 
+def test_copies_are_cut_once(spark, monkeypatch):
+    """A text that a third of all rows have gives its suffixes once, and its spans to every row."""
+    hot, other = prose(900, 120), prose(901, 60) + " " + " ".join(prose(900, 120).split()[20:80])
+    texts = [hot] * 30 + [other] + [prose(910 + i, 100) for i in range(20)]
+    cut = {}
+    monkeypatch.setattr(suffix_dedup, "suffixes", lambda docs, passage, real=suffix_dedup.suffixes: cut.setdefault("rows", docs) and real(docs, passage))
+    got = suffix_dedup.repeated_spans(frame(spark, enumerate(texts)).repartition(7)).collect()
+    assert cut["rows"].count() == 22 and cut["rows"].select("doc").distinct().count() == 22
+    assert sorted(tuple(r) for r in got) == sorted(spans_of(list(enumerate(texts))))
+
+
 # ---- op6
 
 def naive_best_fit(lengths, capacities, default):

@@ -4,16 +4,16 @@ Suffixes are kept at minimiser positions only: of each run of ``SPAN`` word ``GR
 ``PASSAGE`` words holds such a run at its beginning, and the choice depends on its words alone, so every two copies of a
 passage keep a suffix at the same place, with at least ``PASSAGE - SPAN + 1`` words of the passage to its right.
 
-1. Suffixes are put in an order by their first ``PASSAGE - SPAN + 1`` words (their hash: equal beginnings become neighbours, any
-   total order will do). Neighbours of different documents are candidates; all others go.
+1. Suffixes are grouped by the hash of their first ``PASSAGE - SPAN + 1`` words, the only part that has to be equal; their order by letters
+   is never needed. Suffixes that another document has too are candidates; all others go.
 2. Candidates are extended left and right: to each window of ``PASSAGE`` words whose minimiser they are.
-3. Windows are put in order the same way; those with a neighbour from another document are repeats. The repeats of a
+3. Windows are grouped by hash the same way; those that another document has too are repeats. The repeats of a
    document, overlapping or touching, make up its spans.
 
 The result is exact: a word is in a span if and only if a window of ``PASSAGE`` words around it also occurs in another document
 (up to collisions of 64-bit hashes). Counts are pre-aggregated and joins can be split, so a passage of any number of documents is safe.
 
-Texts that several documents have are searched once; a passage-long text of two ids (null counts as one) is a span as a whole.
+Of equal texts only one row is cut and moved (found by the Bloom passes of exact dedup, so other texts stay where they are); a passage-long text of two ids (null counts as one) is a span as a whole.
 
 Defined cases: null and short texts have no span; rows that share doc_id and text are one document, and each such row gets its spans; an empty table gives an empty result; extra columns are not read.
 """
@@ -28,6 +28,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F
 
 from tidewell.llm.common import _FOLD, _WORD, SpanHash, byte_hash, saved, text_slices, word_spans
+from tidewell.llm.exact_dedup import drop_copies
 
 PASSAGE, SPAN, GRAM = 50, 32, 8
 
@@ -120,16 +121,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError(f"passages of fewer than {SPAN + GRAM} words may hold no whole run of minimisers")
     text = F.coalesce(F.col(text_col), F.lit(""))
     named = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text, F.lit(1)).alias("doc"), text.alias("text"))
-    kept = saved(suffixes(named.select("doc", "text").where(F.length("text") >= 2 * passage - 1), passage), "suffixes")
     # each text once: its copies repeat as a whole and need no windows
+    once = drop_copies(named.select("doc", "text").where(F.length("text") >= 2 * passage - 1), "doc")
+    kept = saved(suffixes(once, passage), "suffixes")
     some, none = F.bool_or(F.col("doc_id").isNotNull()), F.bool_or(F.col("doc_id").isNull())
     copied = (F.min("doc_id") < F.max("doc_id")) | (some & none)
     texts = named.select("doc", "doc_id").groupBy("doc").agg(F.min("doc_id").alias("least_id"), F.coalesce(copied, F.lit(False)).alias("copied"))
-    sizes = kept.where("suffix IS NULL").select("doc", F.col("at").alias("size")).distinct()
+    sizes = kept.where("suffix IS NULL").select("doc", F.col("at").alias("size"))
     texts = saved(texts.join(sizes, "doc"), "texts")
     kept = kept.where("suffix IS NOT NULL")
     candidates = kept.join(_shared(kept, "suffix"), "suffix", "left_semi").groupBy("doc").agg(F.collect_set("at").alias("ats"))
-    near = saved(windows(named.select("doc", "text").join(candidates, "doc").dropDuplicates(["doc"]), passage), "windows")
+    near = saved(windows(once.join(candidates, "doc"), passage), "windows")
     repeats = saved(near.join(_shared(near, "window"), "window", "left_semi"), "repeats")
     firsts = saved(repeats.join(texts.select("doc", "least_id"), "doc").groupBy("window").agg(F.min("least_id").alias("first_doc_id")), "firsts")
     placed = repeats.join(firsts, "window").groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("begin", "first_doc_id"))).alias("found"))
