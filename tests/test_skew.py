@@ -90,6 +90,28 @@ def test_split_score_with_hot_groups(spark):
     assert best(spark, rows, 3, expr, hot_size=10, split_at=9) == brute(rows, 3, both)
 
 
+def test_only_partners_that_may_be_best_leave_their_task(spark, monkeypatch):
+    """Small groups: no pair is shuffled as a row, whatever the size of the chunks, of the buffer and of an item."""
+    rows, passed, real = members(8), [], skew._shared_light
+    monkeypatch.setattr(skew, "_shared_light", lambda light, how: passed.append(real(light, how)) or passed[-1])
+    want = {u: brute(rows, 2, lambda s, a, b: s / math.sqrt(a * b), upper=u) for u in (False, True)}
+    pairs = len(brute(rows, 10**6, lambda s, a, b: s))
+    for item_groups, counted, salt in ((10**6, 50, 256), (3, 10**6, 5), (10**6, 10**6, 256)):
+        monkeypatch.setattr(skew, "ITEM_GROUPS", item_groups)
+        monkeypatch.setattr(skew, "COUNTED", counted)
+        for upper in (False, True):
+            assert best(spark, rows, 2, cos(), hot_size=10**6, salt_size=salt, upper=upper) == want[upper]
+    assert passed[-2].count() < pairs / 2 and passed[0].count() == passed[-2].count()
+
+
+def test_many_groups_hardly_larger_than_the_hot_size_are_listed(spark):
+    """Bit sets of 300 groups that share no item would be compared 300 times 3,600 times 3,600."""
+    rows = [(g, 12 * g + i) for g in range(300) for i in range(12)] + [(1000, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "grp long, item long")
+    hot = {r.grp for r in skew._hot_groups(df, 10).collect()}
+    assert 1000 in hot and len(hot) < 100
+
+
 def test_shared_counts_salted(spark):
     rows = members(6)
     df = spark.createDataFrame(rows, "grp long, item long")

@@ -10,8 +10,11 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewell.session import cut_lineage, written
@@ -174,21 +177,151 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     return out.drop("_all") if own_key else out
 
 
-def _shared_light(light: DataFrame, salt_size: int) -> DataFrame:
-    """(item_a < item_b, shared) over the groups that are not hot; large groups are salted."""
-    sized = with_key_count(light, ["grp"], "_n").withColumn("_s", F.ceil(F.col("_n") / salt_size).cast("int"))
+def shared_counts(members: DataFrame, salt_size: int = 256) -> DataFrame:
+    """All item pairs ``item_a < item_b`` with the number of groups they share.
+
+    The pairs are the result itself; large groups are salted so no task owns one of them.
+    """
+    sized = with_key_count(members.select("grp", "item").dropDuplicates(), ["grp"], "_n").withColumn("_s", F.ceil(F.col("_n") / salt_size).cast("int"))
     left = sized.select("grp", F.col("item").alias("item_a"), F.pmod(F.xxhash64("item"), "_s").cast("int").alias("salt"))
     right = sized.select("grp", F.col("item").alias("item_b"), F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("salt"))
     pairs = left.join(right, ["grp", "salt"]).where("item_a < item_b")
     return pairs.groupBy("item_a", "item_b").agg(F.count("*").alias("shared"))
 
 
-def shared_counts(members: DataFrame, salt_size: int = 256) -> DataFrame:
-    """All item pairs ``item_a < item_b`` with the number of groups they share.
+#: Groups of an item beyond which its partners are counted in several tasks, listed partners that a task counts at once and in all.
+ITEM_GROUPS, COUNTED, TASK_PAIRS = 100_000, 2_000_000, 16_000_000
 
-    The pairs are the result itself; large groups are salted so no task owns one of them.
+#: Most groups that are weighed as hot ones.
+MOST_HOT = 65_536
+
+
+@dataclass
+class Listing:
+    """How the pairs of the groups that are not hot are listed.
+
+    ``numbers``: item, its number ``i`` along the order that breaks ties of ``shared``, its number of groups ``n``, and whether ``whole``
+    lists are wanted. ``split``: partners from this number on are a list of their own.
+    """
+
+    numbers: DataFrame
+    k: int
+    upper: bool
+    salt_size: int
+    split: int = 0
+
+
+def _shared_light(light: DataFrame, how: Listing) -> DataFrame:
+    """(i, j, shared) of items by number over the groups that are not hot: the partners j that may be among the ``k`` best of i.
+
+    Every item gets the packed members of its groups (4 bytes a partner), counts them in its task and lets only those go that fewer than
+    ``k`` partners beat in both overlap and order. So no pair is shuffled as a row. Groups are cut into chunks of about ``salt_size`` members; an
+    item of very many groups is counted in several tasks, whose sums are added before the cut.
+    """
+    sized = with_key_count(light, ["grp"], "_n")
+    salt = F.pmod(F.xxhash64("item"), F.ceil(F.col("_n") / how.salt_size)).cast("int").alias("salt")
+    named = sized.join(how.numbers, "item").select("grp", salt, F.struct("item", "i", "n", "whole").alias("x"))
+    chunks = written(named.groupBy("grp", "salt").agg(F.collect_list("x").alias("x")), "chunks")
+    listed = chunks.groupBy("grp").agg(F.sum(F.size("x")).cast("double").alias("n")).agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0.0
+    parts = max(int(light.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(listed // TASK_PAIRS) + 1)
+    there = chunks.select("grp", F.col("x").alias("y") if how.upper else F.transform("x", lambda y: y.i).alias("y"))
+    met = chunks.select("grp", "x").join(there, "grp").select("grp", F.explode("x").alias("x"), "y")
+    others = F.transform(F.filter("y", lambda y: y["item"] > F.col("x.item")), lambda y: y.i) if how.upper else F.col("y")
+    cut = F.pmod(F.xxhash64("grp"), F.ceil(F.col("x.n") / ITEM_GROUPS)).cast("int").alias("cut")
+    met = met.select(F.col("x.i").alias("i"), cut, (F.col("x.whole") | (F.col("x.n") > ITEM_GROUPS)).alias("whole"), others.alias("j"))
+    streamed = met.repartition(parts, "i", "cut").sortWithinPartitions("i", "cut")
+    k, split = how.k, how.split
+
+    def run(batches):
+        yield from _counted(batches, lambda i, j, shared: may_be_best(i, j, shared, k, split))
+
+    found = streamed.mapInArrow(run, "i int, j int, shared bigint")
+    if how.numbers.where(F.col("n") > ITEM_GROUPS).isEmpty():
+        return found
+    return found.groupBy("i", "j").agg(F.sum("shared").alias("shared"))
+
+
+def _counted(batches, best):
+    """Batches of (i, j, shared) from batches of (i, cut, whole, list of j) in order of i and cut; ``best`` marks the rows that go on."""
+    held, rows, size = None, [], 0
+
+    def counted(last: bool):
+        nonlocal held, rows, size
+        i, cut, whole, lens, flat = (np.concatenate(x) for x in zip(*rows))
+        new = np.append(True, (i[1:] != i[:-1]) | (cut[1:] != cut[:-1]))
+        first = np.flatnonzero(new)  # the lists of one item, and of one cut of it, are a group
+        if held and held[0] != (i[0], cut[0]):
+            raise ValueError("the rows are not in order")
+        keys, shared = np.unique(np.repeat(np.cumsum(new) - 1, lens) << 31 | flat, return_counts=True)
+        if held:
+            keys, at = np.unique(np.append(held[1], keys), return_inverse=True)
+            shared = np.bincount(at, np.append(held[2], shared), len(keys)).astype(np.int64)
+        group, j = keys >> 31, keys & 0x7FFFFFFF
+        done = np.ones(len(keys), bool) if last else group < len(first) - 1
+        held = None if last else ((i[-1], cut[-1]), j[~done], shared[~done])
+        tail = None if last else tuple(x[-1:] for x in (i, cut, whole)) + (np.zeros(1, np.int64), np.empty(0, np.int64))
+        rows, size = ([] if last else [tail]), 0
+        i, j, shared, whole = i[first][group[done]], j[done], shared[done], whole[first][group[done]]
+        go = whole | best(i, j, shared)
+        return pa.RecordBatch.from_arrays([pa.array(i[go].astype(np.int32)), pa.array(j[go].astype(np.int32)), pa.array(shared[go])], names=["i", "j", "shared"])
+
+    for batch in batches:
+        i, cut, whole, lists = (batch.column(n) for n in ("i", "cut", "whole", "j"))
+        i, cut, whole = i.to_numpy(), cut.to_numpy(), whole.to_numpy(zero_copy_only=False)
+        lens, flat = np.diff(lists.offsets.to_numpy()).astype(np.int64), lists.flatten().to_numpy().astype(np.int64)
+        other = flat != np.repeat(i, lens)
+        lens = np.bincount(np.repeat(np.arange(len(i)), lens)[other], minlength=len(i))
+        if len(i):
+            rows.append((i, cut, whole, lens, flat[other]))
+            size += len(flat)
+        if size >= COUNTED:
+            yield counted(False)
+    if rows:
+        yield counted(True)
+
+
+#: Values of the overlap that are told apart where a task leaves out partners.
+LEVELS = 24
+
+
+def may_be_best(i: np.ndarray, j: np.ndarray, shared: np.ndarray, k: int, split: int = 0) -> np.ndarray:
+    """Which rows, in order of i and j, may be among the best ``k`` of their i: fewer than ``k`` smaller j have as much in common.
+
+    Partners from ``split`` on are a list of their own. Beyond ``LEVELS`` values of ``shared`` neighbouring ones count as one, which keeps some rows more.
+    """
+    keep = np.zeros(len(i), bool)
+    if not len(i):
+        return keep
+    big = j >= split
+    new = np.append(True, (i[1:] != i[:-1]) | (big[1:] != big[:-1]))
+    first, group = np.flatnonzero(new), np.cumsum(new) - 1
+    values = np.unique(shared)
+    for level in np.array_split(values, LEVELS) if len(values) > LEVELS else values[:, None]:
+        sure = shared >= level[-1]
+        ahead = np.cumsum(sure) - sure
+        keep |= (shared >= level[0]) & (shared <= level[-1]) & (ahead - ahead[first][group] < k)
+    return keep
+
+
+#: Pairs of a class, an item and a bit that are compared in the time of listing one pair.
+DENSE = 500
+
+
+def _hot_groups(members: DataFrame, hot_size: int) -> DataFrame:
+    """Groups of more than ``hot_size`` members, the largest first as long as comparing bit sets is less work than listing their pairs.
+
+    Bit sets take classes times items times groups; with very many groups, hardly larger than ``hot_size``, the later ones are listed.
     """
-    return _shared_light(members.select("grp", "item").dropDuplicates(), salt_size)
+    sizes = members.groupBy("grp").agg(F.count("*").alias("_n")).where((F.col("_n") > hot_size) & F.col("grp").isNotNull())
+    largest = [r[0] for r in sizes.orderBy(F.desc("_n")).limit(MOST_HOT).select("_n").collect()]
+    if not largest:
+        return sizes.select("grp")
+    n = np.array(largest, dtype=float)
+    items = float(members.agg(F.approx_count_distinct("item")).first()[0])
+    dense, listed = np.minimum(np.cumsum(n), items) ** 2 * np.arange(1, len(n) + 1), np.cumsum(n * n)
+    good = np.flatnonzero(dense <= DENSE * listed)
+    most = int(good[-1]) + 1 if len(good) else 1
+    return (sizes if most == len(n) < MOST_HOT else sizes.orderBy(F.desc("_n"), "grp").limit(most)).select("grp")
 
 
 def cooccurrence_candidates(
@@ -208,31 +341,41 @@ def cooccurrence_candidates(
     Holds for every score that never falls with ``shared`` and never rises with ``n_b``
     (ties by item id). ``members`` has columns ``grp, item``. ``tie='id'`` is for scores that ignore ``n_b``.
 
-    No group beyond ``hot_size`` members is expanded into pairs, whatever their number. Items of the same hot groups form a
+    Groups beyond ``hot_size`` members are hot as long as that is less work than listing their pairs (``_hot_groups``); no hot group is
+    expanded into pairs. Items of the same hot groups form a
     class; a class's hot groups are a bit set, and the overlap of two items in hot groups is that of their classes. Pairs that
     meet in hot groups only are found class against item, in blocks of bit sets (``_hot_pairs``), and all items of a class share the best
     partners found. Pairs that meet in a light group get the overlap of their classes added.
     """
     members = written(members.select("grp", "item").dropDuplicates(), "members")
-    hot = members.groupBy("grp").agg(F.count("*").alias("_n")).where(F.col("_n") > hot_size).select("grp")
+    hot = _hot_groups(members, hot_size)
     hot = written(dense_ids(hot, "grp", "bit").select("grp", (F.col("bit") - 1).cast("int").alias("bit")), "hot-groups")
     bits = hot.count()
-    counts = members.groupBy("item").agg(F.count("*").alias("n"))
+    counts = members.where("item is not null").groupBy("item").agg(F.count("*").alias("n"))
     light = members.join(hot, "grp", "left_anti") if bits else members
-    pairs = _shared_light(light, salt_size)
-    if not upper:
-        ends = F.array(F.struct("item_a", "item_b"), F.struct(F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b")))
-        pairs = pairs.select(F.explode(ends).alias("x"), "shared").select("x.*", "shared")
+    # numbers along the order that breaks ties of the overlap: a partner loses to an earlier one with as much in common
+    late = F.lit(0) if split_at is None else (F.col("n") >= split_at).cast("int")
+    numbers = numbered(counts, [late, *([F.col("n")] if tie == "size" else []), F.col("item")], "i")
+    numbers = numbers.select("item", F.col("i").cast("int").alias("i"), "n")
+    if bits:  # items in hot groups get their overlap there added, so all their partners are wanted
+        inside = members.join(hot, "grp").select("item").distinct().withColumn("whole", F.lit(True))
+        numbers = numbers.join(inside, "item", "left").withColumn("whole", F.coalesce("whole", F.lit(False)))
+    else:
+        numbers = numbers.withColumn("whole", F.lit(False))
+    numbers = written(numbers, "numbers")
+    split = 0 if split_at is None else numbers.where(F.col("n") < split_at).count() + 1
+    pairs = _shared_light(light, Listing(numbers, k, upper, salt_size, split))
+    for x, i in (("a", "i"), ("b", "j")):
+        pairs = pairs.join(numbers.select(F.col("i").alias(i), F.col("item").alias(f"item_{x}"), F.col("n").alias(f"n_{x}")), i).drop(i)
     if not bits:
-        a, b = (counts.select(F.col("item").alias(f"item_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
-        return pairs.join(a, "item_a").join(b, "item_b").select("item_a", "item_b", "shared", "n_a", "n_b")
+        return pairs.select("item_a", "item_b", "shared", "n_a", "n_b")
     sets = members.join(hot, "grp").groupBy("item").agg(F.array_sort(F.collect_list("bit")).alias("bits"))
     sets = counts.join(sets, "item", "left").withColumn("bits", F.coalesce("bits", F.array().cast("array<int>")))
     classes = written(dense_ids(sets.where(F.size("bits") > 0).select("bits").dropDuplicates(), "bits", "cls"), "classes").select("cls", "bits")
     stats = written(sets.join(classes, "bits", "left").select("item", "n", "bits", "cls"), "item-sets")
     a, b = (stats.toDF(f"item_{x}", f"n_{x}", f"bits_{x}", f"cls_{x}") for x in "ab")
     met = F.col("shared") + F.size(F.array_intersect("bits_a", "bits_b"))
-    out = pairs.join(a, "item_a").join(b, "item_b").select("item_a", "item_b", met.alias("shared"), "n_a", "n_b")
+    out = pairs.select("item_a", "item_b", "shared").join(a, "item_a").join(b, "item_b").select("item_a", "item_b", met.alias("shared"), "n_a", "n_b")
     sides = b.where(F.col("cls_b").isNotNull()).withColumn("big", F.lit(True) if split_at is None else F.col("n_b") >= split_at)
     order = [F.col("n_b"), F.col("item_b")] if tie == "size" else [F.col("item_b")]
     levels = F.sequence(F.lit(0), F.lit(int(stats.agg(F.max("item")).first()[0] or 0).bit_length())) if upper else F.array(F.lit(0))
