@@ -269,6 +269,37 @@ def test_needs_of_single_queries_and_zero_queries(spark):
     assert {f"v{i:03d}" for i in np.argsort(-u[:, 0])[:3]} <= got[1] and got[2] == {"v000", "v001", "v002", "v003"} and len(got[3]) == 120
 
 
+def test_approx_is_the_best_of_common_buckets_without_a_list_of_pairs(spark, monkeypatch):
+    from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((90, 5))
+    x[::9] = x[0]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "item_id long, features array<double>")
+    v = df.select(array_to_vector("features").alias("v"))
+    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=0.3, numHashTables=3, seed=42).fit(v)
+    h = [[d[0] for d in r.h] for r in model.transform(df.select("item_id", array_to_vector("features").alias("v"))).orderBy("item_id").collect()]
+    want = {}
+    for i in range(90):
+        near = [(-round(float(x[i] @ x[j]), 9), j) for j in range(90) if j != i and any(a == b for a, b in zip(h[i], h[j])) and np.linalg.norm(x[i] - x[j]) < 1.1]
+        if near:
+            want[i] = sorted(near)[:4]
+    monkeypatch.setattr(BucketedRandomProjectionLSHModel, "approxSimilarityJoin", None)
+    for block in (2048, 16):
+        monkeypatch.setattr(nn, "BLOCK", block)
+        assert _found(nn.nearest_approx(df.withColumnRenamed("item_id", "query_id"), df, 4, 1.1, bucket=0.3, tables=3)) == want
+
+
+def test_search_holds_few_rows_at_once(spark, monkeypatch):
+    """Rows of codes and products with the centres are cut; queries of neighbouring cells share a block."""
+    assert [len(p) for p in nn._slices([pd.DataFrame({"a": range(2 * nn.ROWS + 5)})])] == [nn.ROWS, nn.ROWS, 5]
+    centres = np.arange(40.0).reshape(-1, 1)[::-1]
+    group = nn._together(centres, {c: 10 for c in range(40)}, 100)
+    assert sorted(np.bincount(group).tolist()) == [10] * 4 and all(np.ptp(np.flatnonzero(group == g)) == 9 for g in range(4))
+
+
 def test_triangles_with_hub(spark):
     rng = np.random.default_rng(3)
     e = {(0, i) for i in range(1, 60)} | {tuple(sorted(map(int, rng.choice(60, 2, replace=False)))) for _ in range(200)}
