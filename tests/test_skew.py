@@ -364,3 +364,32 @@ def test_user_based_with_five_items_rated_by_everybody(spark, monkeypatch):
     got = {(r.user_id, r.item_id): round(r.score, 7) for r in scoring.rec_user_based(df, 4, hot_size=20).collect()}
     assert got == _plain_user_based(rows, 4) and len(got) > 200
     assert len(listed) == 1 and listed[0].where("item_id >= 100").count() == 0
+
+
+def test_search_returns_no_more_copies_than_a_query_needs(spark):
+    """Many rows are one vector: a query gets the members it can need, by id, and not all copies of all its heads."""
+    rows = [(i, [1.0, float(i % 4)]) for i in range(400)]
+    items = spark.createDataFrame(rows, "item_id long, features array<double>")
+    q = spark.createDataFrame([(0, [1.0, 0.0], 3), (1, [0.0, 1.0], 120)], "query_id long, features array<double>, need int")
+    got = {}
+    for r in nn.nearest(q, items, 3).collect():
+        got.setdefault(r.query_id, []).append(r.item_id)
+    assert sorted(got[0]) == [0, 4, 8]  # of 100 copies
+    want = sorted(range(400), key=lambda i: (-(i % 4) / (1 + (i % 4) ** 2) ** 0.5, i))[:120]
+    assert set(want) <= set(got[1]) and len(got[1]) < 200
+    twice = nn.nearest(q, items.union(items), 3).where("query_id = 0").distinct().count()
+    assert twice >= 3
+
+
+def test_cells_to_visit_are_bit_sets(spark):
+    """A query may visit every cell; its row stays small."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(300, 3))
+    q = spark.createDataFrame([(i, rng.normal(size=3).tolist(), 3, 1e9) for i in range(5)], "query_id long, vec array<double>, need long, reach double")
+    sizes = np.ones(300, dtype=np.int64)
+    rows = nn._visits(q, centres, np.zeros(300), sizes, second=True).collect()
+    assert [len(r.cells) for r in rows] == [5] * 5
+    for r in rows:
+        flags = [c for c in range(300) if r.cells[c >> 6] >> (c & 63) & 1]
+        away = np.linalg.norm(centres - np.array(r.vec), axis=1)
+        assert flags == sorted(set(range(300)) - set(np.argsort(away)[:3].tolist()))
