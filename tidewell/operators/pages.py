@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidewell.functions.html import Page
@@ -24,6 +24,25 @@ def _image(page: Page, selector: str | None, default: str) -> str:
     return default
 
 
+#: Pages of a batch that are read at once.
+PAGES = 64
+
+
+def _read(pages: DataFrame, columns: list[str], fn: Callable[..., list], fields: dict[str, str]) -> DataFrame:
+    """``page_id`` and the row that ``fn`` makes of the other columns of a page, a few pages at a time: a batch may hold 10,000 whole ones."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, PAGES):
+                part = batch.slice(at, PAGES)
+                rows = [fn(*x) for x in zip(*(part.column(c).to_pylist() for c in columns))]
+                values = [pa.array(x, pa.string() if kind == "string" else pa.list_(pa.string())) for kind, x in zip(fields.values(), zip(*rows))]
+                yield pa.RecordBatch.from_arrays([part.column("page_id"), *values], names=["page_id", *fields])
+
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in fields.items())
+    return pages.select(F.col("page_id").cast("long"), *columns).mapInArrow(run, f"page_id long, {schema}")
+
+
 def _raw(html: str, url: str, sel: dict[str, str], default_image: str, category_fn) -> dict[str, str]:
     page = Page(html, list(sel.values()))
 
@@ -61,12 +80,11 @@ def page_attributes(
         return _configured(pages, attribute_list)
     sel = dict(selectors or {})
 
-    def run(batches):
-        for pdf in batches:
-            rows = [_raw(h, u, sel, default_image, category_fn) for h, u in zip(pdf["html"], pdf["url"])]
-            yield pd.concat([pdf[["page_id", "url"]].reset_index(drop=True), pd.DataFrame(rows, columns=FIELDS)], axis=1)
+    def read(html, url):
+        row = _raw(html, url, sel, default_image, category_fn)
+        return [url, *(row[f] for f in FIELDS)]
 
-    raw = pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, url string, " + ", ".join(f"{f} string" for f in FIELDS))
+    raw = _read(pages, ["html", "url"], read, dict.fromkeys(["url", *FIELDS], "string"))
     out = raw.withColumn("domain", F.try_parse_url("url", F.lit("HOST"))).withColumn("published", publish_date("published"))
     missing = F.array_compact(F.array(*[F.when(F.coalesce(F.trim(F.col(r).cast("string")), F.lit("")) == "", F.lit(r)) for r in required]))
     return out.withColumn("missing", missing).withColumn("status", F.when(F.size("missing") == 0, SUCCEEDED).otherwise(FAILED))
@@ -86,15 +104,11 @@ def _configured(pages: DataFrame, attributes: list[dict]) -> DataFrame:
     names = [a["name"] for a in attributes]
     extract = {a["kind"]: EXTRACTORS[a["kind"]] for a in attributes}
 
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for h, u in zip(pdf["html"], pdf["url"]):
-                page = Page(h, [a.get("selector", "") for a in attributes])
-                rows.append([(extract[a["kind"]](page, a.get("selector", ""), a.get("arg"), u) or "").strip() for a in attributes])
-            yield pd.concat([pdf[["page_id"]].reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
-
-    raw = pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, " + ", ".join(f"`{n}` string" for n in names))
+    def read(html, url):
+        page = Page(html, [a.get("selector", "") for a in attributes])
+        return [(extract[a["kind"]](page, a.get("selector", ""), a.get("arg"), url) or "").strip() for a in attributes]
+
+    raw = _read(pages, ["html", "url"], read, dict.fromkeys(names, "string"))
     filled = raw.withColumns({a["name"]: F.when(F.col(a["name"]) == "", F.lit(a.get("default", ""))).otherwise(F.col(a["name"])) for a in attributes})
     needed = [F.when(F.col(a["name"]) == "", F.lit(a["name"])) for a in attributes if a.get("required")]
     missing = F.array_compact(F.array(*needed)) if needed else F.array().cast("array<string>")
@@ -105,16 +119,12 @@ def page_tags(pages: DataFrame, selector: str, title_selector: str = "title") ->
     """Distinct tags per page: the first element's comma-separated ``content``, else all elements' texts; plus adjacent
     tag pairs that occur as a phrase in the title."""
 
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for h in pdf["html"]:
-                page = Page(h, [selector, title_selector])
-                content = page.content(selector)
-                rows.append((page.content(title_selector) or page.text(title_selector), content.split(",") if content else page.all_texts(selector)))
-            yield pd.DataFrame({"page_id": pdf["page_id"].to_numpy(), "title": [r[0] for r in rows], "raw": [r[1] for r in rows]})
-
-    raw = pages.select("page_id", "html").mapInPandas(run, "page_id long, title string, raw array<string>")
+    def read(html):
+        page = Page(html, [selector, title_selector])
+        content = page.content(selector)
+        return [page.content(title_selector) or page.text(title_selector), content.split(",") if content else page.all_texts(selector)]
+
+    raw = _read(pages, ["html"], read, {"title": "string", "raw": "array<string>"})
     parts = raw.select("page_id", F.lower("title").alias("title"), F.transform("raw", lambda t: F.lower(F.trim(t))).alias("parts"))
     shifted = F.slice("parts", F.lit(2), F.greatest(F.size("parts") - 1, F.lit(0)))
     pairs = F.zip_with("parts", shifted, lambda a, b: F.when((a != "") & (b != ""), F.concat(a, F.lit(" "), b)))
