@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from tidewell.functions.scalars import BOOL_MAP, cyclic_date, ngrams
 from tidewell.operators.skew import dense_ids, numbered, with_pieces
+from tidewell.session import written
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -386,6 +387,7 @@ class TfidfFeatures(Transform):
         self.stop_words, self.ngram_range, self.target, self.top = list(stop_words), ngram_range, target, top
         self.idf: DataFrame | None = None
         self.selected: DataFrame | None = None
+        self._fitted: tuple[DataFrame, DataFrame] | None = None
 
     def _terms(self, df: DataFrame) -> DataFrame:
         kind = df.schema[self.col].dataType
@@ -398,7 +400,9 @@ class TfidfFeatures(Transform):
 
     def _packed(self, df: DataFrame) -> DataFrame:
         """One array of (term, weight) per row, scaled to length 1 inside the row."""
-        w = self._terms(df).join(self.idf, "term").select(self.key, "term", (F.col("tf") * F.col("idf")).alias("w"))
+        terms = self._fitted[1] if self._fitted and self._fitted[0] is df else self._terms(df)  # the texts of the fit are not read again
+        w = terms.join(self.idf, "term").select(self.key, "term", (F.col("tf") * F.col("idf")).alias("w"))
+        w = w.repartition(self.key)  # lists are built behind the shuffle only
         rows = w.groupBy(self.key).agg(F.sort_array(F.collect_list(F.struct("term", "w"))).alias("e"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("n"))
         return rows.select(self.key, F.transform("e", lambda x: F.struct(x.term.alias("term"), (x.w / F.col("n")).alias("w"))).alias("e"))
 
@@ -406,8 +410,9 @@ class TfidfFeatures(Transform):
         n = df.count()
         lo = self.min_df if isinstance(self.min_df, int) else self.min_df * n
         hi = self.max_df if isinstance(self.max_df, int) else self.max_df * n
-        df_ = self._terms(df).groupBy("term").agg(F.count("*").alias("df")).where(F.col("df").between(lo, hi))
-        self.idf = df_.select("term", (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+        self._fitted = df, written(self._terms(df), "tf")
+        df_ = self._fitted[1].groupBy("term").agg(F.count("*").alias("df")).where(F.col("df").between(lo, hi))
+        self.idf = written(df_.select("term", (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf")), "idf")
         if self.top is not None:
             weights = self._packed(df).select(self.key, F.explode("e").alias("x")).select(self.key, "x.term", "x.w")
             self.selected = chi_squared(weights, df.select(self.key, F.col(self.target).alias("target")), self.key)
@@ -427,7 +432,7 @@ def chi_squared(weights: DataFrame, targets: DataFrame, key: str) -> DataFrame:
     """Chi-squared of each term's weight sums per class against their expectation: ``term, chi2``."""
     n = targets.agg(F.count("*")).scalar()
     classes = targets.groupBy("target").agg((F.count("*") / n).alias("p"))
-    seen = weights.join(targets, key).groupBy("term", "target").agg(F.sum("w").alias("o"))
+    seen = written(weights.join(targets, key).groupBy("term", "target").agg(F.sum("w").alias("o")), "term-classes")  # read twice
     total = seen.groupBy("term").agg(F.sum("o").alias("t"))
     # classes a term never meets add their whole expectation t*p; together 1 minus the met shares
     parts = seen.join(total, "term").join(classes, "target").withColumn("e", F.col("t") * F.col("p"))
