@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewell.session import cut_lineage, written
 
-#: Rows of a key beyond which it is cut into pieces of about this size.
-PIECE_ROWS = 200_000
+#: Rows of a key beyond which it is cut into pieces of about this size, and rows of a task beyond which more tasks share the keys.
+PIECE_ROWS, TASK_ROWS = 200_000, 500_000
 
 
 def with_pieces(df: DataFrame, keys: list[str], order: list[str], out: str, piece_rows: int | None = None) -> DataFrame:
@@ -31,8 +31,12 @@ def with_pieces(df: DataFrame, keys: list[str], order: list[str], out: str, piec
     reader sees the same pieces. ``order`` should be unique inside a key, or its ties stay together.
     """
     rows = PIECE_ROWS if piece_rows is None else piece_rows
-    hot = cut_lineage(df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > rows))
-    total = hot.agg(F.sum("_n")).first()[0]
+    sizes = written(df.groupBy(*keys).agg(F.count("*").alias("_n")), "key-sizes")
+    hot = sizes.where(F.col("_n") > rows)
+    total, everything = sizes.agg(F.sum(F.when(F.col("_n") > rows, F.col("_n"))), F.sum("_n")).first()
+    parts = (everything or 0) // TASK_ROWS + 1
+    if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        df = df.repartition(parts, *keys)  # what a task sorts does not grow with the input
     if not total:
         return df.withColumn(out, F.lit(0))
     same = [F.col(f"l.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
