@@ -1,10 +1,11 @@
 """Steps whose rows, tasks or batches must not grow faster than the input: right results and the shape of the plan."""
 
 import math
+import random
 
 from pyspark.sql import functions as F
 
-from tidewell.operators import features as ft, models, pages, sets, skew, text
+from tidewell.operators import features as ft, models, pages, scoring, sets, skew, text
 
 
 def plan(df) -> str:
@@ -73,3 +74,19 @@ def test_tasks_of_ordered_state_are_bounded(spark, monkeypatch):
     assert cut.rdd.getNumPartitions() == 21
     out = skew.sessionise(rows, ["user_id"], "ts", ["ts", "event_id"], 30)
     assert out.groupBy("user_id").agg(F.max("session").alias("s")).agg(F.min("s"), F.max("s")).first() == (10, 10)
+
+
+def test_users_of_few_items_meet_in_blocks(spark, monkeypatch):
+    """Rows of ratings in products give what listed pairs of users give, with items and users without an id."""
+    rng = random.Random(3)
+    rows = [(u, i if i else None, float(rng.randint(1, 5))) for u in range(60) for i in range(12) if rng.random() < 0.5] + [(None, 3, 2.0), (99, 1, 2.0)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+
+    def got():
+        return sorted((r.user_id, -1 if r.item_id is None else r.item_id, round(r.score, 8)) for r in scoring.rec_user_based(df, 3).collect())
+
+    listed = got()
+    monkeypatch.setattr(scoring, "user_similarity", None)  # no pair is listed
+    monkeypatch.setattr(scoring, "LISTED", 0)
+    monkeypatch.setattr(scoring, "BLOCK_CLASSES", 16)
+    assert listed and got() == listed
