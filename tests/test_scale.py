@@ -90,3 +90,24 @@ def test_users_of_few_items_meet_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(scoring, "LISTED", 0)
     monkeypatch.setattr(scoring, "BLOCK_CLASSES", 16)
     assert listed and got() == listed
+
+
+def test_next_tokens_read_few_continuations_of_a_frequent_word(spark):
+    """A word with 400 continuations: only those that can be among the best are listed; the result is that of all."""
+    rng = random.Random(4)
+    texts = [["the", f"w{i}"] for i in range(400)] + [["a", "the", f"x{rng.randint(0, 6)}"] for _ in range(60)] + [["the", "x1"]] * 100 + [["the", "x2"]] * 90
+    model = text.ngram_model(spark.createDataFrame([(t,) for t in texts], "tokens array<string>"))
+    recent = spark.createDataFrame([(1, ["a", "the"]), (2, ["the"]), (None, ["b", "a"]), (3, ["x1"])], "user_id long, tokens array<string>")
+    rows = [(r.prefix, r.next, 10**r.logp) for r in model.collect() if r.next not in text.MARKS]
+    want = set()
+    for u, t in ((1, ["a", "the"]), (2, ["the"]), (None, ["b", "a"]), (3, ["x1"])):
+        asked = [" ".join(t[i : i + n]) for n in (1, 2, 3) for i in range(len(t) - n + 1)]
+        sums = {}
+        for p, n, v in rows:
+            sums[n] = sums.get(n, 0) + asked.count(p) * v
+        best = sorted(((-round(v, 10), n) for n, v in sums.items() if v > 0))[:3]
+        want |= {(u, n, round(-v, 7)) for v, n in best if n not in t}
+    assert {(r.user_id, r.item_id, round(r.score, 7)) for r in text.ngram_next(model, recent, 3).collect()} == want
+    asked = spark.createDataFrame([((1,), "the", 1), ((1,), "a", 1), ((1,), "a the", 1)], "u struct<user_id:long>, prefix string, times long")
+    known = spark.createDataFrame(rows, "prefix string, next string, p double")
+    assert text._may_be_next(asked, known, 3).count() < 20
