@@ -111,3 +111,17 @@ def test_next_tokens_read_few_continuations_of_a_frequent_word(spark):
     asked = spark.createDataFrame([((1,), "the", 1), ((1,), "a", 1), ((1,), "a the", 1)], "u struct<user_id:long>, prefix string, times long")
     known = spark.createDataFrame(rows, "prefix string, next string, p double")
     assert text._may_be_next(asked, known, 3).count() < 20
+
+
+def test_unseen_items_of_lists_make_no_pair_before_the_last_join(spark, monkeypatch):
+    monkeypatch.setattr(sets, "LIST_ITEMS", 3)
+    monkeypatch.setattr(sets, "LIST_USERS", 2)
+    users = [(u, u % 3) for u in range(12)] + [(0, 0), (0, 1), (None, 1), (3, None), (50, 9)]
+    items = [(i % 4, i) for i in range(40)] + [(0, 0), (0, 0), (2, 0), (1, None), (None, 5), (8, 8)]
+    saw = [(0, 0), (0, 0), (0, 4), (4, 1), (4, 5), (4, 2), (None, 1), (1, None), (77, 1), *[(6, i) for i in range(0, 40, 4)]]
+    recs, lists = spark.createDataFrame(users, "user_id long, list_id int"), spark.createDataFrame(items, "list_id int, item_id long")
+    out = sets.exclude_seen(recs, spark.createDataFrame(saw, "user_id long, item_id long"), lists)
+    expected = [(u, i) for u, x in users for y, i in items if x is not None and x == y and (None in (u, i) or (u, i) not in saw)]
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, expected))
+    p = physical(out)
+    assert "Generate explode" in p and "Exchange" not in p[: p.index("Join")]
