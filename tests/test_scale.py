@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidewell.operators import features as ft, models, pages, scoring, sets, skew, text
@@ -125,3 +126,38 @@ def test_unseen_items_of_lists_make_no_pair_before_the_last_join(spark, monkeypa
     assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, expected))
     p = physical(out)
     assert "Generate explode" in p and "Exchange" not in p[: p.index("Join")]
+
+
+def plain_cells(seed=3):
+    rng = random.Random(seed)
+    return [(d, f"t{t}", rng.random() + 0.1) for d in range(40) for t in sorted(rng.sample(range(60), rng.randint(1, 12)))]
+
+
+def test_document_factors_meet_a_row_per_term_of_a_block(spark, monkeypatch):
+    rows = plain_cells()
+    monkeypatch.setattr(text, "BLOCK_CELLS", 50)
+    monkeypatch.setattr(text, "TIMES_CELLS", 7)
+    names = sorted({t for _, t, _ in rows})
+    a = np.zeros((40, len(names)))
+    for d, t, w in rows:
+        a[d, names.index(t)] = w
+    cells = spark.createDataFrame(rows, "doc_id long, term string, w double")
+    blocks = text._blocks(cells)
+    assert blocks.docs.select("blk").distinct().count() > 3 and blocks.held.count() < len(rows)
+    number = {r.term: r.t for r in blocks.terms.collect()}
+    dense = {t: [float(i), 1.0 / (i + 1)] for i, t in enumerate(names)}
+    given = spark.createDataFrame([(number[t], f) for t, f in dense.items()], "t int, f array<double>")
+
+    def both(b, f, _):
+        return {"t": b.terms, "f": text._listed(b.by_term(b.by_doc(f)))}
+
+    out = blocks.products(given, both, "t int, f array<double>")
+    got = {r.t: r.f for r in text._term_sums(out, 2).collect()}
+    expected = a.T @ (a @ np.array([dense[t] for t in names]))
+    assert np.allclose([got[number[t]] for t in names], expected)
+    p = physical(out)
+    assert "Exchange" not in p[: p.index("InMemory")]  # the cells stay where they are
+    found = {r.doc_id: r.features for r in text.lsi(cells, 3, passes=2, extra=37).collect()}
+    u, s, _ = np.linalg.svd(a)
+    near = np.array([found[d] for d in range(40)])
+    assert np.allclose(np.abs(near), np.abs(u[:, :3] * s[:3]), atol=1e-3)
