@@ -157,7 +157,7 @@ def test_document_factors_meet_a_row_per_term_of_a_block(spark, monkeypatch):
     assert np.allclose([got[number[t]] for t in names], expected)
     p = physical(out)
     assert "Exchange" not in p[: p.index("InMemory")]  # the cells stay where they are
-    found = {r.doc_id: r.features for r in text.lsi(cells, 3, passes=2, extra=37).collect()}
+    found = {r.doc_id: r.features for r in text.lsi(cells, 3, passes=8, extra=20).collect()}
     u, s, _ = np.linalg.svd(a)
     near = np.array([found[d] for d in range(40)])
     assert np.allclose(np.abs(near), np.abs(u[:, :3] * s[:3]), atol=1e-3)
