@@ -6,7 +6,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidewell.operators import features as ft, models, pages, scoring, sets, skew, text
+from tidewell.operators import aggregates as agg, features as ft, models, pages, scoring, sets, skew, text
 
 
 def plan(df) -> str:
@@ -161,3 +161,14 @@ def test_document_factors_meet_a_row_per_term_of_a_block(spark, monkeypatch):
     u, s, _ = np.linalg.svd(a)
     near = np.array([found[d] for d in range(40)])
     assert np.allclose(np.abs(near), np.abs(u[:, :3] * s[:3]), atol=1e-3)
+
+
+def test_joins_of_tags_of_items_do_not_go_through_the_driver(spark, tmp_path):
+    rows = [(i, "red big ring", f"Brand#{i % 3}") for i in range(500)]
+    spark.createDataFrame(rows, "item_id long, name string, brand string").write.parquet(f"{tmp_path}/items")
+    spark.createDataFrame([(i % 40, i % 500) for i in range(2000)], "user_id long, item_id long").write.parquet(f"{tmp_path}/actions")
+    items, actions = spark.read.parquet(f"{tmp_path}/items"), spark.read.parquet(f"{tmp_path}/actions")
+    tags = items.select("item_id", F.explode(F.split("name", " ")).alias("tag"))
+    terms, vectors = models.fit_text_vectors(items.select("item_id", F.split("name", " ").alias("words")), "words", 4)
+    for out in (agg.user_tag_counts(actions, tags), agg.tag_share(actions, tags), vectors):
+        assert out.count() and "Broadcast" not in physical(out)
