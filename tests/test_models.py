@@ -1,5 +1,7 @@
 """Fitted models on made data with a known answer: each must find it within a stated threshold."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -141,3 +143,40 @@ def test_document_factors_separate_two_vocabularies(spark):
         unit = {i: f / np.linalg.norm(f) for i, f in got.items()}
         assert all(f.min() >= 0 for f in got.values()) or method == "lsi"
         assert min(unit[i] @ unit[i % 2] for i in unit) > 0.9 and max(abs(unit[i] @ unit[1 - i % 2]) for i in unit) < 0.5, method
+
+
+def test_topic_fit_follows_the_update_of_a_pass(spark):
+    # the distributed fit against the same passes with whole matrices: topics x terms nowhere on the driver, same numbers
+    rng = np.random.default_rng(3)
+    rows = [(int(i), f"w{t}", float(n)) for i in range(120) for t, n in enumerate(rng.poisson(0.7, 30)) if n]
+    got = text.lda(spark.createDataFrame(rows, "doc_id long, term string, w double"), 3, 3)
+    names = {r.t: r.term for r in got.blocks.terms.collect()}
+    numbers = {v: k for k, v in names.items()}
+    order = sorted(names)
+    docs = {i: ([order.index(numbers[w]) for d, w, _ in rows if d == i], np.array([n for d, _, n in rows if d == i])) for i in {r[0] for r in rows}}
+    first = text._first_topics(np.array(order), 3, 42)
+    assert abs(first.mean() - 1) < 0.05 and 0.05 < first.std() < 0.15
+    lam, alpha, start, done = first.copy(), np.full(3, 1 / 3), np.random.default_rng(42).gamma(100.0, 0.01, 3), 0
+    chances = np.cumsum([math.exp(-0.05) * 0.05**i / math.factorial(i) for i in range(6)])
+    for number in range(3):
+        u = F.pmod(F.xxhash64("doc_id", F.lit(42), F.lit(number)), F.lit(1 << 52)) / float(1 << 52)
+        keys = spark.createDataFrame([(i,) for i in docs], "doc_id long").select("doc_id", u.alias("u")).collect()
+        times = {r.doc_id: int((r.u >= chances).sum()) for r in keys}
+        if not sum(times.values()):
+            continue
+        beta, add, logs = np.exp(text.digamma(lam) - text.digamma(lam.sum(0))), np.zeros_like(lam), np.zeros(3)
+        for i, n in times.items():
+            m, e, ratio = text._topics_of(beta[docs[i][0]], docs[i][1], alpha, start)
+            add[docs[i][0]] += n * np.outer(ratio, e)
+            logs += n * (text.digamma(m) - text.digamma(m.sum()))
+        done, n = done + 1, sum(times.values())
+        w = (1024 + done) ** -0.51
+        lam = (1 - w) * lam + w * (add * beta * len(docs) / math.ceil(0.05 * len(docs)) + 1 / 3)
+        slope, bend = n * (logs / n - text.digamma(alpha) + text.digamma(alpha.sum())), -n * text.trigamma(alpha)
+        b = (slope / bend).sum() / (1 / (n * text.trigamma(alpha.sum())) + (1 / bend).sum())
+        alpha = alpha - w * (slope - b) / bend
+    assert done > 1 and np.allclose(got.alpha, alpha) and np.allclose(got.totals, lam.sum(0))
+    beta = np.exp(text.digamma(lam) - text.digamma(lam.sum(0)))
+    for r in got.mix().collect():
+        m, _, _ = text._topics_of(beta[docs[r.doc_id][0]], docs[r.doc_id][1], alpha, start)
+        assert np.allclose(r.features, m / m.sum())
